@@ -20,30 +20,26 @@ def fold(text: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[str, str, str, str]:
-    """(from, to, characters to drop, class of characters with longer decompositions)."""
-    source, target, drop, longer = [], [], [], []
+def _tables() -> tuple[str, str]:
+    """Characters that change and, at the same places, what they become.
+
+    MARK stands for a longer decomposition. Characters that vanish come last and have no partner.
+    """
+    source, target, drop = [], [], []
     for code in range(0x80, 0x30000):
         if 0xD800 <= code < 0xE000:
             continue
         ch = chr(code)
         folded = fold(ch)
-        if folded == ch:
-            continue
         if folded == "":
             drop.append(ch)
-        elif len(folded) == 1:
+        elif folded != ch:
             source.append(ch)
-            target.append(folded)
-        else:
-            longer.append(code)
-    ranges, start = [], None
-    for prev, code in zip([None] + longer, longer + [None]):
-        if prev is None or code is None or code != prev + 1:
-            if start is not None:
-                ranges.append(rf"\x{{{start:x}}}-\x{{{prev:x}}}")
-            start = code
-    return "".join(source), "".join(target), "".join(drop), "[" + "".join(ranges) + "]"
+            target.append(folded if len(folded) == 1 else MARK)
+    return "".join(source + drop), "".join(target)
+
+
+MARK = "\x00"
 
 
 def _fold_rows():
@@ -58,9 +54,8 @@ def _fold_rows():
 
 
 def strip_accents(c: Column) -> Column:
-    source, target, drop, longer = _tables()
-    # translate() deletes the characters that have no partner in the second string
-    simple = F.translate(c, source + drop, target)
+    source, target = _tables()
     plain = c.rlike(r"^\p{ASCII}*$")
-    special = c.rlike(longer)
+    simple = F.translate(c, source, target)
+    special = ~plain & simple.contains(MARK)
     return F.when(plain, c).when(special, _fold_rows()(F.when(special, c))).otherwise(simple)

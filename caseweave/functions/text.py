@@ -74,15 +74,20 @@ def tokenize(c: Column, pattern: str = TOKEN) -> Column:
 
 
 def word_ngrams(tokens: Column, low: int, high: int) -> Column:
-    """All word n-grams with low <= n <= high, joined by a space."""
-    sizes = [tokens if n == 1 else _ngrams(tokens, n) for n in range(low, high + 1)]
-    return F.concat(*sizes) if len(sizes) > 1 else sizes[0]
-
+    """All word n-grams with low <= n <= high, joined by a space.
 
-def _ngrams(tokens: Column, n: int) -> Column:
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+    Each size is the size before it, put together with the tokens that follow. Pass the tokens as
+    a column of their own, so that they are cut once.
+    """
+    sizes, grams = [], tokens
+    for n in range(1, high + 1):
+        if n > 1:
+            left = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+            grams = F.zip_with(F.slice(grams, F.lit(1), left), F.slice(tokens, F.lit(n), left),
+                               lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= low:
+            sizes.append(grams)
+    return F.concat(*sizes) if len(sizes) > 1 else sizes[0]
 
 
 def char_wb_ngrams(c: Column, low: int, high: int) -> Column:
@@ -91,16 +96,14 @@ def char_wb_ngrams(c: Column, low: int, high: int) -> Column:
     A padded word shorter than n is given once, whole, and its longer sizes are skipped.
     """
     words = F.regexp_extract_all(F.lower(c), F.lit(rf"[^{SPACE}]+"), F.lit(0))
+    padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
     def grams_of(word: Column) -> Column:
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
-        length = F.length(word) + 2
-        sizes = F.sequence(F.lit(low), F.least(F.lit(high), F.greatest(length, F.lit(low))))
+        sizes = F.sequence(F.lit(low), F.least(F.lit(high), F.greatest(F.length(word), F.lit(low))))
         return F.flatten(F.transform(sizes, lambda n: F.transform(
-            F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1))),
-            lambda i: F.substr(padded, i, n))))
+            F.sequence(F.lit(1), F.greatest(F.length(word) - n + 1, F.lit(1))), lambda i: F.substr(word, i, n))))
 
-    return F.flatten(F.transform(words, grams_of))
+    return F.flatten(F.transform(padded, grams_of))
 
 
 def contains_any(c: Column, phrases: list[str]) -> Column:

@@ -11,12 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import values as V
 from ..functions import text as X
-from ..session import lookup_join, materialize
-from .features import Analyzer, idf, number_terms, raw_weights, term_counts, vocabulary
+from ..session import is_small, materialize, measured, size_measures
+from .features import Analyzer, idf, raw_weights, term_counts, vocabulary
 from .labels import taxonomy_join
 
 HYBRID_BLOCKS = [
@@ -65,33 +65,34 @@ class LinearModel:
     terms: DataFrame
     blocks: list[tuple[str, Analyzer]]
     method: str
+    small_terms: bool  # measured: may the table be broadcast
 
 
-def _block_vocabularies(docs: DataFrame, doc: str, text: str, blocks, documents: int) -> DataFrame:
-    offset, tables = 0, None
+def _block_vocabularies(docs: DataFrame, doc: str, text: str, blocks, documents: int) -> tuple[DataFrame, dict]:
+    """(block, term, idf, feature) over all blocks, features numbered through, and the table's size."""
+    tables = None
     for name, analyzer in blocks:
-        vocab = number_terms(vocabulary(term_counts(docs, doc, text, analyzer), analyzer.max_features))
-        table = idf(vocab, documents).select(
-            F.lit(name).alias("block"), "term", "idf", (F.col("feature") + offset).cast("int").alias("feature"))
-        table = materialize(table, "features")
-        offset += table.count()
+        table = idf(vocabulary(term_counts(docs, doc, text, analyzer), analyzer.max_features), documents).select(
+            F.lit(name).alias("block"), "term", "idf")
         tables = table if tables is None else tables.unionByName(table)
-    return tables
+    # numbered in one place: the vocabularies have fixed maximum sizes
+    numbered = tables.withColumn("feature", F.row_number().over(Window.orderBy("block", "term")) - 1)
+    return measured(numbered, "terms", **size_measures(numbered))
 
 
-def block_rows(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame, how: str) -> DataFrame:
+def block_rows(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame, how: str, small: bool) -> DataFrame:
     """(doc, block, term, raw weight, further columns of `terms`) over all feature blocks."""
     union = None
     for name, analyzer in blocks:
-        part = raw_weights(term_counts(docs, doc, text, analyzer),
-                           terms.filter(F.col("block") == name).drop("block"), how).withColumn("block", F.lit(name))
+        part = raw_weights(term_counts(docs, doc, text, analyzer), terms.filter(F.col("block") == name).drop("block"),
+                           how, small).withColumn("block", F.lit(name))
         union = part if union is None else union.unionByName(part)
     return union
 
 
-def unit_vectors(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame) -> DataFrame:
+def unit_vectors(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame, small: bool) -> DataFrame:
     """(doc, features, weights): the stacked blocks, each of unit length per document."""
-    rows = block_rows(docs, doc, text, blocks, terms, "inner")
+    rows = block_rows(docs, doc, text, blocks, terms, "inner", small)
     per_block = rows.groupBy(doc, "block").agg(
         F.collect_list(F.struct("feature", "raw")).alias("entries"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("l"))
     scaled = per_block.select(doc, F.transform("entries", lambda e: F.struct(
@@ -106,36 +107,40 @@ def fit_linear(docs: DataFrame, doc: str, text: str, label: str, blocks, c: floa
 
     `docs` is a training sample of limited size. It is written once, because several passes follow.
     """
-    docs = materialize(docs.select(doc, text, label), "training")
-    spark, n = docs.sparkSession, docs.count()
+    docs, seen = measured(docs.select(doc, text, label), "training", rows=F.count(F.lit(1)))
+    spark, n = docs.sparkSession, seen["rows"]
     if n == 0:
         raise ValueError("the training data is empty")
     weights = balanced_weights(docs, label).orderBy(label).collect()  # one row per class
     classes = [r[label] for r in weights]
-    terms = materialize(_block_vocabularies(docs, doc, text, blocks, n), "terms")
-    size = terms.count()
+    terms, sizes = _block_vocabularies(docs, doc, text, blocks, n)
+    size = sizes["rows"]
     to_vector = F.udf(lambda i, w: Vectors.sparse(size, i, w), VectorUDT())
     code = spark.createDataFrame([(r[label], float(k), float(r["weight"])) for k, r in enumerate(weights)],
                                  f"`{label}` string, label_code double, class_weight double")
-    rows = (docs.select(doc, label).join(unit_vectors(docs, doc, text, blocks, terms), doc, "left")
+    rows = (docs.select(doc, label).join(unit_vectors(docs, doc, text, blocks, terms, is_small(sizes)), doc,
+                                             "left")
             .join(F.broadcast(code), label)
             .select("label_code", "class_weight", to_vector(
                 F.coalesce("features", F.array().cast("array<int>")),
                 F.coalesce("weights", F.array().cast("array<double>"))).alias("features")))
-    rows = rows.persist()
+    # every iteration is one job over all partitions, so there are only as many as the rows need
+    rows = rows.repartition(max(1, min(64, n // 2000))).persist()
     if len(classes) == 1:
         coef, intercepts = [[0.0] * size], [0.0]
     else:
         model = LogisticRegression(
             featuresCol="features", labelCol="label_code", weightCol="class_weight", family="multinomial",
-            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-7).fit(rows)
+            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(rows)
         coef, intercepts = model.coefficientMatrix.toArray(), [float(b) for b in model.interceptVector.toArray()]
     rows.unpersist()
     # bounded by the vocabulary caps and the number of classes
     table = spark.createDataFrame([(j, [float(coef[k][j]) for k in range(len(classes))]) for j in range(size)],
                                   "feature int, coef array<double>")
-    terms = materialize(terms.join(table, "feature").select("block", "term", "idf", "coef"), "model")
-    return LinearModel(classes, intercepts, terms, blocks, method)
+    weighted = terms.join(table, "feature").select("block", "term", "idf", "coef")
+    weighted, sizes = measured(weighted, "model", **size_measures(weighted.drop("coef")))
+    sizes["bytes"] = (sizes["bytes"] or 0) + size * len(classes) * 8
+    return LinearModel(classes, intercepts, weighted, blocks, method, is_small(sizes))
 
 
 def fit_hybrid(docs: DataFrame, doc: str, text: str, label: str) -> LinearModel:
@@ -151,7 +156,7 @@ def fit_baseline(docs: DataFrame, doc: str, text: str, label: str) -> LinearMode
 def class_scores(df: DataFrame, doc: str, text: str, model: LinearModel) -> DataFrame:
     """Add `scores`: an array of (probability, intent), most probable first."""
     k = len(model.classes)
-    rows = block_rows(df, doc, text, model.blocks, model.terms, "left")
+    rows = block_rows(df, doc, text, model.blocks, model.terms, "left", model.small_terms)
     per_block = rows.groupBy(doc, "block").agg(
         F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("l"),
         *[F.sum(F.col("raw") * F.col("coef")[i]).alias(f"s{i}") for i in range(k)])

@@ -38,7 +38,9 @@ class Analyzer:
 
 def term_counts(docs: DataFrame, doc: str, text: str, analyzer: Analyzer) -> DataFrame:
     """(doc, term, tf). A text without terms keeps one row with a null term."""
-    spread = docs.select(doc, text).repartition(doc)
+    # An explicit number, or the small raw texts would be put back together before they grow
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = docs.select(doc, text).repartition(tasks, doc)
     # The tokens are a column of their own, so that n-grams of every size share them
     if analyzer.kind == "word":
         one = Analyzer("word", 1, 1, analyzer.strip_accents, analyzer.pattern)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from .. import values as V
 from ..functions import text as X
-from ..session import fresh_path, lookup_join
+from ..session import fits_broadcast, fresh_path, is_small, lookup_join, measured, size_measures
 from . import labels
 from .features import Analyzer, idf, number_terms, raw_weights, term_counts, vocabulary
 
@@ -36,7 +36,9 @@ class CaseIndex:
     idf: DataFrame
     postings: DataFrame
     blocks: int
-    analyzer: Analyzer = RETRIEVAL
+    analyzer: Analyzer
+    small_cases: bool  # measured: may the table be broadcast
+    small_idf: bool
 
 
 def build_cases(threads: DataFrame, held_out: DataFrame | None, dictionary=V.CORE_KEYWORDS,
@@ -64,30 +66,28 @@ def build_index(cases: DataFrame, path: str | None = None, analyzer: Analyzer =
     """Write cases, idf and postings as Parquet tables and return them."""
     spark = cases.sparkSession
     path = path or fresh_path(spark, "index")
-    cases.write.mode("overwrite").parquet(f"{path}/cases")
-    cases = spark.read.schema(cases.schema).parquet(f"{path}/cases")
-    n = cases.count()
+    cases, case_sizes = measured(cases, "cases", f"{path}/cases", **size_measures(cases))
+    n = case_sizes["rows"]
     counts = term_counts(cases, "case_order", "customer_issue", analyzer)
     table = idf(number_terms(vocabulary(counts, analyzer.max_features)), n)
-    table.write.mode("overwrite").parquet(f"{path}/idf")
-    table = spark.read.schema(table.schema).parquet(f"{path}/idf")
+    table, idf_sizes = measured(table, "idf", f"{path}/idf", **size_measures(table))
     blocks = max(1, math.ceil(n / block_cases))
-    raw = raw_weights(counts, table.select("term", "feature", "idf"))
+    raw = raw_weights(counts, table.select("term", "feature", "idf"), small=is_small(idf_sizes))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("case_order")))
     weighted = raw.select(F.pmod(F.xxhash64("case_order"), F.lit(blocks)).cast("int").alias("block"), "feature",
                           "case_order", (F.col("raw") / length).alias("weight"))
     # a (block, feature) group holds at most the cases of one block
     postings = weighted.groupBy("block", "feature").agg(
         F.collect_list("case_order").alias("cases"), F.collect_list("weight").alias("weights"))
-    postings.write.mode("overwrite").parquet(f"{path}/postings")
-    return load_index(spark, path, analyzer)
+    postings = measured(postings, "postings", f"{path}/postings")[0]
+    return CaseIndex(cases, table, postings, blocks, analyzer, is_small(case_sizes), is_small(idf_sizes))
 
 
 def load_index(spark: SparkSession, path: str, analyzer: Analyzer = RETRIEVAL) -> CaseIndex:
-    cases = spark.read.parquet(f"{path}/cases")
+    cases, table = spark.read.parquet(f"{path}/cases"), spark.read.parquet(f"{path}/idf")
     postings = spark.read.parquet(f"{path}/postings")
     blocks = (postings.agg(F.max("block")).first()[0] or 0) + 1
-    return CaseIndex(cases, spark.read.parquet(f"{path}/idf"), postings, blocks, analyzer)
+    return CaseIndex(cases, table, postings, blocks, analyzer, fits_broadcast(cases), fits_broadcast(table))
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
@@ -105,7 +105,8 @@ def postings_long(index: CaseIndex) -> DataFrame:
     """The index as (case_order, term, weight) rows."""
     flat = index.postings.select("feature", F.explode(F.arrays_zip("cases", "weights")).alias("p")).select(
         "feature", F.col("p.cases").alias("case_order"), F.col("p.weights").alias("weight"))
-    return lookup_join(flat, index.idf.select("feature", "term"), "feature").select("case_order", "term", "weight")
+    return lookup_join(flat, index.idf.select("feature", "term"), "feature", small=index.small_idf).select(
+        "case_order", "term", "weight")
 
 
 def query_vectors(queries: DataFrame, index: CaseIndex, query_id: str, text: str) -> DataFrame:
@@ -115,7 +116,7 @@ def query_vectors(queries: DataFrame, index: CaseIndex, query_id: str, text: str
     """
     asked = queries.filter(~X.is_blank(F.col(text)))
     raw = raw_weights(term_counts(asked, query_id, text, index.analyzer),
-                      index.idf.select("term", "feature", "idf"), "left")
+                      index.idf.select("term", "feature", "idf"), "left", index.small_idf)
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
     return (raw.groupBy(query_id).agg(F.collect_list("feature").alias("features"),
                                       F.collect_list("raw").alias("raws"), length.alias("length"))
@@ -133,17 +134,24 @@ def _block_scorer(query_id: str, k: int):
         order = np.sort(members["case_order"].to_numpy(dtype="int64"))
         intents = members.set_index("case_order")["intent"].reindex(order).to_numpy()
         known = block[block["feature"].notna()]
-        lists = {f: (np.searchsorted(order, c), w) for f, c, w in
-                 zip(known["feature"].astype("int64"), known["cases"], known["weights"])}
+        # all postings end to end; a feature owns the stretch from its start to the next one's
+        stretch = np.zeros(len(known) + 1, dtype="int64")
+        places, heights = np.array([], dtype="int64"), np.array([])
+        if len(known):
+            stretch[1:] = np.cumsum([len(c) for c in known["cases"]])
+            places = np.searchsorted(order, np.concatenate(known["cases"].to_numpy()))
+            heights = np.concatenate(known["weights"].to_numpy())
+        start_of = dict(zip(known["feature"].astype("int64"), range(len(known))))
         out_query, out_case, out_score = [], [], []
         allowed_of = {}
         for qid, features, weights, wanted in zip(
                 queries[query_id], queries["features"], queries["weights"], queries["wanted"]):
             scores = np.zeros(len(order))
             for feature, weight in zip(features, weights):
-                hit = lists.get(feature)
-                if hit is not None:
-                    scores[hit[0]] += weight * hit[1]
+                at = start_of.get(feature)
+                if at is not None:
+                    own = slice(stretch[at], stretch[at + 1])
+                    scores[places[own]] += weight * heights[own]
             if wanted is None:
                 allowed = None
             else:
@@ -217,7 +225,7 @@ def search_topk(queries: DataFrame, index: CaseIndex, query_id: str, text: str,
     """The ranked cases with their texts; similarity with 4 decimals."""
     best = top_cases(queries, index, query_id, text, k, intent, min_similarity)
     cases = index.cases.withColumnRenamed("intent", "case_intent").drop("turn_count")
-    return lookup_join(best, cases, "case_order").select(
+    return lookup_join(best, cases, "case_order", small=index.small_cases).select(
         query_id, "rank", F.round("similarity", 4).alias("similarity_score"), "case_order", "case_id",
         "customer_issue", "brand_resolution", "conversation_context", "case_intent")
 

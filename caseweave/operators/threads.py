@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as X
-from ..session import materialize
+from ..session import materialize, measured
 
 # A parent with more replies than this is joined by broadcast. At most rows/HOT_REPLIES such parents exist.
 HOT_REPLIES = 1_000_000
@@ -71,8 +71,9 @@ def reply_chains(links: DataFrame) -> DataFrame:
         F.when(F.col("pointer").isNull(), 0).otherwise(1).alias("steps"),
         F.col("pointer").isNull().alias("done"),
         F.coalesce("is_root", F.lit(False)).alias("from_root")))
-    state = materialize(start, "chains")
-    open_rows = state.filter(~F.col("done")).count()
+    still_open = F.count_if(~F.col("done"))
+    state, seen = measured(start, "chains", open=still_open)
+    open_rows = seen["open"]
     while open_rows:
         ahead = state.select(F.col("tweet_id").alias("pointer"), F.col("pointer").alias("next"),
                              F.col("steps").alias("more"), F.col("done").alias("there"),
@@ -80,11 +81,10 @@ def reply_chains(links: DataFrame) -> DataFrame:
         moved = state.filter(~F.col("done")).join(ahead, "pointer").select(
             "tweet_id", "role", F.col("next").alias("pointer"), (F.col("steps") + F.col("more")).alias("steps"),
             F.col("there").alias("done"), F.col("rooted").alias("from_root"))
-        state = materialize(state.filter("done").unionByName(moved), "chains")
-        still_open = state.filter(~F.col("done")).count()
-        if still_open == open_rows:
+        state, seen = measured(state.filter("done").unionByName(moved), "chains", open=still_open)
+        if seen["open"] == open_rows:
             break  # every path gets shorter each round, so only cycles are left, and they have no root
-        open_rows = still_open
+        open_rows = seen["open"]
     return state.filter("done AND from_root").select(
         F.col("pointer").alias("root_tweet_id"), (F.col("steps") + 1).alias("turn_index"), "tweet_id", "role")
 

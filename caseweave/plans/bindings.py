@@ -98,6 +98,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make):
     return _tables[key]
 
 
+def forget() -> None:
+    """Drop what was built, so that the next query starts from the given tables."""
+    _tables.clear()
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     return _once(spark, sf_dir, "corpus", lambda: ingest(messages(spark, sf_dir), BRAND))
 

@@ -14,7 +14,7 @@ from ..functions import text as X
 from ..operators import (brand as B, classify as C, decide as J, draft as I, failures as FM, features as FE,
                          golden as G, judge as JU, labels as L, leakage as LK, metrics as M, profile as P,
                          retrieve as R, threads as D)
-from ..session import fresh_path
+from ..session import fresh_path, materialize
 from ..streaming import streams as S
 from . import bindings as T
 from . import evaluation as E
@@ -497,8 +497,6 @@ def first_relevant(s, d):
 
 def golden_outputs(s, d):
     def make():
-        from ..session import materialize
-
         return materialize(E.golden_outputs(T.golden(s, d), T.index(s, d, (T.PER_INTENT, T.AMBIGUOUS, T.TARGET)),
                                             T.rule_classifier(s), T.HANDLE, LIMITS), "outputs")
     return T._once(s, d, "outputs", make)
@@ -509,12 +507,15 @@ def escalation_safety(s, d):
 
 
 def _judged(s, d):
-    drafted = I.draft_reply(_evidence(s, d), min_grounding=0.25)
-    return JU.judge_scores(drafted, "cleaned", "reply")
+    def make():
+        drafted = I.draft_reply(_evidence(s, d), min_grounding=0.25)
+        return materialize(JU.judge_scores(drafted, "cleaned", "reply").select(
+            "tweet_id", *JU.AXES, "overall_score", "verdict", "feedback"), "judged")
+    return T._once(s, d, "judged", make)
 
 
 def judge_scores(s, d):
-    return _judged(s, d).select("tweet_id", *JU.AXES, "overall_score", "verdict", "feedback")
+    return _judged(s, d)
 
 
 def judge_summary(s, d):

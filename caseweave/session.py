@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
@@ -48,16 +48,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage, survives the loss of executors, and gives the optimizer real file sizes.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return measured(df, name)[0]
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+def measured(df: DataFrame, name: str, path: str | None = None, **measures) -> tuple[DataFrame, dict]:
+    """`materialize`, with aggregates that are taken while the rows are written."""
+    path = path or fresh_path(df.sparkSession, name)
+    result = {}
+    if measures:
+        seen = Observation(name)
+        df.observe(seen, *[c.alias(k) for k, c in measures.items()]).write.mode("overwrite").parquet(path)
+        result = seen.get
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), result
+
+
+def size_measures(df: DataFrame) -> dict:
+    return {"rows": F.count(F.lit(1)), "bytes": F.sum(sum((_width(df, f) for f in df.schema.fields), F.lit(0)))}
+
+
+def is_small(sizes, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    return sizes["rows"] <= rows and (sizes["bytes"] or 0) <= size
+
+
+def fits_broadcast(df: DataFrame) -> bool:
     """Measure a lookup side before it may be broadcast: its row count and the bytes of its columns."""
-    width = sum((_width(df, f) for f in df.schema.fields), F.lit(0))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    return row["n"] <= rows and (row["b"] or 0) <= size
+    return is_small(df.agg(*[c.alias(k) for k, c in size_measures(df).items()]).first())
 
 
 def _width(df: DataFrame, field):
