@@ -49,13 +49,16 @@ def known_brands(tweets: DataFrame) -> DataFrame:
             .groupBy(F.lower("author_id").alias("handle")).agg(F.min("author_id").alias("brand")))
 
 
-def brand_mentions(tweets: DataFrame, brands: DataFrame | None = None) -> DataFrame:
-    """One row per customer message and known brand that it mentions."""
+def brand_mentions(tweets: DataFrame, brands: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    """One row per customer message and known brand that it mentions.
+
+    `brands` (handle, brand) limits the brands; `small` says that it is known to fit a broadcast.
+    """
     brands = known_brands(tweets) if brands is None else brands
     handles = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(X.MENTION), F.lit(1)))
     mentions = (tweets.filter(F.col("inbound") & F.col("text").contains("@"))
                 .select("*", F.explode(handles).alias("handle")))
-    return lookup_join(mentions, brands, "handle").drop("handle")
+    return lookup_join(mentions, brands, "handle", small=small).drop("handle")
 
 
 def extract_all_brands(tweets: DataFrame) -> DataFrame:

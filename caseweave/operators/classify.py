@@ -8,6 +8,7 @@ rows of its terms.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -43,17 +44,16 @@ def majority_label(labels: DataFrame, label: str) -> DataFrame:
 
 def majority_baseline(df: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """Predict the majority label for every row."""
-    best = majority_label(labels, label)
-    return df.withColumn("intent", best.select("intent").scalar()).withColumn(
-        "confidence", best.select("confidence").scalar()).withColumn("method", F.lit(METHOD_MAJORITY))
+    best = majority_label(labels, label).select(F.struct("intent", "confidence")).scalar()
+    return df.withColumn("_best", best).select(
+        "*", "_best.intent", "_best.confidence", F.lit(METHOD_MAJORITY).alias("method")).drop("_best")
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, n, weight) with weight = rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
-    rows, classes = sizes.select("rows").scalar(), sizes.select("classes").scalar()
-    return counts.withColumn("weight", rows / (classes * F.col("n")))
+    everything = Window.partitionBy()  # one row per class
+    return counts.withColumn("weight", F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n")))
 
 
 @dataclass
@@ -80,24 +80,21 @@ def _block_vocabularies(docs: DataFrame, doc: str, text: str, blocks, documents:
     return measured(numbered, "terms", **size_measures(numbered))
 
 
-def block_rows(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame, how: str, small: bool) -> DataFrame:
-    """(doc, block, term, raw weight, further columns of `terms`) over all feature blocks."""
-    union = None
-    for name, analyzer in blocks:
-        part = raw_weights(term_counts(docs, doc, text, analyzer), terms.filter(F.col("block") == name).drop("block"),
-                           how, small).withColumn("block", F.lit(name))
-        union = part if union is None else union.unionByName(part)
-    return union
+def block_rows(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame, how: str, small: bool) -> list[DataFrame]:
+    """Per feature block: (doc, term, raw weight, further columns of `terms`), still spread by document."""
+    return [raw_weights(term_counts(docs, doc, text, analyzer), terms.filter(F.col("block") == name).drop("block"),
+                        how, small) for name, analyzer in blocks]
 
 
 def unit_vectors(docs: DataFrame, doc: str, text: str, blocks, terms: DataFrame, small: bool) -> DataFrame:
     """(doc, features, weights): the stacked blocks, each of unit length per document."""
-    rows = block_rows(docs, doc, text, blocks, terms, "inner", small)
-    per_block = rows.groupBy(doc, "block").agg(
-        F.collect_list(F.struct("feature", "raw")).alias("entries"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("l"))
-    scaled = per_block.select(doc, F.transform("entries", lambda e: F.struct(
-        e["feature"].alias("feature"), (e["raw"] / F.col("l")).alias("weight"))).alias("entries"))
-    merged = scaled.groupBy(doc).agg(F.array_sort(F.flatten(F.collect_list("entries"))).alias("entries"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
+    scaled = [rows.groupBy(doc).agg(F.collect_list(F.struct("feature", "raw")).alias("entries"), length.alias("l"))
+              .select(doc, F.transform("entries", lambda e: F.struct(
+                  e["feature"].alias("feature"), (e["raw"] / F.col("l")).alias("weight"))).alias("entries"))
+              for rows in block_rows(docs, doc, text, blocks, terms, "inner", small)]
+    merged = reduce(DataFrame.unionByName, scaled).groupBy(doc).agg(
+        F.array_sort(F.flatten(F.collect_list("entries"))).alias("entries"))
     return merged.select(doc, F.col("entries.feature").alias("features"), F.col("entries.weight").alias("weights"))
 
 
@@ -156,12 +153,11 @@ def fit_baseline(docs: DataFrame, doc: str, text: str, label: str) -> LinearMode
 def class_scores(df: DataFrame, doc: str, text: str, model: LinearModel) -> DataFrame:
     """Add `scores`: an array of (probability, intent), most probable first."""
     k = len(model.classes)
-    rows = block_rows(df, doc, text, model.blocks, model.terms, "left", model.small_terms)
-    per_block = rows.groupBy(doc, "block").agg(
-        F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("l"),
-        *[F.sum(F.col("raw") * F.col("coef")[i]).alias(f"s{i}") for i in range(k)])
-    sums = per_block.groupBy(doc).agg(*[F.coalesce(F.sum(F.col(f"s{i}") / F.col("l")), F.lit(0.0)).alias(f"s{i}")
-                                        for i in range(k)])
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
+    parts = [rows.groupBy(doc).agg(*[(F.sum(F.col("raw") * F.col("coef")[i]) / length).alias(f"s{i}") for i in range(k)])
+             for rows in block_rows(df, doc, text, model.blocks, model.terms, "left", model.small_terms)]
+    sums = reduce(DataFrame.unionByName, parts).groupBy(doc).agg(
+        *[F.coalesce(F.sum(f"s{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)])
     logits = [F.col(f"s{i}") + F.lit(model.intercepts[i]) for i in range(k)]
     top = F.greatest(*logits) if k > 1 else logits[0]
     exps = sums.select(doc, *[F.exp(z - top).alias(f"e{i}") for i, z in enumerate(logits)])

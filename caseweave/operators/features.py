@@ -1,8 +1,8 @@
 """TF-IDF as tables: (document, term, weight) rows instead of a matrix.
 
-Texts are spread by document id once, before they are cut into n-grams. Counting terms, weighting
-and normalising then happen inside that partitioning: only raw text crosses the network, never the
-much larger n-gram rows.
+Texts are spread by document id once, after they are cut into tokens and before these are combined
+to n-grams. Counting terms, weighting and normalising then happen inside that partitioning: only the
+tokens cross the network, never the much larger n-gram rows.
 """
 
 from __future__ import annotations
@@ -27,27 +27,26 @@ class Analyzer:
     pattern: str = X.TOKEN
     max_features: int | None = None
 
-    def terms(self, c: Column) -> Column:
+    def prepare(self, c: Column) -> Column:
+        """What is worth moving: the tokens, or for character n-grams the text."""
         if self.kind == "char_wb":
-            return X.char_wb_ngrams(c, self.low, self.high)
+            return c
         lowered = F.lower(c)
         folded = accents.strip_accents(lowered) if self.strip_accents else lowered
-        tokens = F.regexp_extract_all(folded, F.lit(self.pattern), F.lit(0))
-        return X.word_ngrams(tokens, self.low, self.high)
+        return F.regexp_extract_all(folded, F.lit(self.pattern), F.lit(0))
+
+    def terms(self, prepared: Column) -> Column:
+        if self.kind == "char_wb":
+            return X.char_wb_ngrams(prepared, self.low, self.high)
+        return X.word_ngrams(prepared, self.low, self.high)
 
 
 def term_counts(docs: DataFrame, doc: str, text: str, analyzer: Analyzer) -> DataFrame:
     """(doc, term, tf). A text without terms keeps one row with a null term."""
-    # An explicit number, or the small raw texts would be put back together before they grow
+    # An explicit number, or the small rows would be put back together before they grow
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = docs.select(doc, text).repartition(tasks, doc)
-    # The tokens are a column of their own, so that n-grams of every size share them
-    if analyzer.kind == "word":
-        one = Analyzer("word", 1, 1, analyzer.strip_accents, analyzer.pattern)
-        terms = spread.select(doc, one.terms(F.col(text)).alias("tokens")).select(
-            doc, F.explode_outer(X.word_ngrams(F.col("tokens"), analyzer.low, analyzer.high)).alias("term"))
-    else:
-        terms = spread.select(doc, F.explode_outer(analyzer.terms(F.col(text))).alias("term"))
+    spread = docs.select(doc, analyzer.prepare(F.col(text)).alias("prepared")).repartition(tasks, doc)
+    terms = spread.select(doc, F.explode_outer(analyzer.terms(F.col("prepared"))).alias("term"))
     return terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

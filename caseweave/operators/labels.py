@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas, values as V
 from ..functions import keywords as K
@@ -47,7 +47,7 @@ def intent_frequency(df: DataFrame, text: str, dictionary=V.DISCOVERY_KEYWORDS,
     names = [(i, name, risks.get(name)) for i, (name, _) in enumerate(dictionary, start=1)]
     names.append((len(names) + 1, V.UNCLASSIFIED, None))
     order = spark.createDataFrame(names, "priority int, intent string, risk_level string")
-    total = counts.agg(F.sum("n").alias("total")).scalar()
+    total = F.sum("n").over(Window.partitionBy())  # one row per intent
     return (F.broadcast(order).join(counts, "intent", "left")
             .select("priority", "intent", "risk_level", F.coalesce("n", F.lit(0)).alias("n"),
                     F.coalesce(F.round(F.col("n") / total * 100, 1), F.lit(0.0)).alias("percent")))
@@ -55,8 +55,6 @@ def intent_frequency(df: DataFrame, text: str, dictionary=V.DISCOVERY_KEYWORDS,
 
 def intent_samples(df: DataFrame, text: str, order: str, k: int = 5, dictionary=V.DISCOVERY_KEYWORDS) -> DataFrame:
     """The first k texts of every matched intent."""
-    from pyspark.sql import Window
-
     labelled = label_first_match(df, text, dictionary, V.UNCLASSIFIED).filter(F.col("intent") != V.UNCLASSIFIED)
     place = F.row_number().over(Window.partitionBy("intent").orderBy(order))
     return labelled.withColumn("sample_no", place).filter(F.col("sample_no") <= k)

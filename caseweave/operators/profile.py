@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import values as V
 from ..functions import keywords as K
 from ..functions import text as X
-from .brand import brand_mentions
+from .brand import brand_mentions, known_brands
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -45,12 +45,16 @@ def date_range(tweets: DataFrame) -> DataFrame:
     return at.agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
 
 
-def resolution_rich(tweets: DataFrame, words=None) -> DataFrame:
-    """Per brand, replies that contain one of the resolution words."""
+def outbound_profile(tweets: DataFrame, words=None) -> DataFrame:
+    """Per brand, its replies and those among them that contain one of the resolution words."""
     rich = K.has_keyword(F.col("text"), list(words or V.RESOLUTION_WORDS))
     return (tweets.filter(~F.col("inbound") & F.col("author_id").isNotNull())
             .groupBy(F.col("author_id").alias("brand"))
-            .agg(F.count_if(rich).alias("resolution_rich_replies")))
+            .agg(F.count(F.lit(1)).alias("outbound_brand_replies"), F.count_if(rich).alias("resolution_rich_replies")))
+
+
+def resolution_rich(tweets: DataFrame, words=None) -> DataFrame:
+    return outbound_profile(tweets, words).drop("outbound_brand_replies")
 
 
 def mention_counts(mentions: DataFrame) -> DataFrame:
@@ -84,11 +88,12 @@ def sample_messages(mentions: DataFrame, k: int = 3) -> DataFrame:
 
 def brand_ranking(tweets: DataFrame, top: int = 30, samples: int = 3) -> DataFrame:
     """Suitability of the `top` brands with the most replies, best first."""
-    mentions = brand_mentions(tweets)
     c = F.col
-    stats = (brand_reply_counts(tweets, top)
-             .join(mention_counts(mentions), "brand", "left")
-             .join(resolution_rich(tweets), "brand", "left")
+    profile = outbound_profile(tweets).orderBy(F.desc("outbound_brand_replies"), "brand").limit(top)
+    # at most `top` brands, so the mentions meet them in a broadcast
+    brands = known_brands(tweets).join(F.broadcast(profile.select("brand")), "brand", "left_semi")
+    mentions = brand_mentions(tweets, brands, small=True)
+    stats = (profile.join(mention_counts(mentions), "brand", "left")
              .join(vocabulary_diversity(mentions), "brand", "left")
              .join(sample_messages(mentions, samples).groupBy("brand").agg(
                  F.array_sort(F.collect_list(F.struct("sample_no", "text"))).alias("s")), "brand", "left")

@@ -445,12 +445,14 @@ def leakage_report(s, d):
 
 # ---------------------------------------------------------------- evaluation aggregates
 def labelled_pairs(s, d):
-    """Gold = first matching intent; predicted = the intent of the most similar case."""
-    gold = L.label_first_match(T.customer_messages(s, d), "cleaned", T.KEYWORDS, T.DEFAULT).select(
-        "tweet_id", F.col("intent").alias("gold_intent"))
-    near = R.search_topk(T.customer_messages(s, d), T.index(s, d), "tweet_id", "cleaned", 1).select(
-        "tweet_id", F.col("case_intent").alias("predicted_intent"))
-    return gold.join(near, "tweet_id")
+    """Gold = first matching intent; predicted = the intent of the most similar case. Written once."""
+    def make():
+        gold = L.label_first_match(T.customer_messages(s, d), "cleaned", T.KEYWORDS, T.DEFAULT).select(
+            "tweet_id", F.col("intent").alias("gold_intent"))
+        near = R.search_topk(T.customer_messages(s, d), T.index(s, d), "tweet_id", "cleaned", 1).select(
+            "tweet_id", F.col("case_intent").alias("predicted_intent"))
+        return materialize(gold.join(near, "tweet_id"), "pairs")
+    return T._once(s, d, "pairs", make)
 
 
 def accuracy(s, d):
