@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import accents
 from ..functions import text as X
-from ..session import lookup_join
+from ..session import is_small, lookup_join, measured, size_measures
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,13 @@ def idf(vocab: DataFrame, documents: int) -> DataFrame:
     return vocab.withColumn("idf", F.log((F.lit(documents) + 1.0) / (F.col("df") + 1.0)) + 1.0)
 
 
+def fit_idf(counts: DataFrame, max_features: int | None, documents: int) -> tuple[DataFrame, bool]:
+    """The idf table (term, idf), written once, and whether it may be broadcast."""
+    table = idf(vocabulary(counts, max_features), documents).select("term", "idf")
+    table, sizes = measured(table, "idf", **size_measures(table))
+    return table, is_small(sizes)
+
+
 def number_terms(vocab: DataFrame) -> DataFrame:
     """Give every term of a size-limited vocabulary a feature number, in term order."""
     return vocab.withColumn("feature", F.row_number().over(Window.orderBy("term")) - 1)
@@ -73,9 +80,9 @@ def raw_weights(counts: DataFrame, idf_table: DataFrame, how: str = "inner", sma
     return joined.withColumn("raw", (F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf"))
 
 
-def tfidf_weights(counts: DataFrame, idf_table: DataFrame, doc: str) -> DataFrame:
+def tfidf_weights(counts: DataFrame, idf_table: DataFrame, doc: str, small: bool | None = None) -> DataFrame:
     """(doc, term, weight) with rows of unit length."""
-    raw = raw_weights(counts, idf_table)
+    raw = raw_weights(counts, idf_table, small=small)
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
     return raw.select(doc, "term", (F.col("raw") / length).alias("weight"))
 

@@ -78,10 +78,17 @@ def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Pearson, and Spearman as Pearson over average ranks."""
+    """Pearson, and Spearman as Pearson over average ranks; null when a side does not vary."""
     ranked = average_ranks(average_ranks(df, a, "_rank_a"), b, "_rank_b")
-    return ranked.agg(F.round(F.corr("_rank_a", "_rank_b"), 4).alias("spearman_correlation_rho"),
-                      F.round(F.corr(a, b), 4).alias("pearson_correlation_r"))
+    pairs = {"spearman_correlation_rho": ("_rank_a", "_rank_b"), "pearson_correlation_r": (a, b)}
+    sums = ranked.agg(*[f(*args).alias(f"{name}_{i}") for name, (x, y) in pairs.items() for i, (f, args) in enumerate(
+        [(F.covar_pop, (x, y)), (F.stddev_pop, (x,)), (F.stddev_pop, (y,))])])
+
+    def ratio(name: str):
+        spread = F.col(f"{name}_1") * F.col(f"{name}_2")
+        return F.round(F.when(spread > 0, F.col(f"{name}_0") / spread), 4).alias(name)
+
+    return sums.select(*[ratio(name) for name in pairs])
 
 
 def cohen_kappa(df: DataFrame, a: str, b: str) -> DataFrame:

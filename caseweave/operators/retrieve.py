@@ -22,7 +22,7 @@ from .features import Analyzer, idf, number_terms, raw_weights, term_counts, voc
 
 RETRIEVAL = Analyzer("word", 1, 3, True, X.TOKEN, V.RETRIEVAL_TERMS)
 BLOCK_CASES = 16_384
-SHARD_QUERIES = 20_000
+SHARD_QUERIES = 100_000
 
 CASE_COLUMNS = ["case_order", "case_id", "customer_issue", "brand_resolution", "conversation_context", "intent",
                 "turn_count"]

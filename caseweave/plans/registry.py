@@ -219,8 +219,8 @@ def idf(s, d):
 def tfidf_weights(s, d):
     n = T.table(s, d, "documents").count()
     counts = _doc_counts(s, d)
-    table = FE.idf(FE.vocabulary(counts, 2000), n).select("term", "idf")
-    return FE.tfidf_weights(counts, table, "doc_id").select("doc_id", "term", F.round("weight", 5).alias("weight"))
+    table, small = FE.fit_idf(counts, 2000, n)
+    return FE.tfidf_weights(counts, table, "doc_id", small).select("doc_id", "term", F.round("weight", 5).alias("weight"))
 
 
 def feature_union(s, d):
@@ -229,8 +229,8 @@ def feature_union(s, d):
     blocks = []
     for name, analyzer in C.HYBRID_BLOCKS:
         counts = FE.term_counts(messages, "tweet_id", "cleaned", analyzer)
-        table = FE.idf(FE.vocabulary(counts, 800), n).select("term", "idf")
-        blocks.append((name, FE.tfidf_weights(counts, table, "tweet_id")))
+        table, small = FE.fit_idf(counts, 800, n)
+        blocks.append((name, FE.tfidf_weights(counts, table, "tweet_id", small)))
     return FE.feature_union(blocks).select("tweet_id", "block", "term", F.round("weight", 5).alias("weight"))
 
 
@@ -317,7 +317,8 @@ def evidence_array(s, d):
 
 # ---------------------------------------------------------------- drafting and decisions
 def _evidence(s, d):
-    return TR.with_evidence(T.customer_messages(s, d), T.index(s, d), "tweet_id", "cleaned")
+    asked = T.customer_messages(s, d)
+    return TR.add_evidence(asked, TR.evidence(asked, T.index(s, d), "tweet_id", "cleaned"), "tweet_id")
 
 
 def draft_reply(s, d):

@@ -33,12 +33,16 @@ def model_classifier(model: classify.LinearModel, taxonomy: DataFrame,
     return lambda df, doc, text: classify.predict(df, doc, text, model, taxonomy, margin)
 
 
-def with_evidence(messages: DataFrame, index: retrieve.CaseIndex, key: str, text: str, k: int = 3,
-                  floor: float = 0.0) -> DataFrame:
-    """Add `evidence` (array, null when there is none), `has_evidence` and `top_similarity`."""
+def evidence(messages: DataFrame, index: retrieve.CaseIndex, key: str, text: str, k: int = 3,
+             floor: float = 0.0) -> DataFrame:
+    """(key, evidence): the ranked cases of every message that has any."""
     found = retrieve.search_topk(messages.select(key, text), index, key, text, k, None, floor)
-    nested = retrieve.evidence_array(found, key)
-    return messages.join(nested, key, "left").withColumns({
+    return retrieve.evidence_array(found, key)
+
+
+def add_evidence(messages: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Add `evidence` (array, null when there is none), `has_evidence` and `top_similarity`."""
+    return messages.join(found, key, "left").withColumns({
         "has_evidence": F.coalesce(F.size("evidence"), F.lit(0)) > 0,
         "top_similarity": F.coalesce(F.get(F.col("evidence"), F.lit(0))["similarity_score"], F.lit(0.0)),
     })
@@ -50,7 +54,9 @@ def triage(messages: DataFrame, key: str, text: str, index: retrieve.CaseIndex,
     cleaned = messages.select(key, F.col(text).alias("customer_message"),
                               X.clean_customer_text(F.col(text), handle).alias("cleaned_message"))
     predicted = classifier(cleaned, key, "cleaned_message")
-    searched = with_evidence(predicted, index, key, "cleaned_message", limits.top_k, limits.search_floor)
+    # searched from the cleaned text, so that the classifier runs once
+    found = evidence(cleaned, index, key, "cleaned_message", limits.top_k, limits.search_floor)
+    searched = add_evidence(predicted, found, key)
     drafted = draft.draft_reply(searched, min_grounding=limits.min_grounding).withColumn("has_reply", F.lit(True))
     decided = decide(drafted, limits.min_confidence, limits.min_similarity, limits.allowed_risk)
     return decided.select(

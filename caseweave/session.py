@@ -92,11 +92,14 @@ def lookup_join(left: DataFrame, side: DataFrame, key: str, how: str = "inner",
     """Join to a lookup table with unique keys.
 
     The lookup is broadcast when its measured size allows. Otherwise the lookup rows are repeated
-    per salt and the left rows spread over the salts, so one hot key is never one task's work.
-    Pass `small` when the caller already knows the answer. Rows of the left side whose key is null
-    meet nothing; they take part in the salting, so they do not gather in one task either.
+    per salt and the left rows spread over the salts, so one hot key is never one task's work; rows
+    whose key is null are spread likewise. When the caller does not know the answer (`small`), the
+    lookup is written once and measured on the way.
     """
-    if fits_broadcast(side) if small is None else small:
+    if small is None:
+        side, sizes = measured(side, "lookup", **size_measures(side))
+        small = is_small(sizes)
+    if small:
         return left.join(F.broadcast(side), key, how)
     spread = [f.name for f in left.schema.fields if f.dataType.typeName() != "map"]
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))

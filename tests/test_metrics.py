@@ -66,6 +66,8 @@ def test_agreement(spark):
     (r,) = J.correlations(df, "a", "b").collect()
     assert r.pearson_correlation_r == round(pdf.a.corr(pdf.b), 4)
     assert r.spearman_correlation_rho == round(pdf.a.rank().corr(pdf.b.rank()), 4)
+    flat = J.correlations(df.withColumn("b", F.lit(3.0)), "a", "b").first()
+    assert tuple(flat) == (None, None)
     kappa = spark.createDataFrame([("PASS", "PASS"), ("PASS", "FAIL"), ("FAIL", "FAIL"), ("FAIL", "FAIL")], "a string, b string")
     assert J.cohen_kappa(kappa, "a", "b").first()[0] == 0.5
     same = spark.createDataFrame([("PASS", "PASS")], "a string, b string")
