@@ -11,14 +11,18 @@ from .text import WORD
 Dictionary = list[tuple[str, list[str]]]
 
 
-def whole_word_pattern(words: list[str]) -> str:
-    """One alternation that finds any of the words between non-word characters."""
-    escaped = [re.sub(r"([.^$*+?{}\[\]\\|()\-])", r"\\\1", w) for w in words]
-    return rf"(^|[^{WORD}])(?:{'|'.join(escaped)})($|[^{WORD}])"
+def whole_word_pattern(word: str) -> str:
+    """The word with no word character on either side. The word itself comes first, because it fails fastest."""
+    literal = re.sub(r"([.^$*+?{}\[\]\\|()\-])", r"\\\1", word)
+    return rf"{literal}(?<![{WORD}]{literal})(?![{WORD}])"
 
 
 def has_keyword(c: Column, words: list[str]) -> Column:
-    return F.coalesce(F.lower(c).rlike(whole_word_pattern([w.lower() for w in words])), F.lit(False))
+    """Whole-word test in any case. A plain search spares the texts without the word the regex."""
+    lowered, hit = F.lower(c), F.lit(False)
+    for word in (w.lower() for w in words):
+        hit = hit | (lowered.contains(word) & lowered.rlike(whole_word_pattern(word)))
+    return F.coalesce(hit, F.lit(False))
 
 
 def first_match(c: Column, dictionary: Dictionary, default: str) -> Column:

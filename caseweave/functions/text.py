@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # Character classes are spelled out so that every regex engine agrees on them.
 SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\p{Z}"
 WORD = r"\p{L}\p{N}_"
+NO_SPACES = r"(?U)[^\s\x{1c}-\x{1f}]+"  # a run of anything else; (?U) makes \s Unicode
 CONTROL = r"[\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}\x{7f}\x{fffd}]"
 
 TOKEN = rf"[{WORD}](?:[{WORD}']*[{WORD}])?"
@@ -48,7 +49,7 @@ def is_blank(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     """Number of whitespace-separated words; null counts as 0."""
-    return F.coalesce(F.regexp_count(c, F.lit(rf"[^{SPACE}]+")), F.lit(0))
+    return F.coalesce(F.regexp_count(c, F.lit(NO_SPACES)), F.lit(0))
 
 
 def assign_role(inbound: Column, author: Column, brand: str) -> Column:
@@ -95,7 +96,7 @@ def char_wb_ngrams(c: Column, low: int, high: int) -> Column:
 
     A padded word shorter than n is given once, whole, and its longer sizes are skipped.
     """
-    words = F.regexp_extract_all(F.lower(c), F.lit(rf"[^{SPACE}]+"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(c), F.lit(NO_SPACES), F.lit(0))
     padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
     def grams_of(word: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import values as V
 from ..functions import keywords as K
 from ..functions import text as X
+from ..session import is_small, measured, size_measures
 from .brand import brand_mentions, known_brands
 
 
@@ -31,13 +32,21 @@ def brand_reply_counts(tweets: DataFrame, top: int | None = 30) -> DataFrame:
 
 
 def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """Exact lengths in characters and words over all non-null texts."""
+    """Exact lengths in characters and words over all non-null texts.
+
+    Rows are first counted per pair of lengths, so means and medians work on the counts.
+    """
     sizes = df.filter(F.col(text).isNotNull()).select(
         F.length(text).alias("chars"), X.word_count(F.col(text)).alias("words"))
-    return sizes.agg(
-        F.round(F.avg("chars"), 2).alias("char_length_mean"), F.median("chars").alias("char_length_median"),
+    counts = sizes.groupBy("chars", "words").agg(F.count(F.lit(1)).alias("n"))
+
+    def mean(c: str) -> Column:
+        return F.round(F.try_divide(F.sum(F.col(c) * F.col("n")), F.sum("n")), 2)
+
+    return counts.agg(
+        mean("chars").alias("char_length_mean"), F.percentile("chars", 0.5, F.col("n")).alias("char_length_median"),
         F.min("chars").alias("char_length_min"), F.max("chars").alias("char_length_max"),
-        F.round(F.avg("words"), 2).alias("word_count_mean"), F.median("words").alias("word_count_median"))
+        mean("words").alias("word_count_mean"), F.percentile("words", 0.5, F.col("n")).alias("word_count_median"))
 
 
 def date_range(tweets: DataFrame) -> DataFrame:
@@ -69,21 +78,23 @@ def conversation_estimate(first_contacts: Column, outbound: Column) -> Column:
 
 
 def vocabulary_diversity(mentions: DataFrame) -> DataFrame:
-    """Per brand, distinct words longer than three characters.
+    """Per brand, distinct words longer than three characters that do not start with @.
 
     Distinct (brand, word) pairs come first, so a brand with most of the messages is spread by word.
     """
-    words = F.regexp_extract_all("text", F.lit(rf"[^{X.SPACE}]+"), F.lit(0))
-    long_words = F.filter(words, lambda w: (F.length(w) > 3) & ~F.startswith(w, F.lit("@")))
-    return (mentions.select("brand", F.explode(F.array_distinct(F.transform(long_words, F.lower))).alias("word"))
-            .distinct().groupBy("brand").agg(F.count(F.lit(1)).alias("customer_vocabulary_diversity")))
+    long_word = rf"(?<![^{X.SPACE}])[^{X.SPACE}@][^{X.SPACE}]{{3,}}"
+    words = mentions.select("brand", F.explode(F.regexp_extract_all("text", F.lit(long_word), F.lit(0))).alias("word"))
+    return (words.select("brand", F.lower("word").alias("word")).distinct()
+            .groupBy("brand").agg(F.count(F.lit(1)).alias("customer_vocabulary_diversity")))
 
 
-def sample_messages(mentions: DataFrame, k: int = 3) -> DataFrame:
-    """Per brand, the first k customer messages by id."""
+def sample_messages(mentions: DataFrame, tweets: DataFrame, k: int = 3) -> DataFrame:
+    """Per brand, the first k customer messages by id. Only ids are ranked; their texts are fetched after."""
     place = F.row_number().over(Window.partitionBy("brand").orderBy("tweet_id"))
-    return mentions.withColumn("sample_no", place).filter(F.col("sample_no") <= k).select(
-        "brand", "sample_no", "tweet_id", "text")
+    picked = mentions.select("brand", "tweet_id").withColumn("sample_no", place).filter(F.col("sample_no") <= k)
+    picked, sizes = measured(picked, "samples", **size_measures(picked))
+    picked = F.broadcast(picked) if is_small(sizes) else picked
+    return tweets.select("tweet_id", "text").join(picked, "tweet_id").select("brand", "sample_no", "tweet_id", "text")
 
 
 def brand_ranking(tweets: DataFrame, top: int = 30, samples: int = 3) -> DataFrame:
@@ -95,7 +106,7 @@ def brand_ranking(tweets: DataFrame, top: int = 30, samples: int = 3) -> DataFra
     mentions = brand_mentions(tweets, brands, small=True)
     stats = (profile.join(mention_counts(mentions), "brand", "left")
              .join(vocabulary_diversity(mentions), "brand", "left")
-             .join(sample_messages(mentions, samples).groupBy("brand").agg(
+             .join(sample_messages(mentions, tweets, samples).groupBy("brand").agg(
                  F.array_sort(F.collect_list(F.struct("sample_no", "text"))).alias("s")), "brand", "left")
              .na.fill(0))
     table = stats.withColumn("total_messages", c("outbound_brand_replies") + c("inbound_customer_msgs")).withColumn(

@@ -624,7 +624,8 @@ def vocabulary_diversity(s, d):
 
 
 def sample_messages(s, d):
-    return P.sample_messages(B.brand_mentions(T.messages(s, d, True)), 3)
+    m = T.messages(s, d, True)
+    return P.sample_messages(B.brand_mentions(m), m, 3)
 
 
 def brand_ranking(s, d):
