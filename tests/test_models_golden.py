@@ -111,7 +111,7 @@ def test_triage(spark, hybrid):
 def threads(spark):
     words = ["my battery dies fast now ok", "update is odd", "screen", "battery and update together", "hello there friend",
              "wifi wifi", "sound of the speaker", "just saying hi to you"]
-    rows = [(i, f"conv_{i}", words[i % len(words)], "answer text", 2 + i % 4) for i in range(64)]
+    rows = [(i, f"conv_{i}", words[i % len(words)], "answer text here", 2 + i % 4) for i in range(64)]
     return spark.createDataFrame(rows, "root_tweet_id long, conversation_id string, customer_cleaned_issue string, "
                                        "brand_first_response string, turn_count long")
 
