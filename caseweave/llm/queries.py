@@ -5,22 +5,34 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hostrules, mixing, omh, packing, secrets
-from .common import table
+from . import hostrules, mixing, omh, packing, rff, secrets, topk, toxicity
+from .common import fold_of, table
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rff.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold_of("doc_id", 4) == 2)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold_of("doc_id", 5) == 0)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.classes(table(spark, sf_dir, "documents"))
 
