@@ -35,7 +35,16 @@ class Weights(NamedTuple):
     reported: float = 0.6  # in a clause that reports speech, or between quotation marks
     threat: float = 4.0  # intent + threat verb + target
     reach: int = 2
-    gain: float = 0.3  # score = 1 - exp(-gain * sum of clauses)
+
+
+class Calibration(NamedTuple):
+    """score = 1 / (1 + exp(-(slope * log(1 + sum of clauses) + bias)))."""
+
+    slope: float = 3.0
+    bias: float = -4.0
+
+    def __call__(self, total):
+        return 1 / (1 + np.exp(-np.clip(self.slope * np.log1p(total) + self.bias, -30, 30)))
 
 
 class Lexicon(NamedTuple):
@@ -92,12 +101,11 @@ def clause_score(words: list[str], quoted: bool, lexicon: Lexicon, w: Weights) -
     return total * (w.target if target else 1.0) * (w.reported if report else 1.0)
 
 
-def text_score(text: str, lexicon: Lexicon, w: Weights = Weights(), finder=None) -> float:
-    """Of a whole text; `finder` is a pattern that any scoring text must match, to pass by the others."""
+def text_total(text: str, lexicon: Lexicon, w: Weights = Weights(), finder=None) -> float:
+    """The sum over a whole text's clauses; `finder` is a pattern that any scoring text must match, to pass by the others."""
     if finder is not None and not finder.search(text):
         return 0.0
-    total = sum(clause_score(words, quoted, lexicon, w) for words, quoted in clauses(text))
-    return 1 - float(np.exp(-w.gain * total))
+    return sum(clause_score(words, quoted, lexicon, w) for words, quoted in clauses(text))
 
 
 def finder_of(lexicon: Lexicon):
@@ -121,7 +129,6 @@ def learn(labelled: DataFrame, least_contexts: int = 4, least_weight: float = 3.
     A stem's documents are counted once for each of its words. `max_entries`
     bounds the model that is sent to the tasks: the heaviest entries stay, ties by the entry.
     """
-    labelled = materialize(labelled, "labelled")
     n_toxic, n = labelled.agg(F.sum("y"), F.count(F.lit(1))).first()
     if not n_toxic or n_toxic == n:
         return Lexicon({}, {})
@@ -148,16 +155,50 @@ def learn(labelled: DataFrame, least_contexts: int = 4, least_weight: float = 3.
     return Lexicon({r["entry"]: r["weight"] for r in rows if not r["stem"]}, kept)
 
 
-def score(docs: DataFrame, lexicon: Lexicon, weights: Weights = Weights()) -> DataFrame:
-    """`docs` (with text) and score: 1 - exp(-gain * sum of its clauses' scores), in [0, 1)."""
+def totals(docs: DataFrame, lexicon: Lexicon, weights: Weights = Weights()) -> DataFrame:
+    """`docs` (with text) and total: the sum of the clauses' scores."""
     send_code(docs.sparkSession)
 
     @F.pandas_udf("double")
     def judge(texts: pd.Series) -> pd.Series:
         finder = finder_of(lexicon)
-        return pd.Series([text_score(t, lexicon, weights, finder) for t in texts], dtype=float)
-
-    return docs.withColumn("score", judge("text"))
+        return pd.Series([text_total(t, lexicon, weights, finder) for t in texts], dtype=float)
+
+    return docs.withColumn("total", judge("text"))
+
+
+def calibrate(judged: DataFrame, start: Calibration = Calibration(), steps: int = 50) -> Calibration:
+    """Slope and bias by penalised logistic regression (one pseudo-row's pull towards `start`) on rows (total, y).
+    The driver gets counts per total, rounded to tenths and held at 200."""
+    rows = (judged.select(F.round(F.least("total", F.lit(200.0)), 1).alias("t"), "y").groupBy("t", "y")
+            .agg(F.count(F.lit(1)).alias("n")).orderBy("t", "y").collect())
+    if len({r["y"] for r in rows}) < 2:
+        return start
+    x = np.array([[np.log1p(r["t"]), 1.0] for r in rows])
+    y, n = np.array([r["y"] for r in rows], float), np.array([r["n"] for r in rows], float)
+    first = b = np.array(start)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        hessian = x.T @ (x * (n * p * (1 - p))[:, None]) + np.eye(2)
+        move = np.linalg.solve(hessian, x.T @ (n * (y - p)) - (b - first))
+        b = b + move / max(1.0, np.abs(move).max())
+    return Calibration(max(float(b[0]), 0.1), float(b[1]))
+
+
+def score(docs: DataFrame, lexicon: Lexicon, calibration: Calibration, weights: Weights = Weights()) -> DataFrame:
+    """`docs` (with text), total and score: the calibrated total, in [0, 1]."""
+    log = F.log1p("total") * F.lit(calibration.slope) + F.lit(calibration.bias)
+    return totals(docs, lexicon, weights).withColumn("score", 1 / (1 + F.exp(-log)))
+
+
+def fit(labelled: DataFrame, weights: Weights = Weights(), **options) -> tuple[Lexicon, Calibration]:
+    """From rows (doc_id, text, y), all of them: a lexicon learned from four fifths and calibrated on the others,
+    then the lexicon of all rows under that calibration."""
+    labelled = materialize(labelled, "labelled")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(5))
+    part = learn(labelled.filter(fold < 4), **options)
+    calibration = calibrate(totals(labelled.filter(fold == 4), part, weights))
+    return learn(labelled, **options), calibration
 
 
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.5, weights: Weights = Weights(), **options) -> DataFrame:
@@ -165,13 +206,15 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: fl
 
     Labels are learned from rows where `held_out` (an expression over doc_id) is false.
 
-    Null or empty text: score 0. Null doc_id: scored, never a training row, held_out false. Null labels and labels of
-    unknown documents are not used; of several labels of a document the largest counts. Repeated rows are scored each.
-    Without toxic labels the lexicon is empty and only threats score. Empty documents: no rows.
+    Null or empty text: the score of a total of 0. Null doc_id: scored, never a training row, held_out false. Null
+    labels and labels of unknown documents are not used; of several labels of a document the largest counts. Repeated
+    rows are scored each. Without labels of both kinds the lexicon is empty and only threats score. Empty documents: no rows.
     """
     rows = documents(docs).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y"))
              .filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y")))
     known, sizes = measured(known, "labels", **size_measures(known))
-    lexicon = learn(rows.filter("not held_out").join(F.broadcast(known) if is_small(sizes) else known, "doc_id"), **options)
-    return score(rows, lexicon, weights).select("doc_id", "held_out", "score", (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
+    train = rows.filter("not held_out").join(F.broadcast(known) if is_small(sizes) else known, "doc_id")
+    lexicon, calibration = fit(train, weights, **options)
+    return score(rows, lexicon, calibration, weights).select(
+        "doc_id", "held_out", "score", (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
