@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hostrules, mixing, omh, packing, rff, secrets, topk, toxicity
+from . import chat, hostrules, mixing, omh, packing, rff, secrets, topk, toxicity, unigram
 from .common import fold_of, table
 
 
@@ -21,6 +21,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.judge(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.count(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rff.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold_of("doc_id", 4) == 2)
 
@@ -29,6 +33,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(given.unionByName(added)))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold_of("doc_id", 5) == 0)
 
