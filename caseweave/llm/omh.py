@@ -7,9 +7,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import documents, materialize
+from .common import documents, is_small, materialize, measured, size_measures
 
 MIX1, MIX2, STEP = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -17,14 +17,17 @@ MIX1, MIX2, STEP = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111E
 class Settings(NamedTuple):
     """k words a shingle; the least similarity; `tables` sketches of `order` shingles each.
 
-    A pair of similarity s agrees in one sketch with probability about s^order, so at 0.8 all 20 sketches of a
-    pair differ with probability (1 - 0.8^3)^20 = 6e-7.
+    A pair of similarity s agrees in one sketch with probability about s^order, so at 0.8 all 24 sketches of a
+    pair differ with probability (1 - 0.8^4)^24 = 3e-6. Sampling without return lowers that for short texts, so
+    those of up to `short` shingles have as many sketches of `short_order` besides.
     """
 
     k: int = 5
     similarity: float = 0.8
-    tables: int = 20
-    order: int = 3
+    tables: int = 24
+    order: int = 4
+    short: int = 12
+    short_order: int = 2
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -62,18 +65,33 @@ def labelled_shingles(text: str, k: int) -> np.ndarray:
     return x
 
 
-def sketches(shingles: np.ndarray, tables: int, order: int) -> list[int]:
+def sketches(shingles: np.ndarray, tables: int, order: int) -> np.ndarray:
     """One number for each table: the `order` shingles with the smallest hashes there, in text order."""
-    width = min(order, len(shingles))
+    n, width = len(shingles), min(order, len(shingles))
+    salts = mixed(np.arange(2, 2 * tables + 2, dtype=np.uint64) * STEP).reshape(2, tables, 1)
     low = np.empty((tables, width), np.int64)
-    for t, salt in enumerate(mixed(np.arange(1, tables + 1, dtype=np.uint64) * STEP)):
-        h = mixed(shingles ^ salt)
-        low[t] = np.argpartition(h, width - 1)[:width] if width < len(h) else np.arange(width)
+    for part in range(0, tables, max(1, 2_000_000 // max(n, 1))):
+        rows = slice(part, min(tables, part + max(1, 2_000_000 // max(n, 1))))
+        h = (shingles ^ salts[0, rows]) * (salts[1, rows] | np.uint64(1))
+        low[rows] = smallest(h, width)
     chosen = shingles[np.sort(low, axis=1)]
-    key = np.arange(tables, dtype=np.uint64)
+    key = np.arange(tables, dtype=np.uint64) + np.uint64(tables * order)
     for place in range(width):
         key = mixed(key * MIX1 + STEP + chosen[:, place])
-    return key.view(np.int64).tolist()
+    return key.view(np.int64)
+
+
+def smallest(h: np.ndarray, width: int) -> np.ndarray:
+    """The places of the `width` smallest values of each row. Most rows have enough values below a low bound, and
+    only those are sorted."""
+    n = h.shape[1]
+    if n > 16 * width:
+        r, c = np.nonzero(h < np.uint64(int(2 ** 64 * 4 * width / n)))
+        first = np.searchsorted(r, np.arange(len(h) + 1))
+        if (np.diff(first) >= width).all():
+            by_value = np.lexsort((h[r, c], r))
+            return c[by_value[first[:-1, None] + np.arange(width)]]
+    return np.argpartition(h, width - 1, axis=1)[:, :width] if width < n else np.tile(np.arange(n), (len(h), 1))
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -114,7 +132,10 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
         for text in texts:
             shingles = labelled_shingles(text, s.k)
             digest = xxhash.xxh3_128_hexdigest(b" ".join(text.encode("utf-8", "surrogatepass").split()))
-            rows.append((digest, len(shingles), sketches(shingles, s.tables, s.order) if len(shingles) else []))
+            keys = [sketches(shingles, s.tables, s.order)] if len(shingles) else []
+            if 0 < len(shingles) <= s.short:
+                keys.append(sketches(shingles, s.tables, s.short_order))
+            rows.append((digest, len(shingles), np.concatenate(keys) if keys else []))
         return pd.DataFrame(rows, columns=["digest", "n", "keys"])
 
     return documents(docs).filter("doc_id is not null").withColumn("_s", sign("text")).select("doc_id", "_s.*")
@@ -138,25 +159,62 @@ def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
     return nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose texts align. Only texts named by a pair are cut into shingles."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def cut_texts(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
+    """node, shingles (bytes) of the texts named in `wanted` (node); its ids are broadcast only if they are few."""
+    wanted, sizes = measured(wanted, "wanted", **size_measures(wanted))
 
     @F.pandas_udf("binary")
     def cut(texts: pd.Series) -> pd.Series:
         return pd.Series([labelled_shingles(t, s.k).tobytes() for t in texts], dtype=object)
 
-    texts = documents(docs).join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = materialize(texts.select("doc_id", cut("text").alias("shingles")), "shingles")
+    texts = documents(docs).withColumnRenamed("doc_id", "node")
+    texts = texts.join(F.broadcast(wanted) if is_small(sizes) else wanted, "node", "left_semi")
+    return materialize(texts.select("node", cut("text").alias("shingles")).dropDuplicates(["node"]), "shingles")
+
 
+def verified(pairs: DataFrame, shingles: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingles align."""
     @F.pandas_udf("boolean")
     def test(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([aligned(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), s.similarity) for x, y in zip(a, b)], dtype=bool)
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    found = pairs.join(left, "a").join(right, "b").filter(test("sa", "sb")).select("a", "b")
-    return materialize(found, "links")
+    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    return materialize(pairs.join(left, "a").join(right, "b").filter(test("sa", "sb")).select("a", "b"), "links")
+
+
+def rare_pairs(open_: DataFrame, shingles: DataFrame, s: Settings) -> DataFrame:
+    """All pairs (a, b) of different classes among `open_` (node, comp, n) that can be similar.
+
+    Shingles are put in one order, from the rarest to the most frequent among the open texts. Two texts of
+    similarity s share one of the first n - ceil(s n) + 1 of either, so it is enough to meet there. What many texts
+    share (a common passage, the unchanged part of many near copies) comes last and pairs nobody.
+    """
+    @F.pandas_udf("array<int>")
+    def folded(values: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(np.frombuffer(x, np.uint64).astype(np.uint32).view(np.int32)) for x in values], dtype=object)
+
+    rows = shingles.join(open_, "node").select("node", F.explode(folded("shingles")).alias("shingle"))
+    rows = materialize(rows, "openshingles")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = rows.join(often, "shingle")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("node"))
+    placed = shared.select("node", "shingle", place.alias("place"), many.alias("many")).join(open_, "node")
+    # texts that folding to 32 bits made shorter by a shingle or two are met by two places more
+    reach = F.col("n") - F.ceil(F.lit(s.similarity) * F.col("n")) + 3
+    prefix = placed.filter(F.col("n") - F.col("many") + F.col("place") <= reach).select("shingle", "node", "comp", "n")
+    prefix = materialize(prefix, "prefixes")
+    undecided = prefix.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("shingle")
+    prefix = materialize(prefix.join(undecided, "shingle"), "undecided")
+    other = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
+    pairs = prefix.withColumnRenamed("node", "a").join(other, "shingle").filter("comp <> other and a < b").filter(alike(s))
+    return materialize(pairs.select("a", "b").distinct(), "pairs")
+
+
+def alike(s: Settings):
+    """n and m shingles can reach the similarity."""
+    return F.least("n", "m") >= F.lit(s.similarity) * F.greatest("n", "m")
 
 
 def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -166,43 +224,37 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     repetition) that a common order can align is at least `similarity`; classes are the connected groups. Exact
     copies are reduced to one representative first.
 
-    Candidates share a sketch (ordered shingles with the least hashes in one of `tables` orders). First every
+    Candidates share a sketch: the ordered shingles with the least hashes in one of `tables` orders. First every
     text is aligned with the smallest doc_id of each of its buckets; that joins the bulk of every group by few
-    pairs. Then all pairs of a bucket that are still in different classes are aligned as well, so that no
-    link between two texts that share a sketch is left out, and no pair inside a known class is ever made.
-    All pairs are rows of joins that Spark splits; nothing is gathered by bucket or class.
+    pairs. Texts whose buckets then still hold several classes are compared across classes by `rare_pairs`, which leaves
+    out no pair that can reach the similarity and makes none inside a known class. All pairs are rows of
+    joins that Spark splits; nothing is gathered by bucket or class.
 
     Null and empty texts have no words and are copies of each other. Null doc_id: class and size null. Several
-    rows with one doc_id give one row, with the first row's text in the order of its digest. Empty table: no rows. Other columns are
+    rows with one doc_id give one row, for the text with the smallest digest. Empty table: no rows. Other columns are
     ignored.
     """
     signed = materialize(signatures(docs, s), "signed")
-    one = signed.groupBy("doc_id").agg(F.min_by(F.struct("digest", "n"), "digest").alias("t")).select("doc_id", "t.*")
-    copies = materialize(one, "texts")
+    copies = materialize(signed.groupBy("doc_id").agg(F.min_by(F.struct("digest", "n"), "digest").alias("t")).select("doc_id", "t.*"), "texts")
     reps = materialize(copies.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n")), "reps")
+    nodes = reps.select("node")
     keyed = signed.join(reps.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
     keyed = materialize(keyed.select(F.col("doc_id").alias("node"), "n", F.explode("keys").alias("key")), "keys")
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    keyed = materialize(keyed.join(hubs, "key"), "buckets")
-    alike = F.least("n", "m") >= F.lit(s.similarity) * F.greatest("n", "m")
-    stars = keyed.filter("node <> hub").withColumnRenamed("hub_n", "m").filter(alike).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    nodes = reps.select("node")
-    stars = materialize(stars, "stars")
-    links = verified(stars, docs, s)
-    found = components(nodes, links, "firstclasses")
-    known = materialize(keyed.select("key", "node", "n").join(found, "node"), "known")
-    mixed_keys = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-    open_ = materialize(known.join(mixed_keys, "key"), "open")
-    other = open_.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
-    pairs = open_.join(other, "key").filter("comp <> other and node < b").filter(alike).select(F.col("node").alias("a"), "b").distinct()
-    pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(verified(pairs, docs, s))
+    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("m"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    keyed = materialize(keyed.join(hubs.drop("size"), "key"), "buckets")
+    shingles = cut_texts(docs, keyed.select("node").distinct(), s)
+    stars = materialize(keyed.filter("node <> hub").filter(alike(s)).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    links = verified(stars, shingles, s)
+    known = materialize(keyed.select("key", "node", "n").join(components(nodes, links, "firstclasses"), "node"), "known")
+    several = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
+    open_ = materialize(known.join(several, "key", "left_semi").select("node", "comp", "n").distinct(), "open")
+    pairs = rare_pairs(open_, shingles, s).join(stars, ["a", "b"], "left_anti")
+    links = links.union(verified(pairs, shingles, s))
     found = components(nodes, links, "classes").withColumnRenamed("comp", "class")
     lowest = copies.join(reps.select("node", "digest"), "digest").join(found, "node")
     sizes = lowest.groupBy("class").agg(F.count(F.lit(1)).alias("class_size"))
     named = lowest.join(sizes, "class").select("doc_id", F.col("class").alias("class_id"), "class_size")
-    missing = docs.filter("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"),
-                                                   F.lit(None).cast("long").alias("class_size"))
+    missing = docs.filter("doc_id is null").select(*[F.lit(None).cast("long").alias(c) for c in named.columns])
     return named.unionByName(missing)
 
 
