@@ -30,9 +30,14 @@ def difficulty(words: Column, turns: Column) -> Column:
     return F.when(words < 6, "hard").when((words > 25) | (turns > 3), "medium").otherwise("easy")
 
 
+def single_matches(pool: DataFrame) -> DataFrame:
+    """Threads that match exactly one intent, with it as their label."""
+    return pool.filter(F.size("intents") == 1).withColumn("gold_intent", F.col("intents")[0])
+
+
 def stratified_sample(pool: DataFrame, n: int = PER_INTENT, seed: int = 42) -> DataFrame:
     """At most n threads of every intent, from those that match exactly one."""
-    single = pool.filter(F.size("intents") == 1).withColumn("gold_intent", F.col("intents")[0])
+    single = single_matches(pool)
     place = F.row_number().over(
         Window.partitionBy("gold_intent").orderBy(draw_order(seed, "conversation_id"), "conversation_id"))
     return single.withColumn("draw_no", place).filter(F.col("draw_no") <= n)

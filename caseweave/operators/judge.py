@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import values as V
 from ..functions import text as X
+from ..session import lookup_join, materialize
 from .golden import draw_order
 
 AXES = ["correctness", "groundedness", "helpfulness", "unsupported_claims", "tone"]
@@ -52,33 +53,29 @@ def agreement_sample(scores: DataFrame, key: str, n: int = 50, seed: int = 42) -
     return scores.orderBy(draw_order(seed, key), key).limit(n)
 
 
-def second_rater(scores: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """A stand-in second rating: the judge's score moved by a drawn variance, with its own verdict.
-
-    Join a table of real ratings with the same columns instead where one exists.
-    """
-    pick = F.pmod(F.conv(F.substring(draw_order(seed + 1, key), 1, 6), 16, 10).cast("bigint"), F.lit(5)).cast("int")
-    variance = F.element_at(F.array(*[F.lit(v) for v in V.RATER_VARIANCE]), pick + 1)
-    moved = F.least(F.lit(5.0), F.greatest(F.lit(1.0), F.round(F.col("overall_score") + variance, 2)))
-    return scores.withColumn("human_score", moved).withColumn(
-        "human_verdict",
-        F.when((F.col("human_score") >= 3.5) & (F.col("unsupported_claims") >= 4.0), "PASS").otherwise("FAIL"))
-
-
 def average_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Add the rank of a score, ties sharing their average.
+    """Add the rank of a value, ties sharing their average. Rows with a null value drop out.
 
-    Ranks come from the counts per distinct score, not from a sort of all rows. Scores have two
-    decimals between 1 and 5, so there are at most 401 of them.
+    Counts per distinct value are dealt by range; a value's rank is the total of the ranges before its own, plus
+    the counts before it inside its range, so no task sees all values.
     """
-    counts = df.groupBy(F.round(column, 2).alias("_score")).agg(F.count(F.lit(1)).alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = counts.select("_score", (below + (F.col("n") + 1) / 2).alias(out))
-    return df.withColumn("_score", F.round(column, 2)).join(F.broadcast(ranks), "_score").drop("_score")
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.repartitionByRange("_value").withColumn("part", F.spark_partition_id()), "values")
+    parts = counts.groupBy("part").agg(F.sum("n").alias("held"))  # one row per task
+    before = F.coalesce(F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("_value").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = counts.join(F.broadcast(parts.select("part", before.alias("before"))), "part")
+    ranks = ranked.select("_value", (F.col("before") + inside + (F.col("n") + 1) / 2).alias(out))
+    return lookup_join(df.withColumn("_value", F.col(column)), ranks, "_value").drop("_value")
 
 
 def correlations(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Pearson, and Spearman as Pearson over average ranks; null when a side does not vary."""
+    """Pearson, and Spearman as Pearson over average ranks; null when a side does not vary.
+
+    Ranks use the values as they are. Pairs with a null or NaN on either side are left out."""
+    real = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    df = df.filter(real(a) & real(b))
     ranked = average_ranks(average_ranks(df, a, "_rank_a"), b, "_rank_b")
     pairs = {"spearman_correlation_rho": ("_rank_a", "_rank_b"), "pearson_correlation_r": (a, b)}
     sums = ranked.agg(*[f(*args).alias(f"{name}_{i}") for name, (x, y) in pairs.items() for i, (f, args) in enumerate(

@@ -1,28 +1,26 @@
 """Historical cases and the nearest ones for every message.
 
-The index is a set of tables. Cosine similarity is computed in blocks: the index is cut into
-blocks of a bounded number of cases, the queries into shards of a bounded number of queries, and
-every (block, shard) pair is one task that keeps only its k best cases per query. A join on the
-term would instead emit every pair of texts that share a frequent word.
+The index is a set of tables: cases, terms with their idf and their largest weight in any case, and postings. A search is
+a chain of joins on terms that stays exact without meeting every case: the rarest terms of a query give a lower
+bound for its k-th best score, and the frequent terms that cannot reach that bound even together select no case.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import values as V
 from ..functions import text as X
-from ..session import fits_broadcast, fresh_path, is_small, lookup_join, measured, size_measures
+from ..session import fits_broadcast, fresh_path, is_small, lookup_join, materialize, measured, size_measures
 from . import labels
-from .features import Analyzer, idf, number_terms, raw_weights, term_counts, vocabulary
+from .features import Analyzer, idf, raw_weights, term_counts, vocabulary
 
-RETRIEVAL = Analyzer("word", 1, 3, True, X.TOKEN, V.RETRIEVAL_TERMS)
-BLOCK_CASES = 16_384
-SHARD_QUERIES = 100_000
+RETRIEVAL = Analyzer("word", 1, 3, True, X.TOKEN, None)
+PROBE = 1_000  # so many postings of a query's rarest terms are read for the lower bound
+SLOT = 200_000  # postings of one term in one slot
+CLOSE = 2e-6  # more than the rounding of a similarity can hide
 
 CASE_COLUMNS = ["case_order", "case_id", "customer_issue", "brand_resolution", "conversation_context", "intent",
                 "turn_count"]
@@ -30,22 +28,21 @@ CASE_COLUMNS = ["case_order", "case_id", "customer_issue", "brand_resolution", "
 
 @dataclass
 class CaseIndex:
-    """cases, idf (term -> feature, idf) and postings (block, feature, cases, weights)."""
+    """cases, idf (term, n, df, idf, top, slots) and postings (term, slot, case_order, intent, weight)."""
 
     cases: DataFrame
     idf: DataFrame
     postings: DataFrame
-    blocks: int
     analyzer: Analyzer
     small_cases: bool  # measured: may the table be broadcast
     small_idf: bool
 
 
 def build_cases(threads: DataFrame, held_out: DataFrame | None, dictionary=V.CORE_KEYWORDS,
-                max_cases: int | None = V.MAX_CASES, default: str = V.DEFAULT_INTENT) -> DataFrame:
+                max_cases: int | None = None, default: str = V.DEFAULT_INTENT) -> DataFrame:
     """Issue and first reply of every usable thread, held-out conversations excluded.
 
-    Both texts need three words. The first `max_cases` in thread order are kept; None keeps all.
+    Both texts need three words. All are kept, or the first `max_cases` in thread order if a number is given.
     """
     pool = threads
     if held_out is not None:
@@ -61,38 +58,38 @@ def build_cases(threads: DataFrame, held_out: DataFrame | None, dictionary=V.COR
         F.col("customer_cleaned_issue").alias("conversation_context"), "intent", "turn_count")
 
 
-def build_index(cases: DataFrame, path: str | None = None, analyzer: Analyzer = RETRIEVAL,
-                block_cases: int = BLOCK_CASES) -> CaseIndex:
-    """Write cases, idf and postings as Parquet tables and return them."""
-    spark = cases.sparkSession
-    path = path or fresh_path(spark, "index")
+def build_index(cases: DataFrame, path: str | None = None, analyzer: Analyzer = RETRIEVAL, slot: int = SLOT) -> CaseIndex:
+    """Write cases, idf and postings as Parquet tables and return them. N-grams are cut and counted once.
+
+    All terms are kept unless the analyzer has `max_features`. A term in very many cases has its postings spread
+    over slots of about `slot` rows.
+    """
+    path = path or fresh_path(cases.sparkSession, "index")
     cases, case_sizes = measured(cases, "cases", f"{path}/cases", **size_measures(cases))
-    n = case_sizes["rows"]
-    counts = term_counts(cases, "case_order", "customer_issue", analyzer)
-    table = idf(number_terms(vocabulary(counts, analyzer.max_features)), n)
-    table, idf_sizes = measured(table, "idf", f"{path}/idf", **size_measures(table))
-    blocks = max(1, math.ceil(n / block_cases))
-    raw = raw_weights(counts, table.select("term", "feature", "idf"), small=is_small(idf_sizes))
+    counts = materialize(term_counts(cases, "case_order", "customer_issue", analyzer), "casecounts")
+    table = idf(vocabulary(counts, analyzer.max_features), case_sizes["rows"])
+    table, sizes = measured(table, "caseidf", **size_measures(table))
+    raw = raw_weights(counts, table.select("term", "idf", "df"), small=is_small(sizes))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("case_order")))
-    weighted = raw.select(F.pmod(F.xxhash64("case_order"), F.lit(blocks)).cast("int").alias("block"), "feature",
-                          "case_order", (F.col("raw") / length).alias("weight"))
-    # a (block, feature) group holds at most the cases of one block
-    postings = weighted.groupBy("block", "feature").agg(
-        F.collect_list("case_order").alias("cases"), F.collect_list("weight").alias("weights"))
-    postings = measured(postings, "postings", f"{path}/postings")[0]
-    return CaseIndex(cases, table, postings, blocks, analyzer, is_small(case_sizes), is_small(idf_sizes))
+    slots = F.ceil(F.col("df") / F.lit(slot)).cast("int")
+    weighted = raw.select("case_order", "term", (F.col("raw") / length).alias("weight"),
+                          F.pmod(F.xxhash64("case_order"), slots).cast("int").alias("slot"))
+    weighted = weighted.join(cases.select("case_order", "intent"), "case_order")
+    postings = measured(weighted.select("term", "slot", "case_order", "intent", "weight"), "postings", f"{path}/postings")[0]
+    tops = postings.groupBy("term").agg(F.max("weight").alias("top"))
+    table = table.join(tops, "term").withColumn("slots", slots)
+    table, sizes = measured(table, "idf", f"{path}/idf", **size_measures(table))
+    return CaseIndex(cases, table, postings, analyzer, is_small(case_sizes), is_small(sizes))
 
 
 def load_index(spark: SparkSession, path: str, analyzer: Analyzer = RETRIEVAL) -> CaseIndex:
-    cases, table = spark.read.parquet(f"{path}/cases"), spark.read.parquet(f"{path}/idf")
-    postings = spark.read.parquet(f"{path}/postings")
-    blocks = (postings.agg(F.max("block")).first()[0] or 0) + 1
-    return CaseIndex(cases, table, postings, blocks, analyzer, fits_broadcast(cases), fits_broadcast(table))
+    cases, table, postings = [spark.read.parquet(f"{path}/{name}") for name in ("cases", "idf", "postings")]
+    return CaseIndex(cases, table, postings, analyzer, fits_broadcast(cases), fits_broadcast(table))
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{path}/postings/_SUCCESS")
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}/idf/_SUCCESS")
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
@@ -103,117 +100,96 @@ def load_or_build_index(spark: SparkSession, path: str, make_cases) -> CaseIndex
 
 def postings_long(index: CaseIndex) -> DataFrame:
     """The index as (case_order, term, weight) rows."""
-    flat = index.postings.select("feature", F.explode(F.arrays_zip("cases", "weights")).alias("p")).select(
-        "feature", F.col("p.cases").alias("case_order"), F.col("p.weights").alias("weight"))
-    return lookup_join(flat, index.idf.select("feature", "term"), "feature", small=index.small_idf).select(
-        "case_order", "term", "weight")
+    return index.postings.select("case_order", "term", "weight")
 
 
-def query_vectors(queries: DataFrame, index: CaseIndex, query_id: str, text: str) -> DataFrame:
-    """Unit-length sparse vectors of the non-blank queries, weighted with the idf of the index.
-
-    Terms the index does not know drop out; a query without known terms keeps empty arrays.
-    """
+def query_terms(queries: DataFrame, index: CaseIndex, query_id: str, text: str) -> DataFrame:
+    """(query, term, weight, df, top, slots): unit-length vectors of the non-blank queries under the idf of the index.
+    Terms that the index does not know drop out."""
     asked = queries.filter(~X.is_blank(F.col(text)))
     raw = raw_weights(term_counts(asked, query_id, text, index.analyzer),
-                      index.idf.select("term", "feature", "idf"), "left", index.small_idf)
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
-    return (raw.groupBy(query_id).agg(F.collect_list("feature").alias("features"),
-                                      F.collect_list("raw").alias("raws"), length.alias("length"))
-            .select(query_id, "features", F.transform("raws", lambda w: w / F.col("length")).alias("weights")))
-
-
-def _block_scorer(query_id: str, k: int):
-    """The small kernel of one (block, shard) task: sparse dot products and a top-k per query."""
-
-    def score(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-        import pandas as pd
-
-        members = block[block["feature"].isna()]
-        order = np.sort(members["case_order"].to_numpy(dtype="int64"))
-        intents = members.set_index("case_order")["intent"].reindex(order).to_numpy()
-        known = block[block["feature"].notna()]
-        # all postings end to end; a feature owns the stretch from its start to the next one's
-        stretch = np.zeros(len(known) + 1, dtype="int64")
-        places, heights = np.array([], dtype="int64"), np.array([])
-        if len(known):
-            stretch[1:] = np.cumsum([len(c) for c in known["cases"]])
-            places = np.searchsorted(order, np.concatenate(known["cases"].to_numpy()))
-            heights = np.concatenate(known["weights"].to_numpy())
-        start_of = dict(zip(known["feature"].astype("int64"), range(len(known))))
-        out_query, out_case, out_score = [], [], []
-        allowed_of = {}
-        for qid, features, weights, wanted in zip(
-                queries[query_id], queries["features"], queries["weights"], queries["wanted"]):
-            scores = np.zeros(len(order))
-            for feature, weight in zip(features, weights):
-                at = start_of.get(feature)
-                if at is not None:
-                    own = slice(stretch[at], stretch[at + 1])
-                    scores[places[own]] += weight * heights[own]
-            if wanted is None:
-                allowed = None
-            else:
-                if wanted not in allowed_of:
-                    allowed_of[wanted] = np.flatnonzero((intents == wanted) | pd.isna(intents))
-                allowed = allowed_of[wanted]
-            rows = np.arange(len(order)) if allowed is None else allowed
-            keys = np.round(scores[rows], 6)
-            if len(rows) > k:
-                # everything at or above the k-th key stays in play, so ties keep case order
-                rows = rows[keys >= np.partition(keys, len(keys) - k)[len(keys) - k]]
-                keys = np.round(scores[rows], 6)
-            best = rows[np.lexsort((order[rows], -keys))[:k]]
-            out_query += [qid] * len(best)
-            out_case.append(order[best])
-            out_score.append(scores[best])
-        return pd.DataFrame({
-            query_id: out_query,
-            "case_order": np.concatenate(out_case) if out_case else np.array([], dtype="int64"),
-            "similarity": np.concatenate(out_score) if out_score else np.array([], dtype="float64")})
-
-    return score
+                      index.idf.select("term", "idf", "df", "top", "slots"), small=index.small_idf)
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(query_id)))
+    return raw.select(query_id, "term", (F.col("raw") / length).alias("weight"), "df", "top", "slots")
+
+
+def wanted_intents(queries: DataFrame, index: CaseIndex, query_id: str, intent: str | None) -> DataFrame:
+    """(query, wanted): the intent that a query is held to; null where any case counts."""
+    if intent is None:
+        return queries.select(query_id, F.lit(None).cast("string").alias("wanted"))
+    open_case = index.cases.agg(F.coalesce(F.max(F.col("intent").isNull()), F.lit(False))).scalar()
+    served = index.cases.select(F.col("intent").alias("wanted"), F.lit(True).alias("served")).distinct()
+    asked = queries.select(query_id, F.nullif(F.col(intent), F.lit("")).alias("wanted"))
+    return lookup_join(asked, served.filter(F.col("wanted").isNotNull()), "wanted", "left").select(
+        query_id, F.when(F.col("served") | open_case, F.col("wanted")).alias("wanted"))
+
+
+def hits(terms: DataFrame, index: CaseIndex, query_id: str) -> DataFrame:
+    """(query, case_order, part): one row for every term that a query and an allowed case share."""
+    slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
+    asked = terms.select(query_id, "wanted", "term", F.col("weight").alias("own"), slot)
+    met = asked.join(index.postings, ["term", "slot"])
+    met = met.filter(F.col("wanted").isNull() | F.col("intent").isNull() | (F.col("intent") == F.col("wanted")))
+    return met.select(query_id, "case_order", (F.col("own") * F.col("weight")).alias("part"))
+
+
+def first_cases(rows: DataFrame, k: int) -> Column:
+    """The first k case numbers of a table as an array."""
+    found = [r[0] for r in rows.orderBy("case_order").limit(k).select("case_order").collect()]  # k rows
+    return F.array(*[F.lit(c) for c in found]).cast("array<bigint>")
+
+
+def first_cases_by_intent(index: CaseIndex, free: Column, k: int) -> DataFrame:
+    """(wanted, own): for every intent its first k cases, together with those of no intent (`free`)."""
+    place = F.row_number().over(Window.partitionBy("intent").orderBy("case_order"))
+    own = index.cases.filter("intent is not null").select("intent", "case_order", place.alias("place")).filter(F.col("place") <= k)
+    own = own.groupBy(F.col("intent").alias("wanted")).agg(F.collect_list("case_order").alias("own"))  # k entries
+    return own.select("wanted", F.slice(F.array_sort(F.concat("own", free)), 1, k).alias("own"))
 
 
 def top_cases(queries: DataFrame, index: CaseIndex, query_id: str, text: str, k: int = 3, intent: str | None = None,
-              min_similarity: float = 0.0, shard_queries: int = SHARD_QUERIES) -> DataFrame:
+              min_similarity: float = 0.0, probe: int = PROBE) -> DataFrame:
     """(query, rank, case_order, similarity): the k most similar cases of every non-blank query.
 
     Order: similarity (6 decimals) descending, then case order; cases without any common term fill
     up to k. With `intent` (a column of the queries) only cases of that intent, or of none, count,
     unless no case qualifies. `min_similarity` applies after the cut to k; ranks are then closed up.
+
+    The result is exact. `probe` bounds only the postings that are read for the lower bound.
     """
-    spark = queries.sparkSession
-    vectors = query_vectors(queries, index, query_id, text)
-    if intent is None:
-        vectors = vectors.withColumn("wanted", F.lit(None).cast("string"))
-    else:
-        open_case = index.cases.agg(F.coalesce(F.max(F.col("intent").isNull()), F.lit(False))).scalar()
-        served = index.cases.select(F.col("intent").alias("wanted"), F.lit(True).alias("served")).distinct()
-        asked = queries.select(query_id, F.nullif(F.col(intent), F.lit("")).alias("wanted"))
-        asked = lookup_join(asked, served.filter(F.col("wanted").isNotNull()), "wanted", "left").select(
-            query_id, F.when(F.col("served") | open_case, F.col("wanted")).alias("wanted"))
-        vectors = vectors.join(asked, query_id)
-    total = queries.count()
-    wish = min(spark.sparkContext.defaultParallelism, math.ceil(total / 500))
-    shards = max(1, wish, math.ceil(total / shard_queries))
-    sharded = vectors.withColumn("shard", F.pmod(F.xxhash64(query_id), F.lit(shards)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(index.blocks - 1))))
-    members = index.cases.select(
-        F.pmod(F.xxhash64("case_order"), F.lit(index.blocks)).cast("int").alias("block"),
-        F.lit(None).cast("int").alias("feature"), "case_order", "intent",
-        F.lit(None).cast("array<bigint>").alias("cases"), F.lit(None).cast("array<double>").alias("weights"))
-    lists = index.postings.select("block", F.col("feature").cast("int").alias("feature"),
-                                  F.lit(None).cast("bigint").alias("case_order"),
-                                  F.lit(None).cast("string").alias("intent"), "cases", "weights")
-    sides = members.unionByName(lists).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    schema = T.StructType([vectors.schema[query_id], T.StructField("case_order", T.LongType()),
-                           T.StructField("similarity", T.DoubleType())])
-    found = (sharded.groupBy("block", "shard").cogroup(sides.groupBy("block", "shard"))
-             .applyInPandas(_block_scorer(query_id, k), schema))
+    asked = materialize(wanted_intents(queries.filter(~X.is_blank(F.col(text))), index, query_id, intent), "asked")
+    rare_first = Window.partitionBy(query_id).orderBy("df", "term")
+    bound = F.col("weight") * F.col("top")
+    terms = query_terms(queries, index, query_id, text).join(asked, query_id).withColumns({
+        "bound": bound,
+        "read": F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, 0)),
+        "reach": F.sum(bound).over(rare_first.rowsBetween(0, Window.unboundedFollowing))})
+    terms = materialize(terms, "queryterms")
+    by_score = Window.partitionBy(query_id).orderBy(F.desc("part"))
+    found = hits(terms.filter(F.col("read") <= probe), index, query_id).groupBy(query_id, "case_order").agg(F.sum("part").alias("part"))
+    floors = found.withColumn("place", F.row_number().over(by_score)).filter(F.col("place") == k).select(query_id, F.col("part").alias("floor"))
+    floor = F.coalesce("floor", F.lit(0.0)) - F.lit(CLOSE)
+    terms, seen = measured(terms.join(floors, query_id, "left").withColumn("selects", F.col("reach") >= floor), "chosenterms",
+                           left=F.count_if(F.col("reach") < floor))
+    parts = hits(terms.filter("selects"), index, query_id).groupBy(query_id, "case_order").agg(F.sum("part").alias("part"))
+    if seen["left"]:
+        more = F.sum(F.when(~F.col("selects"), F.col("bound")).otherwise(0.0)).alias("more")
+        limits = terms.groupBy(query_id).agg(more, F.max(floor).alias("floor"))
+        alive = materialize(parts.join(limits, query_id).filter("part + more >= floor").select(query_id, "case_order", "part"), "alive")
+        rest = hits(terms.filter("not selects"), index, query_id).join(alive.select(query_id, "case_order"), [query_id, "case_order"], "left_semi")
+        parts = alive.unionByName(rest).groupBy(query_id, "case_order").agg(F.sum("part").alias("part"))
     place = Window.partitionBy(query_id).orderBy(F.desc(F.round("similarity", 6)), "case_order")
-    best = found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    best = parts.withColumnRenamed("part", "similarity").withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    best = materialize(best, "best")
+    few = asked.join(best.groupBy(query_id).agg(F.count(F.lit(1)).alias("n")), query_id, "left").filter(F.coalesce("n", F.lit(0)) < k)
+    fill = first_cases(index.cases, k)
+    if intent is not None:
+        free = first_cases(index.cases.filter("intent is null"), k)
+        few = lookup_join(few, first_cases_by_intent(index, free, k), "wanted", "left")
+        fill = F.when(F.col("wanted").isNull(), fill).otherwise(F.coalesce("own", free))
+    filled = few.select(query_id, F.explode(fill).alias("case_order")).join(best, [query_id, "case_order"], "left_anti")
+    everything = best.drop("rank").unionByName(filled.withColumn("similarity", F.lit(0.0)).select(query_id, "case_order", "similarity"))
+    best = everything.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
     if min_similarity > 0:
         best = (best.filter(F.col("similarity") >= min_similarity)
                 .withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy("rank"))))

@@ -45,15 +45,17 @@ def judged(outputs: DataFrame) -> DataFrame:
 
 def evaluate(golden: DataFrame, index, classifier: T.Classifier, handle: str,
              baseline: classify.LinearModel | None = None, limits: T.Thresholds = T.Thresholds(),
-             sample: int = 50) -> DataFrame:
-    """One nested row with all results. The triage outputs are written once and read by every metric."""
+             ratings: DataFrame | None = None) -> DataFrame:
+    """One nested row with all results. The triage outputs are written once and read by every metric.
+
+    `ratings` holds two raters' (human_score, human_verdict, overall_score, verdict); without it there is no agreement.
+    """
     outputs = materialize(golden_outputs(golden, index, classifier, handle, limits), "outputs")
     systems = metrics.model_comparison(stacked_predictions(outputs, baseline), "gold_intent", "predicted_intent")
     per_class = metrics.per_class_prf(outputs, "gold_intent", "predicted_intent")
     matrix = metrics.confusion_matrix(outputs, "gold_intent", "predicted_intent")
     first = metrics.first_relevant(outputs, retrieval_rows(outputs), "id", "gold_intent")
     scores = judged(outputs)
-    rated = judge.second_rater(judge.agreement_sample(scores, "id", sample), "id")
 
     def rows(df: DataFrame):
         return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns)))).scalar()  # one row per class or system
@@ -69,7 +71,7 @@ def evaluate(golden: DataFrame, index, classifier: T.Classifier, handle: str,
         "retrieval_evaluation": one(metrics.retrieval_metrics(first)),
         "escalation_safety_evaluation": one(metrics.escalation_safety(outputs, "gold_decision", "decision")),
         "judge_evaluation": one(judge.judge_summary(scores)),
-        "rater_agreement_evaluation": one(judge.rater_agreement(rated)),
+        **({} if ratings is None else {"rater_agreement_evaluation": one(judge.rater_agreement(ratings))}),
         "failure_modes": rows(failures.failure_modes(outputs.drop("risk_level"))),
     }
     return golden.sparkSession.range(1).select(*[c.alias(n) for n, c in parts.items()])

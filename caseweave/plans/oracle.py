@@ -202,8 +202,7 @@ def cases(held_out):
       customer_cleaned_issue AS conversation_context, {first('customer_cleaned_issue')} AS intent, turn_count
       FROM threads t WHERE NOT EXISTS (SELECT 1 FROM {held_out} g WHERE g.conversation_id = t.conversation_id)
       AND {words('customer_cleaned_issue')} >= 3 AND {words('brand_first_response')} >= 3
-      AND lower(customer_cleaned_issue) NOT IN ({", ".join(q(a) for a in V.ACKNOWLEDGEMENTS)})
-      ORDER BY root_tweet_id LIMIT {V.MAX_CASES})"""
+      AND lower(customer_cleaned_issue) NOT IN ({", ".join(q(a) for a in V.ACKNOWLEDGEMENTS)}))"""
 
 
 def term_counts(name, source, doc, text, terms, prepared="tokens"):
@@ -218,7 +217,7 @@ def fold_tokens(x):
 def vocab(name, counts, cap, documents):
     return f"""{name} AS MATERIALIZED (SELECT *, ln((1.0 + (SELECT count(*) FROM {documents})) / (1.0 + df)) + 1.0 AS idf
       FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS df FROM {counts} GROUP BY term
-            ORDER BY n DESC, term LIMIT {cap}))"""
+            {"" if cap is None else f"ORDER BY n DESC, term LIMIT {cap}"}))"""
 
 
 def weights(name, counts, vocabulary, doc):
@@ -228,7 +227,7 @@ def weights(name, counts, vocabulary, doc):
 
 INDEX = [
     term_counts("case_terms", "cases", "case_order", fold_tokens("customer_issue"), ngrams("tokens", 1, 3)),
-    vocab("case_vocab", "case_terms", V.RETRIEVAL_TERMS, "cases"),
+    vocab("case_vocab", "case_terms", None, "cases"),
     weights("postings", "case_terms", "case_vocab", "case_order"),
 ]
 
@@ -301,25 +300,28 @@ def predicted(source, key):
       JOIN scores b ON b.{key} = s.{key} AND b.place = 2 LEFT JOIN taxonomy t ON t.name = a.intent)"""
 
 
-def decided(min_confidence, min_similarity, has_reply="true"):
+def decided(min_confidence, min_similarity, has_reply="true", source="drafted"):
+    shown = lambda x: f"coalesce({two(x)}, '{V.UNKNOWN}')"
     risk = ("CASE " + " ".join(f"WHEN intent = '{i}' THEN {q(r)}" for i, r in V.RISK_REASONS.items())
-            + " ELSE 'Domain risk level (' || upper(risk_level) || ') exceeds auto-handle threshold.' END")
+            + " ELSE 'Domain risk level (' || coalesce(upper(risk_level), '" + V.UNKNOWN + "') || ') exceeds auto-handle threshold.' END")
     gates = [
         (V.GATE_RISK, f"lower(risk_level) <> '{V.ALLOWED_RISK}'", risk),
         (V.GATE_CONFIDENCE, f"confidence < {min_confidence}",
-         f"'Intent confidence (' || {two('confidence')} || ') is below the validated safety threshold "
+         f"'Intent confidence (' || {shown('confidence')} || ') is below the validated safety threshold "
          f"({min_confidence:.2f}).'"),
         (V.GATE_MARGIN, "is_ambiguous",
-         f"'Customer query is ambiguous between multiple intents (margin: ' || {two('margin')} || "
+         f"'Customer query is ambiguous between multiple intents (margin: ' || {shown('margin')} || "
          "'); human clarification needed.'"),
         (V.GATE_EVIDENCE, f"(NOT has_evidence OR top_similarity < {min_similarity})",
-         f"'No sufficiently similar historical resolution was found (top similarity: ' || {two('top_similarity')} || "
+         f"'No sufficiently similar historical resolution was found (top similarity: ' || {shown('top_similarity')} || "
          f"' < threshold: {min_similarity:.2f}).'"),
         (V.GATE_CLAIMS, f"({has_reply} AND unsupported_claims_detected)", q(V.CLAIMS_REASON)),
         (V.GATE_GROUNDING, f"({has_reply} AND NOT unsupported_claims_detected AND NOT is_grounded)",
          q(V.GROUNDING_REASON)),
     ]
 
+    gates = [(n, f"coalesce({t}, true)", r) for n, t, r in gates]
+
     def text(items, separator):
         return (f"array_to_string(list_filter([{', '.join(items)}], lambda z: z IS NOT NULL), '{separator}')")
 
@@ -329,10 +331,10 @@ def decided(min_confidence, min_similarity, has_reply="true"):
                   + [f"CASE WHEN NOT ({gates[4][1]} OR {gates[5][1]}) THEN '{V.GATE_GROUNDING}' END"], "|")
     return f"""decided AS MATERIALIZED (SELECT *, failed_gates = '' AS is_safe_to_automate,
       CASE WHEN failed_gates = '' THEN '{V.AUTO}' ELSE '{V.ESCALATE}' END AS decision,
-      CASE WHEN failed_gates = '' THEN 'High confidence (' || {two('confidence')}
-        || '), strong historical grounding (sim: ' || {two('top_similarity')}
+      CASE WHEN failed_gates = '' THEN 'High confidence (' || {shown('confidence')}
+        || '), strong historical grounding (sim: ' || {shown('top_similarity')}
         || '), and low-risk standard troubleshooting.' ELSE reasons END AS reason
-      FROM (SELECT *, {failed} AS failed_gates, {passed} AS passed_gates, {reasons} AS reasons FROM drafted))"""
+      FROM (SELECT *, {failed} AS failed_gates, {passed} AS passed_gates, {reasons} AS reasons FROM {source}))"""
 
 
 def with_(blocks, select):
@@ -417,15 +419,9 @@ JUDGED = judged_blocks()
 SAMPLED = f"sampled AS MATERIALIZED (SELECT * FROM judged ORDER BY {draw(42, 'tweet_id')}, tweet_id LIMIT 50)"
 
 
-def rated(source):
-    pick = f"CAST(('0x' || substring({draw(43, 'tweet_id')}, 1, 6)) AS BIGINT) % 5"
-    variance = ", ".join(f"{v}::DOUBLE" for v in V.RATER_VARIANCE)
-    return f"""rated AS MATERIALIZED (SELECT *,
-      CASE WHEN human_score >= 3.5 AND unsupported_claims >= 4.0 THEN 'PASS' ELSE 'FAIL' END AS human_verdict
-      FROM (SELECT *, least(5.0::DOUBLE, greatest(1.0::DOUBLE, round(overall_score + [{variance}][1 + {pick}], 2)))
-            AS human_score FROM {source}))"""
-
-
+RATED = f"""rated AS MATERIALIZED (SELECT doc_id, CAST({words('text')} AS DOUBLE) AS human_score,
+  CASE WHEN quality = 1 THEN 'PASS' ELSE 'FAIL' END AS human_verdict, n_chars / 6.0::DOUBLE AS overall_score,
+  CASE WHEN n_chars > 400 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM documents JOIN labels USING (doc_id))"""
 RANKS = """ranks AS (SELECT *, rank() OVER (ORDER BY human_score) + (count(*) OVER (PARTITION BY human_score) - 1) / 2.0 AS ra,
   rank() OVER (ORDER BY overall_score) + (count(*) OVER (PARTITION BY overall_score) - 1) / 2.0 AS rb FROM rated)"""
 CORR = """round(corr(ra, rb), 4) AS spearman_correlation_rho, round(corr(human_score, overall_score), 4)
@@ -631,6 +627,12 @@ def oracle_sql() -> dict[str, str]:
     s["escalation_gates"] = with_(triage_blocks(has_reply="confidence > 0.1"), """SELECT tweet_id, decision, reason,
       passed_gates, failed_gates, is_safe_to_automate, confidence AS confidence_score, top_similarity AS retrieval_score
       FROM decided""")
+    at = lambda k, c: f"CASE WHEN tweet_id % 7 = {k} THEN NULL ELSE {c} END AS {c}"
+    s["escalation_gates_nulls"] = with_(triage_blocks()[:-1] + [f"""nulled AS (SELECT * REPLACE ({at(1, 'risk_level')},
+      CASE WHEN tweet_id % 7 = 2 THEN NULL WHEN tweet_id % 7 = 5 THEN 0.60 ELSE confidence END AS confidence, {at(3, 'is_ambiguous')},
+      CASE WHEN tweet_id % 7 = 4 THEN NULL WHEN tweet_id % 7 = 5 THEN 0.20 ELSE top_similarity END AS top_similarity)
+      FROM drafted)""", decided(0.60, 0.20, source="nulled")],
+      "SELECT tweet_id, decision, reason, passed_gates, failed_gates, is_safe_to_automate FROM decided")
     s["triage_rules"] = with_(triage_blocks(), f"SELECT {TRIAGE_COLUMNS} FROM decided")
     s["triage_default_limits"] = with_(
         triage_blocks(V.MIN_CONFIDENCE, V.MIN_RETRIEVAL_SIMILARITY, V.MIN_GROUNDING),
@@ -710,10 +712,9 @@ def oracle_sql() -> dict[str, str]:
         + """, round(avg(CAST(verdict = 'PASS' AS INTEGER)) * 100, 2) AS pass_rate, count(*) AS total_evaluated
         FROM judged""")
     s["agreement_sample"] = with_(JUDGED + [SAMPLED], "SELECT tweet_id, overall_score FROM sampled")
-    s["simulated_ratings"] = with_(JUDGED + [rated("judged")], "SELECT tweet_id, human_score, human_verdict FROM rated")
-    s["rater_correlations"] = with_(JUDGED + [rated("judged"), RANKS], f"SELECT {CORR} FROM ranks")
-    s["cohen_kappa"] = with_(JUDGED + [rated("judged")], f"SELECT {KAPPA} AS cohen_kappa_verdict")
-    s["rater_agreement"] = with_(JUDGED + [SAMPLED, rated("sampled"), RANKS], f"""SELECT count(*) AS sample_size,
+    s["rater_correlations"] = with_([RATED, RANKS], f"SELECT {CORR} FROM ranks")
+    s["cohen_kappa"] = with_([RATED], f"SELECT {KAPPA} AS cohen_kappa_verdict")
+    s["rater_agreement"] = with_([RATED, RANKS], f"""SELECT count(*) AS sample_size,
       round(avg(CAST(human_verdict = verdict AS INTEGER)) * 100, 2) AS verdict_agreement_percentage,
       round(avg(abs(human_score - overall_score)), 4) AS mean_absolute_error,
       round(avg(human_score), 2) AS human_mean_score, round(avg(overall_score), 2) AS judge_mean_score,

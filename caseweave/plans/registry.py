@@ -341,6 +341,20 @@ def escalation_gates(s, d):
         joined("failed_gates").alias("failed_gates"), "is_safe_to_automate", "confidence_score", "retrieval_score")
 
 
+def escalation_gates_nulls(s, d):
+    """The same gates where one input in turn is missing, or stands exactly at its limit."""
+    df = T.rule_classifier(s)(_evidence(s, d), "tweet_id", "cleaned")
+    df = I.draft_reply(df, min_grounding=0.25).withColumn("has_reply", F.lit(True))
+    turn = F.col("tweet_id") % 7
+    missing = {1: "risk_level", 2: "confidence", 3: "is_ambiguous", 4: "top_similarity"}
+    df = df.withColumns({name: F.when(turn != k, F.col(name)) for k, name in missing.items()})
+    df = df.withColumns({"confidence": F.when(turn == 5, 0.60).otherwise(F.col("confidence")),
+                         "top_similarity": F.when(turn == 5, 0.20).otherwise(F.col("top_similarity"))})
+    return J.decide(df, 0.60, 0.20).select(
+        "tweet_id", "decision", "reason", joined("passed_gates").alias("passed_gates"),
+        joined("failed_gates").alias("failed_gates"), "is_safe_to_automate")
+
+
 def flat(outputs: DataFrame, key: str) -> DataFrame:
     evidence = F.transform("historical_evidence", lambda e: F.concat(
         e["case_id"], F.lit(":"), F.round(e["similarity_score"] * 10000, 0).cast("int").cast("string")))
@@ -384,7 +398,7 @@ def difficulty(s, d):
 
 
 def gold_labels(s, d):
-    single = G.stratified_sample(_pool(s, d), 1_000_000_000)
+    single = G.single_matches(_pool(s, d))
     return G.gold_labels(single, T.taxonomy(s)).select(
         "conversation_id", "gold_intent", "gold_decision", "gold_reason", "risk_level", "difficulty")
 
@@ -529,21 +543,26 @@ def agreement_sample(s, d):
     return JU.agreement_sample(_judged(s, d), "tweet_id", 50).select("tweet_id", "overall_score")
 
 
-def simulated_ratings(s, d):
-    return JU.second_rater(_judged(s, d), "tweet_id").select("tweet_id", "human_score", "human_verdict")
+def document_ratings(s, d):
+    """Two views of every labelled document as two raters: its words and quality label, its length and a length rule."""
+    docs = T.table(s, d, "documents").join(T.table(s, d, "labels").select("doc_id", "quality"), "doc_id")
+    verdict = lambda test: F.when(test, "PASS").otherwise("FAIL")
+    return docs.select("doc_id", X.word_count(F.col("text")).cast("double").alias("human_score"),
+                       verdict(F.col("quality") == 1).alias("human_verdict"),
+                       (F.col("n_chars") / 6).alias("overall_score"), verdict(F.col("n_chars") > 400).alias("verdict"))
 
 
 def rater_correlations(s, d):
-    """Pearson and Spearman over every scored reply."""
-    return JU.correlations(JU.second_rater(_judged(s, d), "tweet_id"), "human_score", "overall_score")
+    """Pearson and Spearman over every labelled document."""
+    return JU.correlations(document_ratings(s, d), "human_score", "overall_score")
 
 
 def cohen_kappa(s, d):
-    return JU.cohen_kappa(JU.second_rater(_judged(s, d), "tweet_id"), "human_verdict", "verdict")
+    return JU.cohen_kappa(document_ratings(s, d), "human_verdict", "verdict")
 
 
 def rater_agreement(s, d):
-    return JU.rater_agreement(JU.second_rater(JU.agreement_sample(_judged(s, d), "tweet_id", 50), "tweet_id"))
+    return JU.rater_agreement(document_ratings(s, d))
 
 
 def failure_modes(s, d):
@@ -573,7 +592,7 @@ def evaluation_record(s, d):
     """The whole benchmark as one nested row, with the fitted models."""
     sizes = (T.PER_INTENT, T.AMBIGUOUS, T.TARGET)
     classifier = TR.model_classifier(_fitted(s, d, "hybrid"), T.taxonomy(s))
-    row = E.evaluate(T.golden(s, d), T.index(s, d, sizes), classifier, T.HANDLE, _fitted(s, d, "baseline"), LIMITS)
+    row = E.evaluate(T.golden(s, d), T.index(s, d, sizes), classifier, T.HANDLE, _fitted(s, d, "baseline"), LIMITS, document_ratings(s, d))
     return row.select(*[F.to_json(c).alias(c) if c != "golden_set_size" else F.col(c) for c in row.columns])
 
 
@@ -675,12 +694,12 @@ QUERIES = [
     majority_baseline, majority_quality, balanced_weights, predict_top2, class_probabilities, triggered_keywords,
     tfidf_baseline, hybrid_classifier,
     build_cases, build_index, search_topk, search_by_intent, min_similarity, evidence_array,
-    draft_reply, grounding_prompts, escalation_gates, triage_rules, triage_default_limits, triage_model,
+    draft_reply, grounding_prompts, escalation_gates, escalation_gates_nulls, triage_rules, triage_default_limits, triage_model,
     stratified_sample, difficulty, gold_labels, ambiguous_sample, top_up, golden_set, golden_distribution,
     leak_duplicate_ids, leak_unregistered, leak_id_overlap, leak_text_overlap, leak_text_documents,
     leak_label_in_input, leakage_report,
     accuracy, per_class_prf, macro_prf, confusion_matrix, quality_prf, retrieval_metrics, first_relevant,
-    escalation_safety, judge_scores, judge_summary, agreement_sample, simulated_ratings, rater_correlations,
+    escalation_safety, judge_scores, judge_summary, agreement_sample, rater_correlations,
     cohen_kappa, rater_agreement, failure_modes, model_comparison, majority_on_gold, evaluation_record,
     null_counts, direction_counts, brand_reply_counts, text_statistics, text_statistics_documents, date_range,
     brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, sample_messages, brand_ranking,

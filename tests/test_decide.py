@@ -51,6 +51,17 @@ def test_thresholds_are_inclusive(spark):
     assert [r.decision for r in run(spark, below, min_confidence=0.5, min_similarity=0.2)] == [V.AUTO, V.AUTO]
 
 
+def test_missing_values_go_to_a_person(spark):
+    base = ("battery_power_drain", 0.90, 0.15, False, "low", True, 0.50, True, False, True)
+    gates = {1: V.GATE_CONFIDENCE, 3: V.GATE_MARGIN, 4: V.GATE_RISK, 5: V.GATE_EVIDENCE, 6: V.GATE_EVIDENCE}
+    for place, gate in gates.items():
+        (got,) = run(spark, [(*base[:place], None, *base[place + 1:])])
+        assert got.decision == V.ESCALATE and got.failed_gates == [gate] and gate not in got.passed_gates
+        assert "nu)" not in got.reason and "null" not in got.reason
+    (got,) = run(spark, [(*base[:8], None, None)])
+    assert got.decision == V.ESCALATE and V.GATE_GROUNDING not in got.passed_gates
+
+
 @pytest.mark.parametrize("intent,part", [
     ("apple_id_account_access", "security-sensitive"), ("app_store_billing_subscription", "billing authorization"),
     ("hardware_screen_physical_damage", "physical hardware damage"), ("other", "Domain risk level (MEDIUM) exceeds")])

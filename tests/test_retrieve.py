@@ -42,17 +42,33 @@ def brute_force(issues, query, k):
     return [(i, round(s, 6)) for s, i in sorted(scores, key=lambda p: (-round(p[0], 6), p[1]))[:k]]
 
 
-@pytest.mark.parametrize("block_cases,shard_queries", [(1000, 1000), (7, 5)])
-def test_equals_brute_force(spark, block_cases, shard_queries):
+@pytest.mark.parametrize("slot,probe", [(1000, 1000), (7, 30), (3, 0)])
+def test_equals_brute_force(spark, slot, probe):
     random.seed(3)
     words = ["the"] * 6 + [f"w{i}" for i in range(25)]
     issues = [" ".join(random.choices(words, k=random.randint(1, 8))) for _ in range(40)]
     queries = [" ".join(random.choices(words + ["unseen"], k=random.randint(1, 6))) for _ in range(25)]
-    index = build(spark, issues, block_cases=block_cases)
-    got = ask(spark, queries, index, k=4, shard_queries=shard_queries)
+    index = build(spark, issues, slot=slot)
+    got = ask(spark, queries, index, k=4, probe=probe)
     assert got == {i: brute_force(issues, q, 4) for i, q in enumerate(queries)}
 
 
+def test_more_cases_and_terms_than_any_cap(spark):
+    from pyspark.sql import functions as F
+
+    n = 46_000
+    cases = spark.range(n).select(
+        F.col("id").alias("case_order"), F.concat(F.lit("c"), "id").alias("case_id"),
+        F.concat(F.lit("the common words own"), "id").alias("customer_issue"), F.lit("a").alias("brand_resolution"),
+        F.lit("ctx").alias("conversation_context"), F.lit("x").alias("intent"), F.lit(2).cast("long").alias("turn_count"))
+    index = R.build_index(cases)
+    assert index.cases.count() == n and index.idf.count() > n
+    got = ask(spark, [f"the own{n - 1} common words", "own7"], index, k=1)
+    assert got[0][0][0] == n - 1 and got[1][0][0] == 7
+    plan = R.top_cases(spark.createDataFrame([(1, "own5")], "q long, text string"), index, "q", "text")._jdf.queryExecution().toString()
+    assert "CoGroup" not in plan and "CartesianProduct" not in plan
+
+
 def test_top_case(spark):
     index = build(spark, ["Battery draining fast on iOS 11", "Screen cracked and broken"])
     df = spark.createDataFrame([(1, "battery dies very quickly")], "q long, text string")
