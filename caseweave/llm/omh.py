@@ -187,28 +187,30 @@ def rare_pairs(open_: DataFrame, shingles: DataFrame, s: Settings) -> DataFrame:
     """All pairs (a, b) of different classes among `open_` (node, comp, n) that can be similar.
 
     Shingles are put in one order, from the rarest to the most frequent among the open texts. Two texts of
-    similarity s share one of the first n - ceil(s n) + 1 of either, so it is enough to meet there. What many texts
-    share (a common passage, the unchanged part of many near copies) comes last and pairs nobody.
+    similarity s share at least s / (1 + s) * (n + m) shingles, so they meet in one of the first n - that + 1 of
+    either, and are paired there only. What many texts share (a common passage, the unchanged part of many near
+    copies) comes last and pairs nobody.
     """
-    @F.pandas_udf("array<int>")
-    def folded(values: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(np.frombuffer(x, np.uint64).astype(np.uint32).view(np.int32)) for x in values], dtype=object)
+    @F.pandas_udf("array<long>")
+    def numbers(values: pd.Series) -> pd.Series:
+        return pd.Series([np.frombuffer(x, np.int64) for x in values], dtype=object)
 
-    rows = shingles.join(open_, "node").select("node", F.explode(folded("shingles")).alias("shingle"))
+    rows = shingles.join(open_, "node").select("node", F.explode(numbers("shingles")).alias("shingle"))
     rows = materialize(rows, "openshingles")
     often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = rows.join(often, "shingle")
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
     many = F.count(F.lit(1)).over(Window.partitionBy("node"))
     placed = shared.select("node", "shingle", place.alias("place"), many.alias("many")).join(open_, "node")
-    # texts that folding to 32 bits made shorter by a shingle or two are met by two places more
-    reach = F.col("n") - F.ceil(F.lit(s.similarity) * F.col("n")) + 3
-    prefix = placed.filter(F.col("n") - F.col("many") + F.col("place") <= reach).select("shingle", "node", "comp", "n")
-    prefix = materialize(prefix, "prefixes")
+    placed = placed.withColumn("place", F.col("n") - F.col("many") + F.col("place"))  # those that one text has come first
+    prefix = placed.filter(F.col("place") <= F.col("n") - F.ceil(F.lit(s.similarity) * F.col("n") - F.lit(1e-9)) + 1)
+    prefix = materialize(prefix.select("shingle", "node", "comp", "n", "place"), "prefixes")
     undecided = prefix.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("shingle")
     prefix = materialize(prefix.join(undecided, "shingle"), "undecided")
-    other = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
-    pairs = prefix.withColumnRenamed("node", "a").join(other, "shingle").filter("comp <> other and a < b").filter(alike(s))
+    other = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("place").alias("there"))
+    need = F.ceil(F.lit(s.similarity / (1 + s.similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-9))
+    in_reach = (F.col("place") <= F.col("n") - need + 1) & (F.col("there") <= F.col("m") - need + 1)
+    pairs = prefix.withColumnRenamed("node", "a").join(other, "shingle").filter("comp <> other and a < b").filter(alike(s) & in_reach)
     return materialize(pairs.select("a", "b").distinct(), "pairs")
 
 
@@ -225,8 +227,8 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     copies are reduced to one representative first.
 
     Candidates share a sketch: the ordered shingles with the least hashes in one of `tables` orders. First every
-    text is aligned with the smallest doc_id of each of its buckets; that joins the bulk of every group by few
-    pairs. Texts whose buckets then still hold several classes are compared across classes by `rare_pairs`, which leaves
+    text is aligned with the hub of each of its buckets, the text there that meets the most others (the least changed
+    of a family of copies); that joins the bulk of every group by few pairs. Texts whose buckets then still hold several classes are compared across classes by `rare_pairs`, which leaves
     out no pair that can reach the similarity and makes none inside a known class. All pairs are rows of
     joins that Spark splits; nothing is gathered by bucket or class.
 
@@ -240,10 +242,15 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     nodes = reps.select("node")
     keyed = signed.join(reps.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
     keyed = materialize(keyed.select(F.col("doc_id").alias("node"), "n", F.explode("keys").alias("key")), "keys")
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("m"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    keyed = materialize(keyed.join(hubs.drop("size"), "key"), "buckets")
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    keyed = materialize(keyed.join(sizes, "key"), "shared")
+    central = keyed.groupBy("node").agg(F.sum("size").alias("met"))
+    keyed = keyed.drop("size").join(central, "node")
+    first = F.struct(F.col("met"), -F.col("node"))
+    hubs = keyed.groupBy("key").agg(F.max_by(F.struct(F.col("node").alias("hub"), F.col("n").alias("m")), first).alias("h"))
+    keyed = materialize(keyed.join(hubs.select("key", "h.*"), "key").drop("met"), "buckets")
     shingles = cut_texts(docs, keyed.select("node").distinct(), s)
-    stars = materialize(keyed.filter("node <> hub").filter(alike(s)).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = materialize(keyed.filter("node <> hub").filter(alike(s)).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "stars")
     links = verified(stars, shingles, s)
     known = materialize(keyed.select("key", "node", "n").join(components(nodes, links, "firstclasses"), "node"), "known")
     several = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
