@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialize, send_code
 
-BAND = 128  # list entries read between two looks at the bounds, doubled each time
+BAND = 1024  # list entries read between two looks at the bounds
+LEADERS = 4  # times k: objects whose scores are resolved at each look
 
 
 def integer_vectors(rows: DataFrame, id_: str, vector: str, scale: int) -> DataFrame:
@@ -27,46 +28,58 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.v = ids[by_id], vectors[by_id]
-        self.order = np.argsort(self.v, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(self.v, self.order.T, axis=0).T.copy()
-
-    def top(self, query: np.ndarray, k: int, floor: float, self_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best by score, then id, among those with score >= floor, without the query itself.
+        self.exact = self.v.astype(np.float64)  # products of 64 * x stay below 2^53
+        rising = np.argsort(self.v, axis=0, kind="stable").T
+        self.order = np.ascontiguousarray([rising, rising[:, ::-1]])  # from the bottom, from the top
+        self.sorted = np.ascontiguousarray([np.take_along_axis(self.v.T, o, axis=1) for o in self.order], np.float64)
+        self.above = np.abs(self.sorted - self.sorted[:, :, -1:])  # what an entry has more than the list's least one
+        place = np.int16 if len(ids) < 2 ** 15 else np.int32
+        self.rank = np.empty(rising.shape, place)
+        np.put_along_axis(self.rank, rising, np.arange(len(ids), dtype=place)[None], axis=1)
+
+    def top(self, query: np.ndarray, k: int, self_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best by score, then id, without the query itself.
 
         Entries are read in bands. An object's lower bound takes its known parts and the least value of each
-        list it was not met in; its upper bound takes the values the lists have come down to. Reading stops when
-        no object outside can reach the k-th best lower bound (or `floor`, what is known from other blocks).
-        The scores of those that still can are then resolved in full, so ties are decided exactly.
+        list it was not met in; its upper bound takes the values the lists have come down to. At each look the
+        objects that lead by their lower bounds are resolved; their k-th best score is what the others have to
+        reach. Reading stops when no object outside can reach it. The scores of all that still can are then
+        resolved in full, so ties are decided exactly.
         """
-        n, dims = self.v.shape
-        weights = np.flatnonzero(query)
-        q = query[weights]
-        up = q > 0
-        ends = self.sorted[weights]
-        last = np.where(up, ends[:, 0], ends[:, -1]) * q  # the least part of each list
-        known = np.zeros(n)  # what an object has more than the least parts
-        met = np.zeros((n, len(weights)), np.float32)
-        read, band, best = 0, BAND, floor
+        n = len(self.ids)
+        lists = np.flatnonzero(query)
+        q = query[lists].astype(np.float64)
+        whole = query.astype(np.float64)
+        side = (q > 0).astype(np.int64)
+        last = self.sorted[side, lists, -1] * q  # the least part of each list
+        lower = np.full(n, last.sum())
+        read, best = 0, -np.inf
         while True:
-            top = np.where(up, ends[:, n - 1 - read], ends[:, read]) * q if read < n else last
-            if top.sum() < best or read >= n:
+            front = self.sorted[side, lists, read] * q if read < n else last
+            if read >= n or front.sum() < best:
                 break
-            to = min(n, read + band)
-            for i, w in enumerate(weights):
-                cut = slice(n - to, n - read) if up[i] else slice(read, to)
-                rows = self.order[w, cut]
-                known[rows] += self.sorted[w, cut] * q[i] - last[i]
-                met[rows, i] = 1
-            read, band = to, band * 2
-            if n > k:
-                lower = known + last.sum()
-                best = max(floor, np.partition(lower, n - k - 1)[n - k - 1])  # the query itself may be one of them
-        front = (top - last).astype(np.float64)
-        upper = known + last.sum() + front.sum() - met @ front
+            to = min(n, read + BAND)
+            for s, i, weight in zip(side, lists, np.abs(q)):
+                rows, parts = self.order[s, i, read:to], self.above[s, i, read:to]
+                if 4 * len(rows) < n:
+                    lower[rows] += parts * weight
+                else:
+                    lower += np.bincount(rows, parts, n) * weight
+            read = to
+            if n > LEADERS * k:
+                leaders = np.argpartition(lower, n - LEADERS * k)[n - LEADERS * k:]
+                scores = self.exact[leaders[self.ids[leaders] != self_id]] @ whole
+                best = max(best, np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else best
+        upper = lower
+        if read < n:
+            gap = front - last
+            place = self.rank.dtype.type
+            met_from_top = gap[side == 1] @ (self.rank[lists[side == 1]] >= place(n - read))
+            met_from_bottom = gap[side == 0] @ (self.rank[lists[side == 0]] < place(read))
+            upper = lower + gap.sum() - met_from_top - met_from_bottom
         rest = np.flatnonzero((upper >= best) & (self.ids != self_id))
-        scores = self.v[rest] @ query
+        scores = (self.exact[rest] @ whole).astype(np.int64)
         keep = np.lexsort((self.ids[rest], -scores))[:k]
-        keep = keep[scores[keep] >= floor]
         return self.ids[rest][keep], scores[keep]
 
 
@@ -102,7 +115,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id
         if len(queries) and len(block):
             lists = SortedLists(block["id"].to_numpy(np.int64), matrix(block["v"]))
             for id_, q in zip(queries["id"].to_numpy(np.int64), matrix(queries["v"])):
-                ids, scores = lists.top(q, k, -np.inf, id_)
+                ids, scores = lists.top(q, k, id_)
                 found.append(pd.DataFrame({"query_id": id_, "vec_id": ids, "score": scores}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
