@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialize, send_code
 
-BAND = 1024  # list entries read between two looks at the bounds
+BAND = 3 / 8  # part of a list read between two looks at the bounds
 LEADERS = 4  # times k: objects whose scores are resolved at each look
+CONTENDERS = 32  # times k: so few that can still qualify are resolved instead of reading on
 
 
 def integer_vectors(rows: DataFrame, id_: str, vector: str, scale: int) -> DataFrame:
@@ -43,7 +44,7 @@ class SortedLists:
         Entries are read in bands. An object's lower bound takes its known parts and the least value of each
         list it was not met in; its upper bound takes the values the lists have come down to. At each look the
         objects that lead by their lower bounds are resolved; their k-th best score is what the others have to
-        reach. Reading stops when no object outside can reach it. The scores of all that still can are then
+        reach. Reading stops when no object outside can reach it and few of those met still can. These are
         resolved in full, so ties are decided exactly.
         """
         n = len(self.ids)
@@ -53,36 +54,36 @@ class SortedLists:
         side = (q > 0).astype(np.int64)
         last = self.sorted[side, lists, -1] * q  # the least part of each list
         lower = np.full(n, last.sum())
-        read, best = 0, -np.inf
-        while True:
-            front = self.sorted[side, lists, read] * q if read < n else last
-            if read >= n or front.sum() < best:
-                break
-            to = min(n, read + BAND)
+        read, best, upper, band = 0, -np.inf, lower, max(256, int(BAND * n))
+        while read < n:
+            to = min(n, read + band)
             for s, i, weight in zip(side, lists, np.abs(q)):
-                rows, parts = self.order[s, i, read:to], self.above[s, i, read:to]
-                if 4 * len(rows) < n:
-                    lower[rows] += parts * weight
-                else:
-                    lower += np.bincount(rows, parts, n) * weight
-            read = to
+                lower += np.bincount(self.order[s, i, read:to], self.above[s, i, read:to], n) * weight
+            read, upper = to, lower
             if n > LEADERS * k:
                 leaders = np.argpartition(lower, n - LEADERS * k)[n - LEADERS * k:]
                 scores = self.exact[leaders[self.ids[leaders] != self_id]] @ whole
-                best = max(best, np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else best
-        upper = lower
-        if read < n:
-            gap = front - last
-            place = self.rank.dtype.type
-            met_from_top = gap[side == 1] @ (self.rank[lists[side == 1]] >= place(n - read))
-            met_from_bottom = gap[side == 0] @ (self.rank[lists[side == 0]] < place(read))
-            upper = lower + gap.sum() - met_from_top - met_from_bottom
+                best = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else best
+            if read < n:
+                gap = self.sorted[side, lists, read] * q - last
+                if last.sum() + gap.sum() < best:
+                    upper = lower + gap.sum() - self.met(gap, lists, side, read)
+                    if (upper >= best).sum() <= CONTENDERS * k:
+                        break
         rest = np.flatnonzero((upper >= best) & (self.ids != self_id))
         scores = (self.exact[rest] @ whole).astype(np.int64)
         keep = np.lexsort((self.ids[rest], -scores))[:k]
         return self.ids[rest][keep], scores[keep]
 
 
+    def met(self, gap: np.ndarray, lists: np.ndarray, side: np.ndarray, read: int) -> np.ndarray:
+        """For every object the sum of `gap` over the lists in whose first `read` entries it was met."""
+        place = self.rank.dtype.type
+        top, bottom = side == 1, side == 0
+        return (gap[top] @ (self.rank[lists[top]] >= place(len(self.ids) - read))
+                + gap[bottom] @ (self.rank[lists[bottom]] < place(read)))
+
+
 def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_: str = "vec_id", vector: str = "embedding",
            block_rows: int = 8192, query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: the k best inner products of each query among all rows but its own.
