@@ -11,7 +11,7 @@ from ..functions import text as X
 
 def taxonomy_dimension(spark: SparkSession, taxonomy=None) -> DataFrame:
     """The intent taxonomy as a table with its order."""
-    rows = [(i, *row) for i, row in enumerate(V.TAXONOMY if taxonomy is None else taxonomy, start=1)]
+    rows = [(i, *row, None, [], []) for i, row in enumerate(V.TAXONOMY if taxonomy is None else taxonomy, start=1)]
     return spark.createDataFrame(rows, schemas.TAXONOMY)
 
 
@@ -30,6 +30,21 @@ def label_single_match(df: DataFrame, text: str, dictionary=V.CORE_KEYWORDS) ->
             .withColumn("intent", F.col("intents")[0]).drop("intents"))
 
 
+def multi_label_pessimistic(df: DataFrame, text: str, taxonomy: DataFrame, dictionary=V.GOLDEN_KEYWORDS) -> DataFrame:
+    """All matching intents; one high-risk intent among them sends the message to a person, and so does none at all.
+
+    Adds intents, high_risk_intents, risk_level (the highest of the matches, medium without a match) and decision.
+    """
+    rank = {"low": 1, "medium": 2, "high": 3}
+    rows = {r["name"]: (r["risk_level"] or "medium").lower() for r in taxonomy.select("name", "risk_level").collect()}  # one per intent
+    names = {level: [n for n, r in rows.items() if r == level] for level in rank}
+    listed = lambda level: F.array(*[F.lit(n) for n in names[level]]).cast("array<string>")
+    out = label_all_matches(df, text, dictionary).withColumn("high_risk_intents", F.array_intersect("intents", listed("high")))
+    low_only = (F.size("intents") > 0) & (F.size(F.array_except("intents", listed("low"))) == 0)
+    level = F.when(F.size("high_risk_intents") > 0, "high").when(low_only, "low").otherwise("medium")
+    return out.withColumn("risk_level", level).withColumn("decision", F.when(level == "low", V.AUTO).otherwise(V.ESCALATE))
+
+
 def min_words(df: DataFrame, text: str, n: int = 3) -> DataFrame:
     return df.filter(X.word_count(F.col(text)) >= n)
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as X
-from ..session import lookup_join
+from ..session import lookup_join, materialize
 
 
 def duplicate_ids(golden: DataFrame) -> DataFrame:
@@ -32,9 +32,63 @@ def normalized(text: str):
 def text_overlap(reference: DataFrame, reference_id: str, reference_text: str, golden: DataFrame,
                  golden_text: str) -> DataFrame:
     """Rows of the reference pool whose text, trimmed and lowercased, is also an evaluation text."""
-    texts = golden.select(normalized(golden_text).alias("normalized")).distinct().withColumn("_hit", F.lit(True))
-    pool = reference.select(reference_id, normalized(reference_text).alias("normalized"))
-    return lookup_join(pool, texts, "normalized").select(reference_id, "normalized")
+    # joined by digest, so that whole texts are neither keys nor moved; SHA-256 stands for the text
+    digest = lambda text: F.sha2(normalized(text), 256)
+    texts = golden.select(digest(golden_text).alias("_digest")).distinct()
+    pool = reference.select(reference_id, normalized(reference_text).alias("normalized"), digest(reference_text).alias("_digest"))
+    return lookup_join(pool, texts, "_digest").select(reference_id, "normalized")
+
+
+def shingles(text: str, k: int) -> Column:
+    """The different runs of k words of a text, in lower case; a shorter text is one run."""
+    words = F.filter(F.split(F.lower(F.col(text)), rf"[{X.SPACE}]+"), lambda w: w != "")
+    short = F.when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(words) >= k, F.array_distinct(X.word_ngrams(words, k, k))).otherwise(short)
+
+
+def near_duplicates(pool: DataFrame, pool_id: str, pool_text: str, held: DataFrame, held_id: str, held_text: str,
+                    similarity: float = 0.8, k: int = 5, contained: bool = False) -> DataFrame:
+    """(pool_id, held_id, similarity): for every row of the pool the most similar held-out row, if it reaches the limit.
+
+    Similarity is the Jaccard index of the k-word shingles, or with `contained` the part of the held-out row's
+    shingles that the pool row has. Ties: the smaller held-out id. Exact: shingles are put in order from the rarest; two
+    rows that reach the limit share one of the first n - limit + 1 of each (contained: of the held-out row), so
+    only rows that meet there are compared, and what many rows share pairs nobody. Rows with equal shingles are compared once.
+    """
+    def sets(df: DataFrame, key: str, text: str) -> DataFrame:
+        cut = df.select(F.col(key).alias("id"), F.array_sort(F.transform(shingles(text, k), lambda w: F.xxhash64(w))).alias("set")).filter(F.size("set") > 0)
+        return materialize(cut.withColumn("same", F.sha2(F.array_join(F.transform("set", lambda x: x.cast("string")), ","), 256)), "sets")
+
+    mine, theirs = sets(pool, pool_id, pool_text), sets(held, held_id, held_text)
+    one = lambda df: df.groupBy("same").agg(F.min_by("set", "id").alias("set"), F.min("id").alias("id"))
+    left, right = materialize(one(mine), "poolsets"), materialize(one(theirs), "heldsets")
+    flat = lambda df: df.select("same", F.size("set").alias("n"), F.explode("set").alias("shingle"))
+    often = flat(left).unionByName(flat(right)).groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    order = Window.partitionBy("same").orderBy("df", "shingle")
+    limit = F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-9))
+
+    def prefix(df: DataFrame, whole: bool) -> DataFrame:
+        shared = flat(df).join(often, "shingle")
+        if whole:
+            return shared.select("shingle", "same", "n")
+        many = F.count(F.lit(1)).over(Window.partitionBy("same"))
+        placed = shared.withColumn("place", F.col("n") - many + F.row_number().over(order))  # those of one row come first
+        return placed.filter(F.col("place") <= F.col("n") - limit + 1).select("shingle", "same", "n")
+
+    a = prefix(left, contained).withColumnRenamed("same", "pool_same")
+    b = prefix(right, False).select("shingle", F.col("same").alias("held_same"), F.col("n").alias("m"))
+    pairs = a.join(b, "shingle")
+    if not contained:
+        pairs = pairs.filter(F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m"))
+    pairs = pairs.select("pool_same", "held_same").distinct()
+    full = (pairs.join(left.select(F.col("same").alias("pool_same"), F.col("set").alias("x")), "pool_same")
+            .join(right.select(F.col("same").alias("held_same"), F.col("set").alias("y"), F.col("id").alias("held_id")), "held_same"))
+    both = F.size(F.array_intersect("x", "y"))
+    value = both / (F.size("y") if contained else F.size("x") + F.size("y") - both)
+    best = (full.select("pool_same", "held_id", value.alias("similarity")).filter(F.col("similarity") >= similarity)
+            .groupBy("pool_same").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "held_id")).alias("best")))
+    return mine.select(F.col("id").alias(pool_id), F.col("same").alias("pool_same")).join(best, "pool_same").select(
+        pool_id, F.col("best.held_id").alias("held_id"), F.round(-F.col("best.s"), 6).alias("similarity"))
 
 
 def label_in_input(golden: DataFrame) -> DataFrame:

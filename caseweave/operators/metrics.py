@@ -108,3 +108,16 @@ def escalation_safety(df: DataFrame, truth: str, predicted: str) -> DataFrame:
         F.round(_share(c("correct_escalations"), c("escalate_true")), 4).alias("escalation_recall"),
         "correct_auto_handles", "false_auto_handles", "correct_escalations", "unnecessary_escalations",
         "total_eval_cases")
+
+
+def escalation_windows(rows: DataFrame, at: str, escalated: str, width: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """(window_start, window_end, n, n_escalated, escalation_rate) of tumbling event-time windows; for batch and streams.
+
+    On a stream, `delay` is the watermark: rows later than it are dropped and a window is final once it has passed.
+    Rows without a time drop out; a null flag counts as escalated, as the gates do.
+    """
+    rows = rows.select(at, F.coalesce(escalated, F.lit(True)).alias("_hit"))
+    rows = rows.withWatermark(at, delay) if delay else rows
+    counts = rows.groupBy(F.window(at, width).alias("w")).agg(F.count(F.lit(1)).alias("n"), F.count_if("_hit").alias("n_escalated"))
+    return counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "n_escalated",
+                         F.round(F.col("n_escalated") / F.col("n"), 4).alias("escalation_rate"))

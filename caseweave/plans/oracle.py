@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from .. import values as V
+from ..functions import text as X
 from . import bindings as T
 
 SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\p{Z}]"
@@ -775,4 +776,57 @@ def oracle_sql() -> dict[str, str]:
       ELSE {customer('text')} END AS cleaned_text FROM tweets t JOIN links l USING (tweet_id))""")
     s["stream_dedup"] = "SELECT DISTINCT event_id, user_id FROM events"
     s["stream_triage"] = s["triage_rules"]
+    windows = """w AS (SELECT CAST(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS window_start, value > 80 AS hit, ts FROM events),
+      rates AS (SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, count(*) AS n, count(*) FILTER (hit) AS n_escalated,
+        round(count(*) FILTER (hit) / count(*)::DOUBLE, 4) AS escalation_rate FROM w GROUP BY 1)"""
+    shown_windows = """SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+      strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, n, n_escalated, escalation_rate FROM rates"""
+    s["escalation_rate_windows"] = with_([windows], shown_windows)
+    s["stream_escalation_windows"] = with_([windows], shown_windows + """
+      WHERE rates.window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+    s["dense_topk"] = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+      s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS sim
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+      SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 6) DESC, vec_id) AS INTEGER) AS rank, vec_id,
+        round(sim, 6) AS similarity FROM s QUALIFY rank <= 5"""
+    high = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "high")
+    low = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "low")
+    s["multi_label_pessimistic"] = with_(base, f"""SELECT tweet_id, array_to_string(m, '|') AS intents,
+      array_to_string(list_filter(m, lambda z: z IN ({high})), '|') AS high_risk_intents, level AS risk_level,
+      CASE WHEN level = 'low' THEN '{V.AUTO}' ELSE '{V.ESCALATE}' END AS decision FROM (
+        SELECT *, CASE WHEN len(list_filter(m, lambda z: z IN ({high}))) > 0 THEN 'high'
+          WHEN len(m) > 0 AND len(list_filter(m, lambda z: z NOT IN ({low}))) = 0 THEN 'low' ELSE 'medium' END AS level
+        FROM (SELECT tweet_id, {matches('cleaned')} AS m FROM customers))""")
+
+    def shingled(name, table, key):
+        ws = f"list_filter(regexp_split_to_array(lower(text), '[{X.SPACE}]+'), lambda z: z <> '')"
+        return f"""{name} AS MATERIALIZED (SELECT id, unnest(CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3),
+          lambda i: array_to_string(ws[i:i + 4], ' '))) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
+          FROM (SELECT {key} AS id, {ws} AS ws FROM {table}))"""
+
+    def near(value):
+        return f"""SELECT a AS doc_id, held_id, round(sim, 6) AS similarity FROM (
+          SELECT a, b AS held_id, {value} AS sim FROM (SELECT p.id AS a, h.id AS b, count(*) AS n FROM p JOIN h USING (g) GROUP BY ALL)
+          JOIN (SELECT id AS a, count(*) AS pa FROM p GROUP BY 1) USING (a) JOIN (SELECT id AS b, count(*) AS nb FROM h GROUP BY 1) USING (b))
+          WHERE sim >= 0.8 QUALIFY row_number() OVER (PARTITION BY a ORDER BY sim DESC, held_id) = 1"""
+
+    s["leak_near_duplicates"] = with_([shingled("p", "(SELECT * FROM documents WHERE source <> 'src0')", "doc_id"),
+                                       shingled("h", "(SELECT * FROM documents WHERE source = 'src0')", "doc_id")],
+                                      near("n / (pa + nb - n)::DOUBLE"))
+    s["leak_near_benchmark"] = with_([shingled("p", "documents", "doc_id"), shingled("h", "benchmark", "item_id")], near("n / nb::DOUBLE"))
+    s["read_tweets"] = with_([TWEETS], """SELECT tweet_id, author_id, inbound, created_at, text, response_tweet_id,
+      CAST(CAST(in_response_to_tweet_id AS BIGINT) AS VARCHAR) AS parent_id FROM tweets""")
+    s["brand_sink"] = s["extract_brand"]
+    s["threads_sink"] = with_(CORPUS, """SELECT conversation_id, turn_count, turn_count AS turns, brand_first_response FROM threads""")
+    s["taxonomy_load"] = with_(base + [TAXONOMY, f"hit AS (SELECT unnest({matches('cleaned')}) AS name FROM customers)"],
+      """SELECT priority, name, display_name, risk_level, default_action, (SELECT count(*) FROM hit h WHERE h.name = t.name) || ' messages' AS description,
+      """ + "CASE priority " + " ".join(f"WHEN {i} THEN {q('|'.join(ex))}" for i, (_, _, _, _, ex) in enumerate(T.TAXONOMY, start=1))
+      + " END AS examples, display_name AS resolution_patterns, risk_level AS escalation_conditions FROM taxonomy t")
+    s["held_out_ids"] = with_(gold, "SELECT DISTINCT conversation_id FROM golden")
+    s["golden_sink"] = s["golden_set"]
+    s["index_store"] = s["search_topk"]
+    s["result_record"] = with_(gold, """SELECT facet, value, count(*) AS n FROM (
+        SELECT 'intent' AS facet, gold_intent AS value FROM golden UNION ALL SELECT 'decision', gold_decision FROM golden
+        UNION ALL SELECT 'difficulty', difficulty FROM golden) GROUP BY ALL""")
+    s["blank_query"] = with_(retrieve(1), found + " WHERE tweet_id % 3 = 2")
     return s

@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import values as V
 from ..functions import accents, keywords as K
 from ..functions import text as X
-from ..operators import (brand as B, classify as C, decide as J, draft as I, failures as FM, features as FE,
+from ..operators import (brand as B, classify as C, decide as J, dense as DN, draft as I, failures as FM, features as FE,
                          golden as G, judge as JU, labels as L, leakage as LK, metrics as M, profile as P,
                          retrieve as R, threads as D)
 from ..session import fresh_path, materialize
+from ..sources import tables as SRC
 from ..streaming import streams as S
 from . import bindings as T
 from . import evaluation as E
@@ -682,6 +683,120 @@ def stream_triage(s, d):
     return flat(s.read.parquet(path).drop("batch"), "tweet_id")
 
 
+def _as_text(windows):
+    return windows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
+
+
+def escalation_rate_windows(s, d):
+    return _as_text(M.escalation_windows(_flagged(T.table(s, d, "events")), "ts", "escalated", "6 hours"))
+
+
+def _flagged(events):
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("value") > 80).alias("escalated"))
+
+
+def stream_escalation_windows(s, d):
+    """The windows that the watermark has closed when the stream is drained."""
+    stream = S.escalation_windows(_flagged(_stream(s, d, "events")), "ts", "escalated", "6 hours", "1 hour")
+    return _as_text(_drain(s, stream, "windows"))
+
+
+# ---------------------------------------------------------------- dense vectors, several labels, near copies
+def dense_topk(s, d):
+    vectors = T.table(s, d, "embeddings")
+    return DN.dense_topk(vectors, vectors.filter("vec_id % 50 = 0"), "vec_id", "embedding", 5)
+
+
+def multi_label_pessimistic(s, d):
+    df = L.multi_label_pessimistic(T.customer_messages(s, d), "cleaned", T.taxonomy(s), T.KEYWORDS)
+    return df.select("tweet_id", joined("intents").alias("intents"), joined("high_risk_intents").alias("high_risk_intents"),
+                     "risk_level", "decision")
+
+
+def leak_near_duplicates(s, d):
+    """Documents of other sources that nearly repeat one of the first source."""
+    docs = T.table(s, d, "documents")
+    return LK.near_duplicates(docs.filter("source <> 'src0'"), "doc_id", "text", docs.filter("source = 'src0'"), "doc_id", "text")
+
+
+def leak_near_benchmark(s, d):
+    """Documents that hold most of a benchmark item."""
+    return LK.near_duplicates(T.table(s, d, "documents"), "doc_id", "text", T.table(s, d, "benchmark"), "item_id", "text", contained=True)
+
+
+# ---------------------------------------------------------------- sources and sinks, written and read back
+def _written(s, df, write, read, *options):
+    path = fresh_path(s, "sink")
+    write(df, path, *options)
+    return read(s, path, *options)
+
+
+def read_tweets(s, d):
+    path = fresh_path(s, "messages")
+    SRC.write_tweets(T.messages(s, d), path, "csv")
+    return SRC.read_tweets(s, path).select("tweet_id", "author_id", "inbound", "created_at", "text", "response_tweet_id",
+                                           F.col("in_response_to_tweet_id").cast("long").cast("string").alias("parent_id"))
+
+
+def brand_sink(s, d):
+    path = fresh_path(s, "subset")
+    SRC.write_tweets(B.extract_brand(T.messages(s, d), T.BRAND), path)
+    return s.read.parquet(path).select("tweet_id", "author_id", "inbound", "text")
+
+
+def threads_sink(s, d):
+    c = T.corpus(s, d)
+    back = _written(s, D.nested_threads(c.turns, c.threads), SRC.write_threads, SRC.read_threads)
+    return back.groupBy("conversation_id").agg(F.max("turn_count").alias("turn_count"), F.sum(F.size("turns")).alias("turns"),
+                                               F.max("brand_first_response").alias("brand_first_response"))
+
+
+def taxonomy_load(s, d):
+    """The intents, enriched by how often each occurs, as one JSON document."""
+    path = fresh_path(s, "taxonomy")
+    counts = L.label_all_matches(T.customer_messages(s, d), "cleaned", T.KEYWORDS).select(F.explode("intents").alias("name")).groupBy("name").count()
+    rows = T.taxonomy(s).drop("description", "resolution_patterns", "escalation_conditions").join(counts, "name", "left")
+    rows = rows.withColumns({"description": F.concat_ws(" ", F.coalesce("count", F.lit(0)).cast("string"), F.lit("messages")),
+                             "resolution_patterns": F.array("display_name"), "escalation_conditions": F.array("risk_level")})
+    item = F.struct("priority", "name", "display_name", "risk_level", "default_action", "description", "examples",
+                    "resolution_patterns", "escalation_conditions")
+    rows.agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("intents")))).write.text(path)  # one row per intent
+    back = SRC.read_taxonomy(s, path)
+    return back.select("priority", "name", "display_name", "risk_level", "default_action", "description",
+                       *[joined(c).alias(c) for c in ("examples", "resolution_patterns", "escalation_conditions")])
+
+
+def held_out_ids(s, d):
+    return _written(s, T.golden(s, d), SRC.write_held_out, SRC.read_held_out)
+
+
+def golden_sink(s, d):
+    return _written(s, T.golden(s, d), SRC.write_golden, SRC.read_golden)
+
+
+def index_store(s, d):
+    """The stored index, loaded again and searched."""
+    path = fresh_path(s, "index")
+    R.load_or_build_index(s, path, lambda: T.cases(s, d))
+    loaded = R.load_or_build_index(s, path, lambda: None)
+    return R.search_topk(T.customer_messages(s, d), loaded, "tweet_id", "cleaned", 3).select(
+        "tweet_id", "rank", "case_id", "similarity_score")
+
+
+def result_record(s, d):
+    path = fresh_path(s, "record")
+    parts = G.golden_distribution(T.golden(s, d))
+    SRC.write_record(parts.agg(F.sort_array(F.collect_list(F.struct("facet", "value", "n"))).alias("parts")), path)
+    return s.read.json(path).select(F.explode("parts").alias("p")).select("p.facet", "p.value", "p.n")
+
+
+def blank_query(s, d):
+    """Messages whose text is blank or missing get no rows."""
+    text = F.when(F.col("tweet_id") % 3 == 0, " \t ").when(F.col("tweet_id") % 3 == 1, F.lit(None)).otherwise(F.col("cleaned"))
+    asked = T.customer_messages(s, d).withColumn("cleaned", text)
+    return R.search_topk(asked, T.index(s, d), "tweet_id", "cleaned", 1).select("tweet_id", "rank", "case_id", "similarity_score")
+
+
 QUERIES = [
     validate_records, strip_control_chars, normalize_whitespace, strip_brand_mention, clean_brand_reply, assign_role,
     parse_created_at, parent_id, word_count, min_words, drop_acknowledgements,
@@ -703,7 +818,9 @@ QUERIES = [
     cohen_kappa, rater_agreement, failure_modes, model_comparison, majority_on_gold, evaluation_record,
     null_counts, direction_counts, brand_reply_counts, text_statistics, text_statistics_documents, date_range,
     brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, sample_messages, brand_ranking,
-    stream_clean_label, stream_dedup, stream_triage,
+    stream_clean_label, stream_dedup, stream_triage, escalation_rate_windows, stream_escalation_windows,
+    dense_topk, multi_label_pessimistic, leak_near_duplicates, leak_near_benchmark,
+    read_tweets, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, result_record, blank_query,
 ]
 
 

@@ -59,4 +59,7 @@ TAXONOMY = T.StructType([
     T.StructField("risk_level", T.StringType()),
     T.StructField("default_action", T.StringType()),
     T.StructField("examples", T.ArrayType(T.StringType())),
+    T.StructField("description", T.StringType()),
+    T.StructField("resolution_patterns", T.ArrayType(T.StringType())),
+    T.StructField("escalation_conditions", T.ArrayType(T.StringType())),
 ])

@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 
 
-def read_tweets(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
+def read_tweets(spark: SparkSession, path: str) -> DataFrame:
     """Typed scan of the message CSV: header, quoted texts that may hold line breaks.
 
     Such files cannot be split. Convert once with `write_tweets` and work on the Parquet form.
     """
-    df = (spark.read.schema(schemas.TWEETS).option("header", True).option("multiLine", True)
+    return (spark.read.schema(schemas.TWEETS).option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"').csv(path))
-    return df if max_rows is None else df.limit(max_rows)
 
 
 def write_tweets(tweets: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -34,11 +33,14 @@ def write_threads(nested: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def read_held_out(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of conversation ids, or JSON lines with a conversation_id field."""
-    raw = spark.read.text(path, wholetext=True)
-    ids = raw.select(F.explode(F.from_json("value", "array<string>")).alias("conversation_id"))
-    lines = spark.read.schema("conversation_id string").json(path).filter(F.col("conversation_id").isNotNull())
-    return ids.filter(F.col("conversation_id").isNotNull()).unionByName(lines).distinct()
+    """A JSON array of conversation ids, over any lines, or JSON lines with a conversation_id field. Read by line, so
+    a long list is split."""
+    line = F.trim("value")
+    quoted = F.regexp_extract_all(line, F.lit(r'"(?:[^"\\\\]|\\\\.)*"'), F.lit(0))
+    of_array = F.transform(quoted, lambda x: F.get_json_object(F.concat(F.lit('{"v":'), x, F.lit("}")), "$.v"))
+    of_line = F.array(F.get_json_object(line, "$.conversation_id"))
+    ids = spark.read.text(path).select(F.explode(F.when(line.startswith("{"), of_line).otherwise(of_array)).alias("conversation_id"))
+    return ids.filter(F.col("conversation_id").isNotNull()).distinct()
 
 
 def write_held_out(golden: DataFrame, path: str) -> None:
@@ -54,25 +56,29 @@ def write_golden(golden: DataFrame, path: str) -> None:
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """Intents from a JSON file, or a YAML file where the yaml module is installed.
+    """Intents from a JSON file, or a YAML file where the yaml module is installed; Spark reads either.
 
-    Both hold {"intents": [{name, display_name, risk_level, default_action, examples, ...}, ...]}.
+    Both hold {"intents": [{name, display_name, description, risk_level, default_action, examples, resolution_patterns,
+    escalation_conditions}, ...]}.
     """
+    texts = "examples", "resolution_patterns", "escalation_conditions"
+    item = "name:string,display_name:string,risk_level:string,default_action:string,description:string," + ",".join(
+        f"{t}:array<string>" for t in texts)
+    raw = spark.read.text(path, wholetext=True)
     if path.endswith((".yaml", ".yml")):
+        import json
+
         import yaml
 
-        with open(path, encoding="utf-8") as handle:
-            rows = [(i, r["name"], r.get("display_name"), r.get("risk_level", "low"),
-                     r.get("default_action", "AUTO_HANDLE"), r.get("examples", []))
-                    for i, r in enumerate(yaml.safe_load(handle)["intents"], start=1)]
-        return spark.createDataFrame(rows, schemas.TAXONOMY)
-    item = "struct<name:string,display_name:string,risk_level:string,default_action:string,examples:array<string>>"
-    raw = spark.read.schema(f"intents array<{item}>").option("multiLine", True).json(path)
-    return raw.select(F.posexplode("intents").alias("pos", "i")).select(
+        parsed = [(json.dumps(yaml.safe_load(r["value"])),) for r in raw.collect()]  # one small file
+        raw = spark.createDataFrame(parsed, "value string")
+    parsed = raw.select(F.from_json("value", f"intents array<struct<{item}>>").alias("doc"))
+    return parsed.select(F.posexplode("doc.intents").alias("pos", "i")).select(
         (F.col("pos") + 1).alias("priority"), "i.name", "i.display_name",
         F.coalesce("i.risk_level", F.lit("low")).alias("risk_level"),
         F.coalesce("i.default_action", F.lit("AUTO_HANDLE")).alias("default_action"),
-        F.coalesce("i.examples", F.array().cast("array<string>")).alias("examples"))
+        *[F.coalesce(f"i.{t}", F.array().cast("array<string>")).alias(t) for t in texts[:1]], "i.description",
+        *[F.coalesce(f"i.{t}", F.array().cast("array<string>")).alias(t) for t in texts[1:]])
 
 
 def write_record(record: DataFrame, path: str) -> None:

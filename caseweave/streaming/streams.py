@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from .. import values as V
 from ..functions import keywords as K
 from ..functions import text as X
+from ..operators.metrics import escalation_windows as windows
 from ..plans import triage as T
+from ..session import materialize
 
 
 def clean_label(stream: DataFrame, brand: str, dictionary=V.CORE_KEYWORDS,
@@ -25,6 +27,11 @@ def dedup(stream: DataFrame, key: str, at: str, delay: str = "1 hour") -> DataFr
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
+def escalation_windows(stream: DataFrame, at: str, escalated: str, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Escalation volume and rate per window; a window comes out once the watermark has passed its end."""
+    return windows(stream, at, escalated, width, delay)
+
+
 def triage_batches(stream: DataFrame, key: str, text: str, index, classifier: T.Classifier, handle: str, path: str,
                    checkpoint: str, limits: T.Thresholds = T.Thresholds()):
     """Triage every micro-batch into a Parquet table.
@@ -32,6 +39,7 @@ def triage_batches(stream: DataFrame, key: str, text: str, index, classifier: T.
     Each batch writes its own folder and overwrites it when replayed, so a restart adds no rows twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "batch")  # read by the classifier, the search and the joins
         T.triage(batch, key, text, index, classifier, handle, limits).write.mode("overwrite").parquet(
             f"{path}/batch={batch_id}")
 
