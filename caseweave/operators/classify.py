@@ -20,11 +20,17 @@ from ..session import is_small, materialize, measured, size_measures
 from .features import Analyzer, idf, raw_weights, term_counts, vocabulary
 from .labels import taxonomy_join
 
-HYBRID_BLOCKS = [
-    ("word", Analyzer("word", 1, 3, True, X.TOKEN, V.CLASSIFIER_WORD_TERMS)),
-    ("char", Analyzer("char_wb", 3, 5, False, X.TOKEN, V.CLASSIFIER_CHAR_TERMS)),
-]
-BASELINE_BLOCKS = [("word", Analyzer("word", 1, 2, True, X.TOKEN_PLAIN, V.BASELINE_TERMS))]
+def hybrid_blocks(word_terms: int | None = V.CLASSIFIER_WORD_TERMS, char_terms: int | None = V.CLASSIFIER_CHAR_TERMS):
+    """Feature blocks of the hybrid model; the sizes bound its coefficient table. None keeps all terms."""
+    return [("word", Analyzer("word", 1, 3, True, X.TOKEN, word_terms)),
+            ("char", Analyzer("char_wb", 3, 5, False, X.TOKEN, char_terms))]
+
+
+def baseline_blocks(terms: int | None = V.BASELINE_TERMS):
+    return [("word", Analyzer("word", 1, 2, True, X.TOKEN_PLAIN, terms))]
+
+
+HYBRID_BLOCKS, BASELINE_BLOCKS = hybrid_blocks(), baseline_blocks()
 
 METHOD_HYBRID = "proposed_hybrid_calibrated"
 METHOD_BASELINE = "tfidf_logistic_regression"
@@ -112,6 +118,7 @@ def fit_linear(docs: DataFrame, doc: str, text: str, label: str, blocks, c: floa
     classes = [r[label] for r in weights]
     terms, sizes = _block_vocabularies(docs, doc, text, blocks, n)
     size = sizes["rows"]
+    # only the training rows, whose number is bounded, become vectors; no built-in function makes sparse ones
     to_vector = F.udf(lambda i, w: Vectors.sparse(size, i, w), VectorUDT())
     code = spark.createDataFrame([(r[label], float(k), float(r["weight"])) for k, r in enumerate(weights)],
                                  f"`{label}` string, label_code double, class_weight double")
@@ -140,14 +147,14 @@ def fit_linear(docs: DataFrame, doc: str, text: str, label: str, blocks, c: floa
     return LinearModel(classes, intercepts, weighted, blocks, method, is_small(sizes))
 
 
-def fit_hybrid(docs: DataFrame, doc: str, text: str, label: str) -> LinearModel:
-    """Word 1-3 grams and in-word character 3-5 grams."""
-    return fit_linear(docs, doc, text, label, HYBRID_BLOCKS, 3.5, 1500, METHOD_HYBRID)
+def fit_hybrid(docs: DataFrame, doc: str, text: str, label: str, blocks=None) -> LinearModel:
+    """Word 1-3 grams and in-word character 3-5 grams; `blocks` as from `hybrid_blocks` sets other sizes."""
+    return fit_linear(docs, doc, text, label, blocks or HYBRID_BLOCKS, 3.5, 1500, METHOD_HYBRID)
 
 
-def fit_baseline(docs: DataFrame, doc: str, text: str, label: str) -> LinearModel:
-    """Word 1-2 grams only."""
-    return fit_linear(docs, doc, text, label, BASELINE_BLOCKS, 2.0, 1000, METHOD_BASELINE)
+def fit_baseline(docs: DataFrame, doc: str, text: str, label: str, blocks=None) -> LinearModel:
+    """Word 1-2 grams only; `blocks` as from `baseline_blocks` sets another size."""
+    return fit_linear(docs, doc, text, label, blocks or BASELINE_BLOCKS, 2.0, 1000, METHOD_BASELINE)
 
 
 def class_scores(df: DataFrame, doc: str, text: str, model: LinearModel) -> DataFrame:

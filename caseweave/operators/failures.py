@@ -31,8 +31,5 @@ def failure_modes(records: DataFrame, order: str = "id", boundary_intents=None,
         c("decision").alias("actual_decision"))
     first = (records.select(order, record.alias("record"), F.explode(modes).alias("mode"))
              .groupBy("mode").agg(F.min_by("record", order).alias("record")))
-    notes = records.sparkSession.createDataFrame(
-        V.FAILURE_MODES, "mode int, failure_mode string, why_it_failed string, hypothesis string, "
-                         "potential_improvement string")
-    return first.join(F.broadcast(notes), "mode").select(
-        "mode", "failure_mode", "record.*", "why_it_failed", "hypothesis", "potential_improvement")
+    names = records.sparkSession.createDataFrame(V.FAILURE_MODES, "mode int, failure_mode string")
+    return first.join(F.broadcast(names), "mode").select("mode", "failure_mode", "record.*")

@@ -41,10 +41,18 @@ class Analyzer:
         return X.word_ngrams(prepared, self.low, self.high)
 
 
-def term_counts(docs: DataFrame, doc: str, text: str, analyzer: Analyzer) -> DataFrame:
-    """(doc, term, tf). A text without terms keeps one row with a null term."""
-    # An explicit number, or the small rows would be put back together before they grow
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+TASK_BYTES = 16 * 1024 * 1024
+
+
+def term_counts(docs: DataFrame, doc: str, text: str, analyzer: Analyzer, tasks: int | None = None) -> DataFrame:
+    """(doc, term, tf). A text without terms keeps one row with a null term.
+
+    `tasks` is the number of parts that the texts are dealt to; by default one for every 16 MB of text, and no
+    fewer than the session's shuffle partitions. It is explicit, or the small rows would be put back together before they grow.
+    """
+    if tasks is None:
+        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
     spread = docs.select(doc, analyzer.prepare(F.col(text)).alias("prepared")).repartition(tasks, doc)
     terms = spread.select(doc, F.explode_outer(analyzer.terms(F.col("prepared"))).alias("term"))
     return terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))

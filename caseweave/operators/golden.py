@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import values as V
 from ..functions import text as X
+from ..session import materialize
 from .labels import label_all_matches
 
 PER_INTENT, AMBIGUOUS, TARGET = 18, 20, 200
@@ -96,13 +97,13 @@ def golden_set(threads: DataFrame, taxonomy: DataFrame, per_intent: int = PER_IN
                target: int = TARGET, seed: int = 42, dictionary=V.GOLDEN_KEYWORDS,
                default_intent: str = V.DEFAULT_INTENT) -> DataFrame:
     """The evaluation set: stratified rows in taxonomy order, then ambiguous ones, then the top-up."""
-    pool = golden_pool(threads, dictionary)
+    pool = materialize(golden_pool(threads, dictionary), "pool")
     shape = ["conversation_id", "customer_cleaned_issue", "gold_intent", "gold_decision", "gold_reason", "risk_level",
              "brand_first_response", "difficulty", "turn_count"]
     drawn = gold_labels(stratified_sample(pool, per_intent, seed), taxonomy)
     first = drawn.select(*shape, F.lit(1).alias("step"), F.col("priority").alias("stratum"))
     second = ambiguous_sample(pool, ambiguous, seed).select(*shape, F.lit(2).alias("step"), F.lit(0).alias("stratum"))
-    chosen = first.unionByName(second)
+    chosen = materialize(first.unionByName(second), "chosen")
     third = top_up(pool, chosen, target, seed, default_intent).select(
         *shape, F.lit(3).alias("step"), F.lit(0).alias("stratum"))
     # numbered in one place: the set is bounded by per_intent * intents + ambiguous + target

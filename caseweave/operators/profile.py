@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import values as V
 from ..functions import keywords as K
 from ..functions import text as X
-from ..session import is_small, measured, size_measures
+from ..session import is_small, materialize, measured, size_measures
 from .brand import brand_mentions, known_brands
 
 
@@ -100,13 +100,14 @@ def sample_messages(mentions: DataFrame, tweets: DataFrame, k: int = 3) -> DataF
 def brand_ranking(tweets: DataFrame, top: int = 30, samples: int = 3) -> DataFrame:
     """Suitability of the `top` brands with the most replies, best first."""
     c = F.col
-    profile = outbound_profile(tweets).orderBy(F.desc("outbound_brand_replies"), "brand").limit(top)
+    profile = materialize(outbound_profile(tweets).orderBy(F.desc("outbound_brand_replies"), "brand").limit(top), "profile")
     # at most `top` brands, so the mentions meet them in a broadcast
     brands = known_brands(tweets).join(F.broadcast(profile.select("brand")), "brand", "left_semi")
-    mentions = brand_mentions(tweets, brands, small=True)
+    # written once: three statistics follow
+    mentions = materialize(brand_mentions(tweets, brands, small=True).select("brand", "tweet_id", "text", "in_response_to_tweet_id"), "mentions")
     stats = (profile.join(mention_counts(mentions), "brand", "left")
              .join(vocabulary_diversity(mentions), "brand", "left")
-             .join(sample_messages(mentions, tweets, samples).groupBy("brand").agg(
+             .join(sample_messages(mentions, mentions.drop("brand").dropDuplicates(["tweet_id"]), samples).groupBy("brand").agg(
                  F.array_sort(F.collect_list(F.struct("sample_no", "text"))).alias("s")), "brand", "left")
              .na.fill(0))
     table = stats.withColumn("total_messages", c("outbound_brand_replies") + c("inbound_customer_msgs")).withColumn(

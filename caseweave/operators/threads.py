@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as X
-from ..session import materialize, measured
+from ..session import materialize, measured, small_side
 
 # A parent with more replies than this is joined by broadcast. At most rows/HOT_REPLIES such parents exist.
 HOT_REPLIES = 1_000_000
@@ -41,11 +41,11 @@ def conversation_roots(links: DataFrame, hot_replies: int = HOT_REPLIES) -> Data
     The parents are reduced to one row each before they meet the ids. Parents with very many
     replies are handled by a broadcast of those few ids; the rest meets in a plain semi join.
     """
-    parents = first_child(links)
+    parents = materialize(first_child(links), "parents")
     ids = links.select(F.col("tweet_id").alias("parent_id"))
     missing = parents.join(ids, "parent_id", "left_anti")
-    hot = F.broadcast(parents.filter(F.col("replies") > hot_replies).select("parent_id"))
-    hot_missing = F.broadcast(missing.filter(F.col("replies") > hot_replies).select("parent_id"))
+    hot = small_side(parents.filter(F.col("replies") > hot_replies).select("parent_id"), "hotparents")
+    hot_missing = small_side(missing.filter(F.col("replies") > hot_replies).select("parent_id"), "hotmissing")
     cold_missing = missing.filter(F.col("replies") <= hot_replies).select("parent_id")
     replies = links.filter(F.col("parent_id").isNotNull())
     return (links.filter(F.col("parent_id").isNull())
@@ -104,8 +104,8 @@ def kept_chains(chains: DataFrame, min_turns: int = 2) -> DataFrame:
     is_long = F.col("turn_count") > LONG_THREAD
     slots = F.when(is_long, F.sequence(F.lit(0), F.lit(SLOTS - 1))).otherwise(F.array(F.lit(0)))
     kept = thread_filter(chains, min_turns).select("root_tweet_id", F.explode(slots).alias("slot"))
-    long_roots = F.broadcast(thread_sizes(chains).filter(is_long)
-                             .select("root_tweet_id", F.lit(True).alias("is_long")))
+    long_roots = small_side(thread_sizes(chains).filter(is_long)
+                            .select("root_tweet_id", F.lit(True).alias("is_long")), "longroots")
     slot = F.when(F.col("is_long"), F.pmod(F.xxhash64("tweet_id"), F.lit(SLOTS)).cast("int")).otherwise(F.lit(0))
     return (chains.join(long_roots, "root_tweet_id", "left").withColumn("slot", slot)
             .join(kept, ["root_tweet_id", "slot"], "left_semi").select(chains.columns))

@@ -458,7 +458,7 @@ ESTIMATE = "greatest(coalesce(first_contacts, 0), CAST(floor(outbound_brand_repl
 
 DOC_TERMS = [
     term_counts("doc_terms", "documents", "doc_id", fold_tokens("text"), ngrams("tokens", 1, 2)),
-    vocab("doc_vocab", "doc_terms", 2000, "documents"),
+    vocab("doc_vocab", "doc_terms", None, "documents"),
 ]
 
 
@@ -540,7 +540,7 @@ def oracle_sql() -> dict[str, str]:
     s["conversation_turns"] = with_(CORPUS, """SELECT * REPLACE (
       CAST(in_response_to_tweet_id AS VARCHAR) AS in_response_to_tweet_id) FROM turns""")
     s["conversation_threads"] = with_(CORPUS, "SELECT * FROM threads")
-    s["conversation_history"] = with_(CORPUS, f"""SELECT root_tweet_id, string_agg(CASE WHEN role = 'customer' THEN
+    s["conversation_history"] = with_(CORPUS, f"""SELECT root_tweet_id, 0::BIGINT AS part, string_agg(CASE WHEN role = 'customer' THEN
       'Customer: ' ELSE 'Support ({T.BRAND}): ' END || cleaned_text, chr(10) ORDER BY turn_index) AS history
       FROM turns WHERE turn_index <= 3 GROUP BY root_tweet_id""")
 
@@ -563,7 +563,7 @@ def oracle_sql() -> dict[str, str]:
     s["training_sample"] = with_(CORPUS + [TAXONOMY] + SMALL, f"""SELECT tweet_id, conversation_id, i[1] AS intent FROM (
       SELECT tweet_id, 'conv_' || root_tweet_id AS conversation_id, {matches('cleaned_text')} AS i FROM turns
       WHERE role = 'customer' AND {words('cleaned_text')} >= 3) t WHERE len(i) = 1
-      AND conversation_id NOT IN (SELECT conversation_id FROM small) ORDER BY tweet_id LIMIT 50""")
+      AND conversation_id NOT IN (SELECT conversation_id FROM small)""")
     s["taxonomy_join"] = with_(base + [TAXONOMY], f"""SELECT tweet_id, intent, coalesce(risk_level, 'medium') AS risk_level,
       coalesce(default_action, '{V.ESCALATE}') AS default_action FROM (
       SELECT tweet_id, {first('cleaned', default='unlisted')} AS intent FROM customers) c
@@ -577,14 +577,15 @@ def oracle_sql() -> dict[str, str]:
     s["char_wb_ngrams"] = with_(base, f"SELECT tweet_id, array_to_string({char_wb('cleaned', 3, 5)}, '|') AS ngrams FROM customers")
     s["strip_accents"] = "SELECT doc_id, md5(strip_accents(lower(text))) AS hash FROM documents"
     s["vocabulary"] = with_(DOC_TERMS, "SELECT term, n FROM doc_vocab")
+    s["vocabulary_top"] = with_(DOC_TERMS, "SELECT term, n FROM doc_vocab ORDER BY n DESC, term LIMIT 2000")
     s["idf"] = with_(DOC_TERMS, "SELECT term, df, round(idf, 6) AS idf FROM doc_vocab")
     s["tfidf_weights"] = with_(DOC_TERMS + [weights("w", "doc_terms", "doc_vocab", "doc_id")],
                                "SELECT doc_id, term, round(weight, 5) AS weight FROM w")
     s["feature_union"] = with_(base + [
         term_counts("wt", "customers", "tweet_id", fold_tokens("cleaned"), ngrams("tokens", 1, 3)),
-        vocab("wv", "wt", 800, "customers"), weights("ww", "wt", "wv", "tweet_id"),
+        vocab("wv", "wt", None, "customers"), weights("ww", "wt", "wv", "tweet_id"),
         term_counts("ct", "customers", "tweet_id", "cleaned", char_wb("prepared", 3, 5), "prepared"),
-        vocab("cv", "ct", 800, "customers"), weights("cw", "ct", "cv", "tweet_id")],
+        vocab("cv", "ct", None, "customers"), weights("cw", "ct", "cv", "tweet_id")],
         """SELECT tweet_id, 'word' AS block, term, round(weight, 5) AS weight FROM ww
         UNION ALL SELECT tweet_id, 'char', term, round(weight, 5) FROM cw""")
 

@@ -23,7 +23,7 @@ from . import triage as TR
 
 # Lower floors than the defaults, so that both decisions occur on the invented text
 LIMITS = TR.Thresholds(min_similarity=0.20, min_grounding=0.25)
-DOC_WORDS = FE.Analyzer("word", 1, 2, True, X.TOKEN, 2000)
+DOC_WORDS = FE.Analyzer("word", 1, 2, True, X.TOKEN)
 
 
 def joined(c: str | Column, separator: str = "|") -> Column:
@@ -143,7 +143,7 @@ def conversation_threads(s, d):
 
 
 def conversation_history(s, d):
-    return D.conversation_history(T.corpus(s, d).turns, T.BRAND, 3).select("root_tweet_id", "history")
+    return D.conversation_history(T.corpus(s, d).turns, T.BRAND, 3).select("root_tweet_id", "part", "history")
 
 
 # ---------------------------------------------------------------- weak labels
@@ -175,7 +175,7 @@ def intent_samples(s, d):
 
 
 def training_sample(s, d):
-    return T.training_rows(s, d, 50).select("tweet_id", "conversation_id", "intent")
+    return T.training_rows(s, d, None).select("tweet_id", "conversation_id", "intent")
 
 
 def taxonomy_join(s, d):
@@ -209,18 +209,23 @@ def _doc_counts(s, d):
 
 
 def vocabulary(s, d):
+    return FE.vocabulary(_doc_counts(s, d), None).select("term", "n")
+
+
+def vocabulary_top(s, d):
+    """The max_features option: the 2,000 most frequent terms."""
     return FE.vocabulary(_doc_counts(s, d), 2000).select("term", "n")
 
 
 def idf(s, d):
     n = T.table(s, d, "documents").count()
-    return FE.idf(FE.vocabulary(_doc_counts(s, d), 2000), n).select("term", "df", F.round("idf", 6).alias("idf"))
+    return FE.idf(FE.vocabulary(_doc_counts(s, d), None), n).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def tfidf_weights(s, d):
     n = T.table(s, d, "documents").count()
-    counts = _doc_counts(s, d)
-    table, small = FE.fit_idf(counts, 2000, n)
+    counts = materialize(_doc_counts(s, d), "counts")
+    table, small = FE.fit_idf(counts, None, n)
     return FE.tfidf_weights(counts, table, "doc_id", small).select("doc_id", "term", F.round("weight", 5).alias("weight"))
 
 
@@ -229,8 +234,8 @@ def feature_union(s, d):
     n = messages.count()
     blocks = []
     for name, analyzer in C.HYBRID_BLOCKS:
-        counts = FE.term_counts(messages, "tweet_id", "cleaned", analyzer)
-        table, small = FE.fit_idf(counts, 800, n)
+        counts = materialize(FE.term_counts(messages, "tweet_id", "cleaned", analyzer), "counts")
+        table, small = FE.fit_idf(counts, None, n)
         blocks.append((name, FE.tfidf_weights(counts, table, "tweet_id", small)))
     return FE.feature_union(blocks).select("tweet_id", "block", "term", F.round("weight", 5).alias("weight"))
 
@@ -568,8 +573,7 @@ def rater_agreement(s, d):
 
 def failure_modes(s, d):
     outputs = golden_outputs(s, d).drop("risk_level")
-    return FM.failure_modes(outputs, "id", ["gamma_account", "delta_billing"], "the", ("ing", "line"), "and").drop(
-        "why_it_failed", "hypothesis", "potential_improvement")
+    return FM.failure_modes(outputs, "id", ["gamma_account", "delta_billing"], "the", ("ing", "line"), "and")
 
 
 def model_comparison(s, d):
@@ -805,7 +809,7 @@ QUERIES = [
     conversation_threads, conversation_history,
     label_first_match, label_single_match, label_all_matches, label_documents, intent_frequency, intent_samples,
     training_sample, taxonomy_join,
-    tokenize_words, word_ngrams, char_wb_ngrams, strip_accents, vocabulary, idf, tfidf_weights, feature_union,
+    tokenize_words, word_ngrams, char_wb_ngrams, strip_accents, vocabulary, vocabulary_top, idf, tfidf_weights, feature_union,
     majority_baseline, majority_quality, balanced_weights, predict_top2, class_probabilities, triggered_keywords,
     tfidf_baseline, hybrid_classifier,
     build_cases, build_index, search_topk, search_by_intent, min_similarity, evidence_array,

@@ -77,6 +77,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return is_small(df.agg(*[c.alias(k) for k, c in size_measures(df).items()]).first())
 
 
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """The table written and measured, marked for broadcast if it is small."""
+    df, sizes = measured(df, name, **size_measures(df))
+    return F.broadcast(df) if is_small(sizes) else df
+
+
 def _width(df: DataFrame, field):
     kind = field.dataType.typeName()
     c = df[field.name]

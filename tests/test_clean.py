@@ -7,14 +7,14 @@ from caseweave.operators import brand as B
 
 
 def test_validate_records(spark):
-    rows = [(101, "115712", "@AppleSupport my screen is frozen"), (101, "115712", None), (102, "115712", " \t "),
+    rows = [(101, "115712", "@AppleSupport the lamp stays dark"), (101, "115712", None), (102, "115712", " \t "),
             (None, "115712", "Help"), (103, None, "Help"), (104, "  ", "Help")]
     df = spark.createDataFrame(rows, "tweet_id long, author_id string, text string")
     assert [r.tweet_id for r in B.validate_records(df).collect()] == [101]
 
 
 def test_cleaning_keeps_voice(one):
-    raw = "@AppleSupport my iphon 8 cant charge!!! 😡😢 it died @ 20%"
+    raw = "@AppleSupport teh lamp wont lite??? 🔦🙃 since 5pm @ home"
     values = [raw, "@applesupport\n\nhi", "@AppleSupportUK hi", "hi @AppleSupport", "@AppleSupport", None, "", "a\x00\x0bb� \t c"]
     got = one(lambda c: X.clean_customer_text(c, "@AppleSupport"), values)
     assert got == [raw[14:], "hi", "UK hi", "hi @AppleSupport", "", "", "", "ab c"]
@@ -25,8 +25,8 @@ def test_brand_handle_is_escaped(one):
 
 
 def test_reply_cleaning(one):
-    values = ["@115712 We would like to help.", "@käse_1  hi", "no @name here", "@ alone", None]
-    assert one(X.clean_brand_reply, values) == ["We would like to help.", "hi", "no @name here", "@ alone", ""]
+    values = ["@77 Tell us the colour of the lamp.", "@käse_1  hi", "no @name here", "@ alone", None]
+    assert one(X.clean_brand_reply, values) == ["Tell us the colour of the lamp.", "hi", "no @name here", "@ alone", ""]
 
 
 def test_dates(one):

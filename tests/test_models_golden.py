@@ -5,13 +5,13 @@ from caseweave.operators import classify as C, golden as G, labels as L, leakage
 from caseweave.plans import triage as TR
 
 SENTENCES = [
-    ("My battery is draining so fast", "battery_power_drain"), ("Battery dying in 2 hours", "battery_power_drain"),
-    ("How to update to iOS 11?", "software_update_os"), ("Software update won't download", "software_update_os"),
-    ("My screen is cracked and shattered", "hardware_screen_physical_damage"),
-    ("Apple ID password locked out", "apple_id_account_access"),
-    ("App store charged me twice for subscription", "app_store_billing_subscription"),
-    ("Wi-Fi keeps dropping connection", "connectivity_wifi_bluetooth_network"),
-    ("Speaker has no sound", "audio_sound_microphone"), ("iCloud backup full", "storage_icloud_backup"),
+    ("power is gone after lunch", "battery_power_drain"), ("power bar falls every hour", "battery_power_drain"),
+    ("where is the new version", "software_update_os"), ("new version never installs", "software_update_os"),
+    ("glass broke in two pieces", "hardware_screen_physical_damage"),
+    ("cannot sign in with my name", "apple_id_account_access"),
+    ("billed two times this month", "app_store_billing_subscription"),
+    ("router link is lost at night", "connectivity_wifi_bluetooth_network"),
+    ("music is silent today", "audio_sound_microphone"), ("no space left for photos", "storage_icloud_backup"),
 ]
 
 
@@ -43,10 +43,10 @@ def test_baseline(spark, sentences):
 
 
 def test_hybrid(spark, hybrid):
-    (r,) = C.predict(question(spark, "iOS 11 update download issue"), "id", "text", hybrid, L.taxonomy_dimension(spark)).collect()
+    (r,) = C.predict(question(spark, "where is the new update, the new version"), "id", "text", hybrid, L.taxonomy_dimension(spark)).collect()
     assert r.intent == "software_update_os" and r.confidence > 0
     assert (r.risk_level, r.default_action, r.method) == ("low", V.AUTO, "proposed_hybrid_calibrated")
-    assert r.triggered_keywords == ["update"] and len(r.all_probabilities) == 8
+    assert "update" in r.triggered_keywords and len(r.all_probabilities) == 8
 
 
 def test_scores_equal_ml_model(spark, sentences, hybrid):
@@ -86,13 +86,13 @@ CASES = "case_order long, case_id string, customer_issue string, brand_resolutio
 
 
 def test_triage(spark, hybrid):
-    rows = [(1, "mock_001", "My iPhone battery drains really fast after update", "Check Settings > Battery.", "c", "battery_power_drain", 2),
-            (2, "mock_002", "Apple ID locked, I can't sign in at all", "Please visit the recovery page.", "c", "apple_id_account_access", 2),
-            (3, "mock_003", "Dropped my phone and the screen is cracked", "Check your warranty status.", "c", "hardware_screen_physical_damage", 2)]
+    rows = [(1, "mock_001", "lamp power is gone after the new version", "Check Settings > Battery.", "c", "battery_power_drain", 2),
+            (2, "mock_002", "sign in with my name fails every day", "Please visit the recovery page.", "c", "apple_id_account_access", 2),
+            (3, "mock_003", "the glass broke in the hall", "Check your warranty status.", "c", "hardware_screen_physical_damage", 2)]
     index = R.build_index(spark.createDataFrame(rows, CASES))
     asked = spark.createDataFrame([
-        (1, "@AppleSupport my iPhone battery is draining so fast after the update"),
-        (2, "My Apple ID password is locked and I cannot sign in"), (3, "I dropped my phone and the screen is cracked into pieces"),
+        (1, "@AppleSupport lamp power is gone after lunch"),
+        (2, "cannot sign in with my name since monday"), (3, "glass broke in two pieces on the floor"),
         (4, "  ")], "id long, text string")
     classifier = TR.model_classifier(hybrid, L.taxonomy_dimension(spark))
     out = {r.id: r for r in TR.triage(asked, "id", "text", index, classifier, "@AppleSupport").collect()}
