@@ -815,6 +815,19 @@ def oracle_sql() -> dict[str, str]:
                                        shingled("h", "(SELECT * FROM documents WHERE source = 'src0')", "doc_id")],
                                       near("n / (pa + nb - n)::DOUBLE"))
     s["leak_near_benchmark"] = with_([shingled("p", "documents", "doc_id"), shingled("h", "benchmark", "item_id")], near("n / nb::DOUBLE"))
+    from . import registry as R  # the fixed model's numbers
+
+    values = ", ".join(f"({q(t)}, {i}::DOUBLE, {', '.join(f'{c}::DOUBLE' for c in cs)})" for t, i, cs in R.FIXED_TERMS)
+    logits = [f"coalesce(sum(raw * c{k}) / sqrt(sum(raw * raw)), 0) + {b}" for k, b in enumerate(R.FIXED_INTERCEPTS)]
+    s["class_scores_fixed"] = with_(base + [TAXONOMY, f"model(term, idf, c0, c1, c2) AS (VALUES {values})",
+        term_counts("tc", "customers", "tweet_id", fold_tokens("cleaned"), "tokens"),
+        f"""z AS (SELECT tweet_id, {logits[0]} AS z0, {logits[1]} AS z1, {logits[2]} AS z2 FROM (SELECT c.tweet_id,
+          (1.0 + ln(CAST(tf AS DOUBLE))) * idf AS raw, c0, c1, c2 FROM customers c LEFT JOIN tc USING (tweet_id) LEFT JOIN model USING (term)) GROUP BY 1)""",
+        """p AS (SELECT tweet_id, exp(z0) / t AS p0, exp(z1) / t AS p1, exp(z2) / t AS p2 FROM (SELECT *, exp(z0) + exp(z1) + exp(z2) AS t FROM z))""",
+        """best AS (SELECT tweet_id, list_reverse_sort([p0, p1, p2]) AS l, CASE WHEN p2 >= p1 AND p2 >= p0 THEN 'gamma_account'
+          WHEN p1 >= p0 THEN 'beta_update' ELSE 'alpha_power' END AS intent FROM p)"""],
+        f"""SELECT tweet_id, intent, round(l[1], 4) AS confidence, round(l[1] - l[2], 4) AS margin, l[1] - l[2] < {V.AMBIGUITY_MARGIN} AS is_ambiguous,
+          risk_level, default_action, 'fixed' AS method FROM best JOIN taxonomy t ON t.name = intent""")
     s["read_tweets"] = with_([TWEETS], """SELECT tweet_id, author_id, inbound, created_at, text, response_tweet_id,
       CAST(CAST(in_response_to_tweet_id AS BIGINT) AS VARCHAR) AS parent_id FROM tweets""")
     s["brand_sink"] = s["extract_brand"]

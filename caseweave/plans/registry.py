@@ -291,6 +291,23 @@ def hybrid_classifier(s, d):
                      joined("triggered_keywords").alias("triggered"), "method")
 
 
+# A small model with given numbers, so that scoring can be checked in plain SQL: (term, idf, coefficients) by rule
+FIXED_CLASSES, FIXED_INTERCEPTS = ["alpha_power", "beta_update", "gamma_account"], [0.1, 0.0, -0.1]
+FIXED_TERMS = [(w, 1 + j / 10, [((j * (c + 2)) % 7 - 3) / 4 for c in range(3)])
+               for j, w in enumerate(w for _, ws in T.KEYWORDS for w in ws)]
+
+
+def fixed_model(s):
+    terms = s.createDataFrame([("word", *t) for t in FIXED_TERMS], "block string, term string, idf double, coef array<double>")
+    return C.LinearModel(FIXED_CLASSES, FIXED_INTERCEPTS, terms, [("word", FE.Analyzer())], "fixed", True)
+
+
+def class_scores_fixed(s, d):
+    """The model path, scores to prediction, with the fixed coefficients."""
+    df = C.predict(T.customer_messages(s, d), "tweet_id", "cleaned", fixed_model(s), T.taxonomy(s))
+    return df.select("tweet_id", "intent", "confidence", "margin", "is_ambiguous", "risk_level", "default_action", "method")
+
+
 # ---------------------------------------------------------------- retrieval
 def build_cases(s, d):
     return T.cases(s, d)
@@ -811,7 +828,7 @@ QUERIES = [
     training_sample, taxonomy_join,
     tokenize_words, word_ngrams, char_wb_ngrams, strip_accents, vocabulary, vocabulary_top, idf, tfidf_weights, feature_union,
     majority_baseline, majority_quality, balanced_weights, predict_top2, class_probabilities, triggered_keywords,
-    tfidf_baseline, hybrid_classifier,
+    tfidf_baseline, hybrid_classifier, class_scores_fixed,
     build_cases, build_index, search_topk, search_by_intent, min_similarity, evidence_array,
     draft_reply, grounding_prompts, escalation_gates, escalation_gates_nulls, triage_rules, triage_default_limits, triage_model,
     stratified_sample, difficulty, gold_labels, ambiguous_sample, top_up, golden_set, golden_distribution,
