@@ -98,9 +98,11 @@ def mix(docs: DataFrame, entropy: float = 0.97, repetition: float = 2.0, budget:
     e = find_exponent(shares, entropy, repetition)
     weight = F.pow("share", F.lit(e))
     z, least = shares.agg(F.sum(weight), F.max(F.col("total") / weight)).first()
-    budget = math.ceil(least * z) if budget is None else budget
+    size = math.ceil(least * z) if budget is None else budget
     # a part of a token is added before rounding down, so that exact whole epochs do not lose a document
-    wanted = F.floor(weight / F.lit(z) * F.lit(float(budget)) + F.lit(1e-3)).cast("long")
+    wanted = F.floor(weight / F.lit(z) * F.lit(float(size)) + F.lit(1e-3)).cast("long")
+    if budget is None:  # rounding the budget up must not break the limit
+        wanted = F.least(wanted, F.floor(F.col("total") * F.lit(repetition)).cast("long"))
     plan = materialize(shares.select("_source", F.floor(wanted / F.col("total")).cast("int").alias("epochs"),
                                      (wanted % F.col("total")).alias("left")), "mixplan")
 

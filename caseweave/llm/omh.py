@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import documents, is_small, materialize, measured, size_measures
+from .common import documents, is_small, join_lookup, materialize, measured, size_measures
 
 MIX1, MIX2, STEP = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -260,7 +260,7 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     found = components(nodes, links, "classes").withColumnRenamed("comp", "class")
     lowest = copies.join(reps.select("node", "digest"), "digest").join(found, "node")
     sizes = lowest.groupBy("class").agg(F.count(F.lit(1)).alias("class_size"))
-    named = lowest.join(sizes, "class").select("doc_id", F.col("class").alias("class_id"), "class_size")
+    named = join_lookup(lowest, sizes, "class", "inner").select("doc_id", F.col("class").alias("class_id"), "class_size")
     missing = docs.filter("doc_id is null").select(*[F.lit(None).cast("long").alias(c) for c in named.columns])
     return named.unionByName(missing)
 

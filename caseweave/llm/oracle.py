@@ -77,7 +77,7 @@ last AS (SELECT CASE WHEN (SELECT count(*) FROM shares) < 2 THEN 1.0
   WHEN (SELECT pow(max(share) / min(share), 1 - any_value(low)) FROM shares) > {repetition} THEN any_value(high) ELSE any_value(low) END AS e FROM r{STEPS // 6}),
 weights AS (SELECT src, total, pow(share, (SELECT e FROM last)) AS w FROM shares),
 size AS (SELECT ceil(max(total / w) * sum(w)) AS budget, sum(w) AS z FROM weights),
-wanted AS (SELECT src, total, floor(w / z * budget + 1e-3)::BIGINT AS want FROM weights, size),
+wanted AS (SELECT src, total, least(floor(w / z * budget + 1e-3), floor(total * {repetition}))::BIGINT AS want FROM weights, size),
 plan AS (SELECT src, (want // total)::INTEGER AS epochs, (want % total)::BIGINT AS rest FROM wanted),
 placed AS (SELECT cut.*, epochs, rest, {hash_("src", "epochs", "block")} AS last_turn FROM cut JOIN plan USING (src)),
 summed AS (SELECT *, sum(tokens) OVER (PARTITION BY src ORDER BY last_turn, block, turn) AS running FROM placed),

@@ -25,7 +25,7 @@ MAX_RATIO = 2.2  # characters per token: prose has 3 to 5, random letters and di
 UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})")
 NAMED_DIGEST = re.compile(r"(?:md5|sha-?\d+|blake\w*|crc\d*|checksum|digest|etag|integrity|commit|rev|hash)[\"']?\x20*[-:=]?\x20*[\"']?$", re.I | re.A)
-NUMBERS = re.compile(r"[0-9+/_=-]+")  # dates, telephone, card and order numbers
+NUMBERS = re.compile(r"[0-9TZ+/_=-]+")  # dates and times, telephone, card and order numbers
 PATH = re.compile(r"(?:https?:/|www\.|/)[^\s]*$", re.I)  # the run goes on a path or address
 
 

@@ -46,7 +46,7 @@ def brute(rows, entropy, repetition, budget=None, seed=7):
 
 
 def rows_of(sizes):
-    return [(1000 * k + i, "x" * (1 + (i * 37) % 211), f"s{k}") for k, n in enumerate(sizes) for i in range(n)]
+    return [(10_000 * k + i, "x" * (1 + (i * 37) % 211), f"s{k}") for k, n in enumerate(sizes) for i in range(n)]
 
 
 @pytest.mark.parametrize("entropy,repetition,budget", [(0.97, 2.0, None), (0.9, 100.0, None), (1.0, 3.5, None), (0.95, 5.0, 4000), (0.95, 5.0, 90_000)])

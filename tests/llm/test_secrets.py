@@ -40,7 +40,7 @@ def test_cases():
     spans = lambda t: secrets.written(secrets.find(t, enc)[1])
     assert spans("") == ""
     assert spans("token:token:abcdefg") == ""  # the first match fails and has used up the second keyword
-    assert spans("é PASSWORD = 'abc123'") == "assign:2:21"
+    assert spans("é PASSWORD = 'abc123'") == "assign:2:20"  # up to the closing quote
     assert spans("token=abc") == "" and spans("paſſword=abcdef") == ""
     assert spans("x=" + "a1" * 12) == "hex:2:26"
     assert spans(f"use {KEY} now") == f"random:4:{4 + len(KEY)}"
