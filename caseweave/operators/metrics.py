@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import values as V
+from ..session import materialize
 
 
 def _share(top: Column, bottom: Column) -> Column:
@@ -44,14 +45,19 @@ def macro_prf(df: DataFrame, truth: str, predicted: str, by: list[str] | None =
         *[F.round(F.avg(c), 4).alias(f"macro_{c}") for c in ("precision", "recall", "f1")])
 
 
-def confusion_matrix(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def confusion_matrix(df: DataFrame, truth: str, predicted: str, max_labels: int = 2_000) -> DataFrame:
     """Long form (truth, predicted, n) over all label pairs, zeros included.
 
-    Every label contributes one zero row per other label; the labels are first reduced to one list.
+    Every label contributes one zero row per other label; the labels are first reduced to one list. More than
+    `max_labels` labels are an error, not a cut: the matrix has a row for each pair.
     """
     counts = df.groupBy(F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
-    labels = counts.select(F.explode(F.array("truth", "predicted")).alias("label")).agg(
+    counts = materialize(counts, "labelpairs")
+    every = counts.select(F.explode(F.array("truth", "predicted")).alias("label"))
+    if every.distinct().limit(max_labels + 1).count() > max_labels:
+        raise ValueError(f"a matrix of more than {max_labels} labels")
+    labels = every.agg(
         F.collect_set("label").alias("labels"))
     grid = labels.select(F.explode("labels").alias("truth"), "labels").select(
         "truth", F.explode("labels").alias("predicted"), F.lit(0).cast("long").alias("n"))

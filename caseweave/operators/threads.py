@@ -9,6 +9,8 @@ all join keys are unique on both sides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as X
@@ -74,17 +76,20 @@ def reply_chains(links: DataFrame) -> DataFrame:
     still_open = F.count_if(~F.col("done"))
     state, seen = measured(start, "chains", open=still_open)
     open_rows = seen["open"]
+    finished, moving = [state.filter("done")], state.filter("NOT done")
     while open_rows:
-        ahead = state.select(F.col("tweet_id").alias("pointer"), F.col("pointer").alias("next"),
-                             F.col("steps").alias("more"), F.col("done").alias("there"),
-                             F.col("from_root").alias("rooted"))
-        moved = state.filter(~F.col("done")).join(ahead, "pointer").select(
+        # every row's state is in one of the tables; only those still open are written again
+        ahead = reduce(DataFrame.unionByName, [*finished, moving]).select(
+            F.col("tweet_id").alias("pointer"), F.col("pointer").alias("next"), F.col("steps").alias("more"),
+            F.col("done").alias("there"), F.col("from_root").alias("rooted"))
+        moved, seen = measured(moving.join(ahead, "pointer").select(
             "tweet_id", "role", F.col("next").alias("pointer"), (F.col("steps") + F.col("more")).alias("steps"),
-            F.col("there").alias("done"), F.col("rooted").alias("from_root"))
-        state, seen = measured(state.filter("done").unionByName(moved), "chains", open=still_open)
+            F.col("there").alias("done"), F.col("rooted").alias("from_root")), "chains", open=still_open)
+        finished, moving = [*finished, moved.filter("done")], moved.filter("NOT done")
         if seen["open"] == open_rows:
             break  # every path gets shorter each round, so only cycles are left, and they have no root
         open_rows = seen["open"]
+    state = reduce(DataFrame.unionByName, finished)
     return state.filter("done AND from_root").select(
         F.col("pointer").alias("root_tweet_id"), (F.col("steps") + 1).alias("turn_index"), "tweet_id", "role")
 
