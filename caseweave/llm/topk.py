@@ -85,7 +85,7 @@ class SortedLists:
 
 
 def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_: str = "vec_id", vector: str = "embedding",
-           block_rows: int = 8192, query_rows: int = 512) -> DataFrame:
+           block_rows: int = 24_576, query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: the k best inner products of each query among all rows but its own.
 
     Queries are the rows whose id is divisible by `every`. Candidates are dealt by a hash of the id into blocks of about
