@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import materialize
 
 PIVOTS = 16
+PART_ROWS = 2048  # members of a group that stand under one join key
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -27,12 +28,14 @@ def with_group(vectors: DataFrame, pivots: Column) -> DataFrame:
     return vectors.withColumn("angles", angles).withColumn("near", F.array_min("angles"))
 
 
-def dense_topk(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
+def dense_topk(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 5, pivots: int = PIVOTS,
+               part_rows: int = PART_ROWS) -> DataFrame:
     """(query_id, rank, key, similarity): the k most similar other vectors of every query; similarity with 6 decimals, ties by key.
 
     `pivots` vectors, the first in the order of a hash, split all vectors into groups. A query's own group gives a lower bound for
     its k-th best similarity; another group is met only if the smallest possible angle to its members (the angle to its
-    pivot less the group's radius) can reach that bound. The result is exact.
+    pivot less the group's radius) can reach that bound. A group's members are dealt by a hash of the key into parts of about
+    `part_rows`, and its queries are repeated for each part, so no group is one task's work. The result is exact.
     """
     unit = materialize(unit_vectors(vectors, key, vector), "unit")
     rows = unit.orderBy(F.xxhash64(key), key).limit(pivots).collect()  # bounded by `pivots`
@@ -40,12 +43,16 @@ def dense_topk(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k:
         return unit.select(F.col(key).alias("query_id"), F.lit(0).alias("rank"), key, F.lit(0.0).alias("similarity"))
     centres = F.array(*[F.array(*[F.lit(float(x)) for x in r["v"]]) for r in rows])
     members = materialize(with_group(unit, centres).select(key, "v", F.col("near.group").alias("group"), F.col("near.angle").alias("angle")), "members")
-    radius = members.groupBy("group").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size"))  # one row per pivot
+    size = F.count(F.lit(1))
+    radius = materialize(members.groupBy("group").agg(F.max("angle").alias("radius"), F.ceil(size / part_rows).cast("int").alias("parts")), "radius")  # one row per pivot
     asked = materialize(with_group(unit_vectors(queries, key, vector).withColumnRenamed(key, "query_id"), centres), "askedvectors")
     member = F.broadcast(radius)
+    parts = F.broadcast(radius.select("group", "parts"))
+    dealt = members.join(parts, "group").select(key, "v", "group", F.pmod(F.xxhash64(F.lit("part"), key), F.col("parts")).cast("int").alias("part"))
 
     def scores(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(members, "group").filter(F.col(key) != F.col("query_id"))
+        spread = pairs.join(parts, "group").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        met = spread.join(dealt, ["group", "part"]).filter(F.col(key) != F.col("query_id"))
         return met.select("query_id", key, dot(F.col("q"), F.col("v")).alias("similarity"))
 
     best = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 6)), key)

@@ -728,6 +728,12 @@ def dense_topk(s, d):
     return DN.dense_topk(vectors, vectors.filter("vec_id % 50 = 0"), "vec_id", "embedding", 5)
 
 
+def dense_topk_every_20(s, d):
+    """The search rule of `op2_exact_topk`: every vector whose id is divisible by 20 is a query."""
+    vectors = T.table(s, d, "embeddings")
+    return DN.dense_topk(vectors, vectors.filter("vec_id % 20 = 0"), "vec_id", "embedding", 5)
+
+
 def multi_label_pessimistic(s, d):
     df = L.multi_label_pessimistic(T.customer_messages(s, d), "cleaned", T.taxonomy(s), T.KEYWORDS)
     return df.select("tweet_id", joined("intents").alias("intents"), joined("high_risk_intents").alias("high_risk_intents"),
@@ -840,7 +846,7 @@ QUERIES = [
     null_counts, direction_counts, brand_reply_counts, text_statistics, text_statistics_documents, date_range,
     brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, sample_messages, brand_ranking,
     stream_clean_label, stream_dedup, stream_triage, escalation_rate_windows, stream_escalation_windows,
-    dense_topk, multi_label_pessimistic, leak_near_duplicates, leak_near_benchmark,
+    dense_topk, dense_topk_every_20, multi_label_pessimistic, leak_near_duplicates, leak_near_benchmark,
     read_tweets, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, result_record, blank_query,
 ]
 

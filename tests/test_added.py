@@ -65,6 +65,33 @@ def test_dense_topk(spark):
     assert dense.dense_topk(df.limit(0), df.limit(0), "id", "v").count() == 0
 
 
+def test_dense_topk_every_20(spark):
+    from caseweave.plans import registry as R
+
+    folder = "/root/testdata/sf0.001"
+    unit = {}
+    for r in T.table(spark, folder, "embeddings").collect():
+        length = math.sqrt(sum(float(x) * float(x) for x in r["embedding"]))
+        unit[r["vec_id"]] = [float(x) / length for x in r["embedding"]]
+    got = {}
+    for r in R.queries()["dense_topk_every_20"](spark, folder).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["similarity"])
+    assert set(got) == {i for i in unit if i % 20 == 0}
+    for q, ranks in got.items():
+        best = sorted((-round(sum(a * b for a, b in zip(unit[q], v)), 6), i) for i, v in unit.items() if i != q)[:5]
+        assert [ranks[n][0] for n in range(1, 6)] == [i for _, i in best]
+        assert all(abs(ranks[n][1] + s) < 2e-6 for n, (s, _) in enumerate(best, 1))
+
+
+def test_dense_topk_deals_a_group_to_parts(spark):
+    """One group of near vectors, under one join key before, is dealt to many parts, with the same answers."""
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, [rng.gauss(5, 1) for _ in range(6)]) for i in range(300)], "id long, v array<double>")
+    asked = df.filter("id % 20 = 0")
+    few, one = (dense.dense_topk(df, asked, "id", "v", 4, pivots=1, part_rows=n) for n in (10, 1000))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, one.collect())) and few.count() == 60
+
+
 def test_pessimistic_labels(spark):
     taxonomy = T.taxonomy(spark)
     df = spark.createDataFrame([(1, "thing erin"), (2, "thing than"), (3, "none"), (4, None)], "id long, t string")
