@@ -677,7 +677,7 @@ def brand_ranking(s, d):
 # ---------------------------------------------------------------- streams
 def _stream(s, d, name):
     schema = T.table(s, d, name).schema
-    return s.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(d)
+    return s.readStream.schema(schema).parquet(f"{d}/{name}.parque[t]")  # a glob takes a file and a folder of part files alike
 
 
 def _drain(s, stream, name):

@@ -72,6 +72,15 @@ def test_stream_equals_batch(spark):
     assert Q.stream_clean_label(spark, SF).count() == T.messages(spark, SF).count()
 
 
+def test_streams_over_folders_of_part_files(spark, tmp_path):
+    """Tables that are folders of part files give the same rows as tables that are files."""
+    for name in ("conversations", "events"):
+        T.table(spark, SF, name).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    for query in (Q.stream_clean_label, Q.stream_dedup, Q.stream_triage, Q.stream_escalation_windows):
+        rows = [sorted(map(str, query(spark, folder).collect())) for folder in (str(tmp_path), SF)]
+        assert rows[0] == rows[1] and rows[0], query.__name__
+
+
 def test_stream_dedup_over_batches(spark, tmp_path):
     events = T.table(spark, SF, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     folder = str(tmp_path / "in")
