@@ -7,7 +7,7 @@ checked in plain SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import classify, golden as G, labels, retrieve
 from ..session import materialize
@@ -54,14 +54,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def message_id(turn: Column) -> Column:
+    """conv_id * 100 + turn + 1 below 100 turns; later turns of a conversation have ids from 2^52 on, with 24 bits for the turn.
+
+    So no two messages share an id, ids rise with the turn, and all are exact as doubles, as parent ids are. A message
+    that has no such id ends the run: one of a turn of 2^24 or more, or, in a conversation of over 100 turns, of a conversation of 2^28 or more.
+    """
+    conv, late = F.col("conv_id").cast("long"), turn.cast("long") - 100
+    fits = (conv >= 0) & (conv < 1 << 28) & (late < 1 << 24)
+    return (F.when(late < 0, conv * 100 + turn + 1).when(fits, F.lit(1 << 52) + conv * (1 << 24) + late)
+            .when(late.isNotNull() & conv.isNotNull(), F.raise_error(F.lit("conv_id or turn is too large for a message id")).cast("long")))
+
+
 def as_messages(conversations: DataFrame, many_brands: bool = False) -> DataFrame:
     """Conversation rows as messages; works on batch and streaming tables."""
     c = F.col
     brand = F.concat(F.lit("Brand"), (c("conv_id") % 5).cast("string")) if many_brands else F.lit(BRAND)
     customer = F.concat(F.lit("u"), c("conv_id").cast("string"))
     is_user, is_agent = c("role") == "user", c("role") == "assistant"
-    id_ = c("conv_id") * 100 + c("turn") + 1
-    minutes = F.timestamp_seconds(F.lit(1509487707) + id_ * 60)
+    id_ = message_id(c("turn"))
+    minutes = F.timestamp_seconds(F.lit(1509487707) + (c("conv_id") * 100 + c("turn") + 1) * 60)
     return conversations.select(
         id_.alias("tweet_id"),
         F.when(is_agent, brand).when(is_user, customer).otherwise("SystemBot").alias("author_id"),
@@ -69,8 +81,8 @@ def as_messages(conversations: DataFrame, many_brands: bool = False) -> DataFram
         F.date_format(minutes, "EEE MMM dd HH:mm:ss Z yyyy").alias("created_at"),
         F.when(is_user, F.concat(F.lit("@"), brand, F.lit(" "), c("text")))
         .when(is_agent, F.concat(F.lit("@"), customer, F.lit(" "), c("text"))).otherwise(c("text")).alias("text"),
-        F.when(is_user, (id_ + 1).cast("string")).alias("response_tweet_id"),
-        F.when(c("turn") > 0, id_ - 1).cast("double").alias("in_response_to_tweet_id"))
+        F.when(is_user, message_id(c("turn") + 1).cast("string")).alias("response_tweet_id"),
+        F.when(c("turn") > 0, message_id(c("turn") - 1)).cast("double").alias("in_response_to_tweet_id"))
 
 
 def messages(spark: SparkSession, sf_dir: str, many_brands: bool = False) -> DataFrame:
