@@ -18,7 +18,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 # Candidates of the token test: long unbroken runs of the characters that encoded keys are made of. A run must hold
 # a digit; the lookahead drops plain words without a look at their tokens.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=@-])")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
 MAX_RATIO = 2.2  # characters per token: prose has 3 to 5, random letters and digits 1.2 to 1.9
 
 # Known digests and identifiers, which are as random but no secrets
@@ -26,7 +26,10 @@ UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})")
 NAMED_DIGEST = re.compile(r"(?:md5|sha-?\d+|blake\w*|crc\d*|checksum|digest|etag|integrity|commit|rev|hash)[\"']?\x20*[-:=]?\x20*[\"']?$", re.I | re.A)
 NUMBERS = re.compile(r"[0-9TZ+/_=-]+")  # dates and times, telephone, card and order numbers
-PATH = re.compile(r"(?:https?:/|www\.|/)[^\s]*$", re.I)  # the run goes on a path or address
+PATH = re.compile(r"(?:www\.|/)[\w./~%@+$-]*$", re.I)  # the run goes on a path or address; whatever ends a segment ends the path
+PORT = re.compile(r"://[\w.-]*:\d{1,5}/", re.A)  # a path after a port
+QUERY = re.compile(r"[A-Za-z_-][\w-]*=", re.A)  # the name before a value in an address
+USERINFO = re.compile(r"\w://[^\s/@]*$", re.A)  # an address up to its user and password
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -45,10 +48,16 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], encoder, max_rati
     spans = []
     for m in RUN.finditer(text):
         run, start, end = m.group(), m.start(), m.end()
+        if text[max(0, start - 1):start] in ("?", "&", "#") and (name := QUERY.match(run)):
+            run, start = run[name.end():], start + name.end()
+            if len(run) < 16 or not any(c.isdigit() for c in run):
+                continue
         if any(s < end and start < e for s, _, e in taken) or NUMBERS.fullmatch(run) or UUID.fullmatch(run) or DIGEST.fullmatch(run):
             continue
         before = text[max(0, start - 200):start]
-        if NAMED_DIGEST.search(before) or PATH.search(before):
+        if text[end:end + 1] == "@" and not USERINFO.search(before + run):
+            continue
+        if NAMED_DIGEST.search(before) or PATH.search(before) or (before.endswith(":") and PORT.search(before + run[:6])):
             continue
         if len(run) / len(encoder.encode_ordinary(run)) <= max_ratio:
             spans.append((start, 3, end))
@@ -73,7 +82,8 @@ def scan(docs: DataFrame, max_ratio: float = MAX_RATIO, ranks: str | None = None
     Spans are kind:start:end in code points over the whole match, end exclusive, by start, then kind. The token
     test looks at unbroken runs of 16 or more key characters that hold a digit; those outside the base spans that
     cost a byte-level BPE vocabulary one token per `max_ratio` characters or less count as random, unless they
-    are digits only, a UUID, a bare digest, named as a digest, or part of a path. Row by row: no shuffle.
+    are digits only, a UUID, a bare digest, named as a digest, or a segment of a path themselves. The value of a
+    query in an address is tested without its name, the user and password of an address like other runs. Row by row: no shuffle.
 
     Null or empty text: no spans. Null doc_id: scanned, id null. Repeated rows are scanned each. Other columns
     are ignored.

@@ -51,6 +51,23 @@ def test_cases():
     assert spans("AKIA" + "Z" * 15) == "" and spans("AKIA" + "Z" * 16) == "access:0:20"
 
 
+def test_addresses_before_a_secret():
+    enc = bpe_encoder()
+    key = "q7RzP4kX9vLm2TnB8wYc"
+
+    def found(text):
+        return [text[s:e] for s, _, e in secrets.find(text, enc)[1]]
+
+    for text in ('{"url":"https://api.example.com","key":"%s"}', "https://host/services/T0A1?sig=%s", "https://host/a?x=1&sig=%s&y=2",
+                 "2024/01/02,https://a.example/b,%s,x", "https://user:%s@host.example/a", "https://%s@host.example/a", "<a href=/x/y>%s</a>"):
+        assert [f.lstrip("/") for f in found(text % key)] == [key], text
+    for text in ("https://a.example/b.c/%s", "http://localhost:8080/%s", "www.a.example/%s", "mail %s@a.example"):
+        assert found(text % key) == [], text
+    assert found("https://a.example/x?id=123e4567-e89b-12d3-a456-426614174000&etag=D41D8CD98F00B204E9800998ECF8427E") == []
+    late = "qRzPkXvLmTnBwYcGhJdKsWqZxCvBnMtYrEwQaSdFgHjKlPq7" + key  # the first digit comes late
+    assert found(f"use {late} now") == [late]
+
+
 def test_edges(docs, spark):
     rows = {r["doc_id"]: r for r in secrets.scan(docs([(1, None), (2, ""), (None, "token=abcdef"), (3, "word " * 200_000 + "token=abcdef")])).collect()}
     assert rows[1]["spans"] == rows[2]["spans"] == "" and rows[None]["n_assign"] == 1
