@@ -21,8 +21,11 @@ REPORTS = set("""said says wrote writes quoted claims claimed reported called sa
 THREATS = set("""kill hurt beat destroy burn shoot stab punish töten schlagen vernichten tuer frapper détruire matar
     golpear destruir""".split())
 INTENTS = set("""will shall gonna going must should werde wirst sollst vais va dois voy vas debes""".split())
+CLITIC_INTENTS = {"ll"}  # after an apostrophe: I'll, they'll
+CLITIC_TARGETS = {"re", "all"}  # you're, y'all
+ELIDED_TARGETS = {"t"}  # before an apostrophe: t'es
 
-TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[.!?;:,\n\"“”«»()]")
+TOKEN = re.compile(r"[^\W\d_]+(?:['’ʼ][^\W\d_]+)*|[.!?;:,\n\"“”«»()]")
 BREAK = set(".!?;:,\n()")
 QUOTES = set("\"“”«»")
 
@@ -71,7 +74,7 @@ def clauses(text: str):
             quoted ^= token in QUOTES
             quoted &= token != "\n"  # a mark left open ends with its line
         else:
-            words.append(token.lower())
+            words.append(token.lower().replace("’", "'").replace("ʼ", "'"))
     if words:
         yield words, quoted
 
@@ -81,23 +84,27 @@ def clause_score(words: list[str], quoted: bool, lexicon: Lexicon, w: Weights) -
 
     The insult transducer emits an entry's weight, times the negation transducer's discount while that is in its
     `reach` states after a negation. The threat transducer waits for intent, then verb, then target. The target and
-    reported-speech transducers only change state; their weights apply to the whole clause."""
+    reported-speech transducers only change state; their weights apply to the whole clause. A word with apostrophes is
+    one step, looked up whole as a negation and by its parts, which the lexicon holds, in all other classes."""
     total, since_negation, threat, target, report = 0.0, w.reach + 1, 0, False, quoted
     for word in words:
         since_negation += 1
-        if word in NEGATIONS:
+        parts = word.split("'")
+        if word in NEGATIONS or len(parts) > 1 and not NEGATIONS.isdisjoint(parts):
             since_negation = 0
-        report |= word in REPORTS
-        target |= word in TARGETS
-        if word in INTENTS:
-            threat = max(threat, 1)
-        elif word in THREATS and threat == 1:
-            threat = 2 if since_negation > w.reach else 0
-        elif threat == 2 and word in TARGETS:
-            total, threat = total + w.threat, 0
-        value = lexicon.weight(word)
-        if value:
-            total += value * (w.negated if since_negation <= w.reach else 1.0)
+        for i, part in enumerate(parts):
+            report |= part in REPORTS
+            aim = part in TARGETS or i > 0 and part in CLITIC_TARGETS or part in ELIDED_TARGETS and i + 1 < len(parts)
+            target |= aim
+            if part in INTENTS or i > 0 and part in CLITIC_INTENTS:
+                threat = max(threat, 1)
+            elif part in THREATS and threat == 1:
+                threat = 2 if since_negation > w.reach else 0
+            elif threat == 2 and aim:
+                total, threat = total + w.threat, 0
+            value = lexicon.weight(part)
+            if value:
+                total += value * (w.negated if since_negation <= w.reach else 1.0)
     return total * (w.target if target else 1.0) * (w.reported if report else 1.0)
 
 

@@ -66,6 +66,19 @@ def test_grammar():
     assert total("we will never kill you") == 0
 
 
+def test_contractions():
+    lexicon = T.Lexicon({"idiot": 5.0, "imbécile": 5.0}, {})
+    total = lambda t: T.text_total(t, lexicon, T.Weights(), T.finder_of(lexicon))
+    w = T.Weights()
+    for mark in "'’":
+        say = lambda t: total(t.replace("'", mark))
+        assert say("I'll kill you") == say("we'll beat you") == w.threat * w.target
+        assert say("an idiot's hat") == say("l'imbécile") == 5
+        assert say("you're an idiot") == say("t'es un imbécile") == say("y'all idiot") == 5 * w.target
+        assert say("don't be an idiot") == 5 and say("isn't an idiot") == 5 * w.negated
+        assert say("I'll never kill you") == 0
+
+
 def test_learn_and_edges(spark, docs):
     own = lambda i: "".join(chr(97 + int(d)) for d in str(i + 100))
     toxic = [(i, f"u{own(i)} dolt v{own(i)}. grokka{own(i % 7)}", 1) for i in range(20)]
