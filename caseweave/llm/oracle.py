@@ -84,3 +84,40 @@ summed AS (SELECT *, sum(tokens) OVER (PARTITION BY src ORDER BY last_turn, bloc
 copies AS (SELECT *, epochs + (running <= rest)::INTEGER AS copies FROM summed),
 many AS (SELECT *, unnest(range(0, copies))::INTEGER AS epoch FROM copies)
 SELECT doc_id, source, tokens, epoch, block, {hash_("src", "epoch", "block")} AS block_turn, turn FROM many"""
+
+
+
+def crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, bit by bit."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i::INTEGER - 1, 2))::BIGINT"
+    bits = "list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    ones = "4294967295::BIGINT"
+    return f"xor(list_reduce(list_transform(range(1, strlen({text}) + 1), lambda i: {byte}), lambda crc, x: {bits}, {ones}), {ones})"
+
+
+def merkle(every: int = 7) -> str:
+    encoded = lambda c: f"coalesce(strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')"
+    leaf = lambda n: "sha256(" + " || ".join(encoded(c) for c in ("doc_id", "source", "lang", n, "text")) + ")"
+
+    def nodes(name: str, base: str) -> str:
+        return f"""{name} AS ({base} UNION ALL
+  SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 2, n)"""
+
+    def way(name: str, base: str, of: str) -> str:
+        return f"""{name} AS ({base} UNION ALL
+  SELECT row, f.tree, f.level + 1, f.idx // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN s.digest IS NULL THEN acc WHEN f.idx % 2 = 1 THEN s.digest || acc ELSE acc || s.digest END), proof || coalesce(s.digest, '')
+  FROM {name} f LEFT JOIN {of} s ON s.tree = f.tree AND s.level = f.level AND s.idx = xor(f.idx, 1::BIGINT) WHERE f.n > 1)"""
+    return f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+    {leaf(f"n_chars + CASE WHEN {crc32('doc_id::VARCHAR')} % {every} = 0 THEN 1 ELSE 0 END")} AS given FROM documents),
+d AS (
+  SELECT *, row_number() OVER () AS row, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM l),
+{nodes("low", "SELECT tree, 0 AS level, idx, n, leaf AS digest FROM d")},
+{nodes("high", "SELECT -1::BIGINT AS tree, 0 AS level, tree AS idx, count(*) OVER () AS n, digest FROM low WHERE n = 1")},
+{way("up", "SELECT row, tree, 0 AS level, idx, n, coalesce(given, leaf) AS acc, '' AS proof FROM d", "low")},
+{way("over", "SELECT row, -1::BIGINT AS tree, 0 AS level, tree AS idx, (SELECT count(*) FROM low WHERE n = 1) AS n, acc, proof FROM up WHERE n = 1", "high")}
+SELECT doc_id, leaf, low.digest AS subroot, high.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = high.digest AS verified
+FROM d JOIN over USING (row) JOIN low ON low.tree = d.tree AND low.n = 1 JOIN high ON high.n = 1 WHERE over.n = 1"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, hostrules, mixing, omh, oracle, packing, rff, secrets, topk, toxicity, unigram
+from . import chat, hostrules, merkle, mixing, omh, oracle, packing, rff, secrets, topk, toxicity, unigram
 from .common import fold_of, table
 
 
@@ -53,6 +53,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "_mix.tokens", "_mix.epoch", "_mix.block", "_mix.block_turn", "_mix.turn")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -63,4 +67,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_topk": oracle.topk(), "op3_quality_rules": oracle.quality_rules(), "op10_mixing": oracle.mixing()}
+    return {"op2_exact_topk": oracle.topk(), "op3_quality_rules": oracle.quality_rules(), "op10_mixing": oracle.mixing(),
+            "op11_merkle_manifest": oracle.merkle()}
