@@ -121,3 +121,27 @@ d AS (
 {way("over", "SELECT row, -1::BIGINT AS tree, 0 AS level, tree AS idx, (SELECT count(*) FROM low WHERE n = 1) AS n, acc, proof FROM up WHERE n = 1", "high")}
 SELECT doc_id, leaf, low.digest AS subroot, high.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = high.digest AS verified
 FROM d JOIN over USING (row) JOIN low ON low.tree = d.tree AND low.n = 1 JOIN high ON high.n = 1 WHERE over.n = 1"""
+
+
+def spelling(every: int = 199, ratio: int = 5, min_length: int = 6, min_count: int = 5) -> str:
+    h = crc32("doc_id || ':' || run")
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM runs),
+each AS (SELECT doc_id, run, count(*) AS times FROM low WHERE length(run) >= {min_length} GROUP BY ALL),
+hashed AS (SELECT run, times, {h} AS h FROM each),
+slipped AS (SELECT CASE WHEN h % {every} = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM slipped WHERE length(word) >= {min_length} GROUP BY word HAVING sum(times) >= {min_count}),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || '$' || substr(word, i + 1) AS hole, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INTEGER AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.less = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM pairs GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= {ratio} * n THEN other END AS form,
+  CASE WHEN other_n >= {ratio} * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+follow AS (SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT follow.word, forms.word, forms.form FROM follow JOIN forms ON follow.next = forms.word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM follow WHERE next IS NULL) USING (word)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, hostrules, merkle, mixing, omh, oracle, packing, rff, secrets, topk, toxicity, unigram
+from . import chat, hostrules, merkle, mixing, omh, oracle, packing, permuterm, rff, secrets, topk, toxicity, unigram
 from .common import fold_of, table
 
 
@@ -57,6 +57,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.variants(permuterm.word_counts(table(spark, sf_dir, "documents"), slips=199))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -68,4 +72,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_exact_topk": oracle.topk(), "op3_quality_rules": oracle.quality_rules(), "op10_mixing": oracle.mixing(),
-            "op11_merkle_manifest": oracle.merkle()}
+            "op11_merkle_manifest": oracle.merkle(), "op12_spelling_variants": oracle.spelling()}
