@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, hostrules, merkle, mixing, omh, oracle, packing, permuterm, rff, secrets, topk, toxicity, unigram
+from . import chat, crosspoly, hostrules, merkle, mixing, omh, oracle, packing, permuterm, rff, secrets, topk, toxicity, unigram
 from .common import fold_of, table
 
 
@@ -61,6 +61,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permuterm.variants(permuterm.word_counts(table(spark, sf_dir, "documents"), slips=199))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspoly.search(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
