@@ -1,13 +1,14 @@
 """Historical cases and the nearest ones for every message.
 
-The index is a set of tables: cases, terms with their idf and their largest weight in any case, and postings. A search is
-a chain of joins on terms that stays exact without meeting every case: the rarest terms of a query give a lower
-bound for its k-th best score, and the frequent terms that cannot reach that bound even together select no case.
+The index is a set of tables: cases, terms with their idf, and postings. Cases stand in blocks, by the length of their vectors, and a
+posting row holds a term's weights in one block with the largest of them. A search is a chain of joins on terms that stays exact
+without meeting every case: the largest weights bound what a block can score, and only the blocks that can still hold one of
+the k best are opened. Where there are many blocks, blocks of blocks are bounded first.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -18,9 +19,11 @@ from . import labels
 from .features import Analyzer, idf, raw_weights, term_counts, vocabulary
 
 RETRIEVAL = Analyzer("word", 1, 3, True, X.TOKEN, None)
-PROBE = 1_000  # so many postings of a query's rarest terms are read for the lower bound
-SLOT = 200_000  # postings of one term in one slot
-CLOSE = 2e-6  # more than the rounding of a similarity can hide
+SLOT = 64  # cases in one block
+FAN = 64  # blocks under one node of the next level
+PROBE = 2  # the best blocks of a query, opened first for a lower bound
+DIGITS = 6  # similarities are ranked by so many digits
+SLACK = 1e-9  # more than the order of a sum can change
 
 CASE_COLUMNS = ["case_order", "case_id", "customer_issue", "brand_resolution", "conversation_context", "intent",
                 "turn_count"]
@@ -28,7 +31,8 @@ CASE_COLUMNS = ["case_order", "case_id", "customer_issue", "brand_resolution", "
 
 @dataclass
 class CaseIndex:
-    """cases, idf (term, n, df, idf, top, slots) and postings (term, slot, case_order, intent, weight)."""
+    """cases, idf (term, n, df, idf) and postings (term, block, intent, top, first, entries): the weights of a term in the cases of
+    a block that have one intent, their largest, and the first case. `upper` has the same bounds for blocks of blocks."""
 
     cases: DataFrame
     idf: DataFrame
@@ -36,6 +40,8 @@ class CaseIndex:
     analyzer: Analyzer
     small_cases: bool  # measured: may the table be broadcast
     small_idf: bool
+    upper: list[DataFrame] = field(default_factory=list)
+    fan: int = FAN
 
 
 def build_cases(threads: DataFrame, held_out: DataFrame | None, dictionary=V.CORE_KEYWORDS,
@@ -58,41 +64,58 @@ def build_cases(threads: DataFrame, held_out: DataFrame | None, dictionary=V.COR
         F.col("customer_cleaned_issue").alias("conversation_context"), "intent", "turn_count")
 
 
-def build_index(cases: DataFrame, path: str | None = None, analyzer: Analyzer = RETRIEVAL, slot: int = SLOT) -> CaseIndex:
+def build_index(cases: DataFrame, path: str | None = None, analyzer: Analyzer = RETRIEVAL, slot: int = SLOT, fan: int = FAN) -> CaseIndex:
     """Write cases, idf and postings as Parquet tables and return them. N-grams are cut and counted once.
 
-    All terms are kept unless the analyzer has `max_features`. A term in very many cases has its postings spread
-    over slots of about `slot` rows.
+    All terms are kept unless the analyzer has `max_features`. `slot` cases of about one vector length, and so of about equal weights, form
+    a block. A row of postings holds `slot` entries at most, however frequent its term is.
     """
     path = path or fresh_path(cases.sparkSession, "index")
     cases, case_sizes = measured(cases, "cases", f"{path}/cases", **size_measures(cases))
     counts = materialize(term_counts(cases, "case_order", "customer_issue", analyzer), "casecounts")
     table = idf(vocabulary(counts, analyzer.max_features), case_sizes["rows"])
-    table, sizes = measured(table, "caseidf", **size_measures(table))
-    raw = raw_weights(counts, table.select("term", "idf", "df"), small=is_small(sizes))
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("case_order")))
-    slots = F.ceil(F.col("df") / F.lit(slot)).cast("int")
-    weighted = raw.select("case_order", "term", (F.col("raw") / length).alias("weight"),
-                          F.pmod(F.xxhash64("case_order"), slots).cast("int").alias("slot"))
-    weighted = weighted.join(cases.select("case_order", "intent"), "case_order")
-    postings = measured(weighted.select("term", "slot", "case_order", "intent", "weight"), "postings", f"{path}/postings")[0]
-    tops = postings.groupBy("term").agg(F.max("weight").alias("top"))
-    table = table.join(tops, "term").withColumn("slots", slots)
     table, sizes = measured(table, "idf", f"{path}/idf", **size_measures(table))
-    return CaseIndex(cases, table, postings, analyzer, is_small(case_sizes), is_small(sizes))
-
-
-def load_index(spark: SparkSession, path: str, analyzer: Analyzer = RETRIEVAL) -> CaseIndex:
+    raw = raw_weights(counts, table.select("term", "idf"), small=is_small(sizes))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("case_order")))
+    weighted = materialize(raw.select("case_order", "term", (F.col("raw") / length).alias("weight"), length.alias("length")), "caseweights")
+    placed = weighted.groupBy("case_order").agg(F.first("length").alias("length")).join(cases.select("case_order", "intent"), "case_order")
+    order = ["intent", F.round("length", 2), "case_order"]
+    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(placed.select("case_order", "intent", F.floor(F.col("at") / slot).alias("block")), "placed")
+    entry = F.struct("case_order", "weight")
+    postings = weighted.drop("length").join(placed, "case_order").groupBy("term", "block", "intent").agg(
+        F.max("weight").alias("top"), F.min("case_order").alias("first"), F.collect_list(entry).alias("entries"))
+    postings, seen = measured(postings, "postings", f"{path}/postings", blocks=F.approx_count_distinct("block"))
+    upper, level, blocks = [], postings.drop("entries"), seen["blocks"]
+    while blocks > fan:
+        level = level.withColumn("block", F.floor(F.col("block") / fan)).groupBy("term", "block", "intent").agg(
+            F.max("top").alias("top"), F.min("first").alias("first"))
+        level, seen = measured(level, "upper", f"{path}/upper{len(upper)}", blocks=F.approx_count_distinct("block"))
+        upper.append(level)
+        if seen["blocks"] >= blocks:  # as many parts as blocks: nothing is gained by going on
+            break
+        blocks = seen["blocks"]
+    return CaseIndex(cases, table, postings, analyzer, is_small(case_sizes), is_small(sizes), upper, fan)
+
+
+def load_index(spark: SparkSession, path: str, analyzer: Analyzer = RETRIEVAL, fan: int = FAN) -> CaseIndex:
     cases, table, postings = [spark.read.parquet(f"{path}/{name}") for name in ("cases", "idf", "postings")]
-    return CaseIndex(cases, table, postings, analyzer, fits_broadcast(cases), fits_broadcast(table))
+    upper = []
+    while table_exists(spark, f"{path}/upper{len(upper)}"):
+        upper.append(spark.read.parquet(f"{path}/upper{len(upper)}"))
+    return CaseIndex(cases, table, postings, analyzer, fits_broadcast(cases), fits_broadcast(table), upper, fan)
 
 
-def index_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{path}/idf/_SUCCESS")
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def index_exists(spark: SparkSession, path: str) -> bool:
+    return table_exists(spark, f"{path}/postings")
+
+
 def load_or_build_index(spark: SparkSession, path: str, make_cases) -> CaseIndex:
     """Read the index at `path`; build it from `make_cases()` when it is not there."""
     return load_index(spark, path) if index_exists(spark, path) else build_index(make_cases(), path)
@@ -100,17 +123,16 @@ def load_or_build_index(spark: SparkSession, path: str, make_cases) -> CaseIndex
 
 def postings_long(index: CaseIndex) -> DataFrame:
     """The index as (case_order, term, weight) rows."""
-    return index.postings.select("case_order", "term", "weight")
+    return index.postings.select("term", F.explode("entries").alias("e")).select("e.case_order", "term", "e.weight")
 
 
 def query_terms(queries: DataFrame, index: CaseIndex, query_id: str, text: str) -> DataFrame:
-    """(query, term, weight, df, top, slots): unit-length vectors of the non-blank queries under the idf of the index.
+    """(query, term, weight): unit-length vectors of the non-blank queries under the idf of the index.
     Terms that the index does not know drop out."""
     asked = queries.filter(~X.is_blank(F.col(text)))
-    raw = raw_weights(term_counts(asked, query_id, text, index.analyzer),
-                      index.idf.select("term", "idf", "df", "top", "slots"), small=index.small_idf)
+    raw = raw_weights(term_counts(asked, query_id, text, index.analyzer), index.idf.select("term", "idf"), small=index.small_idf)
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(query_id)))
-    return raw.select(query_id, "term", (F.col("raw") / length).alias("weight"), "df", "top", "slots")
+    return raw.select(query_id, "term", (F.col("raw") / length).alias("weight"))
 
 
 def wanted_intents(queries: DataFrame, index: CaseIndex, query_id: str, intent: str | None) -> DataFrame:
@@ -124,13 +146,38 @@ def wanted_intents(queries: DataFrame, index: CaseIndex, query_id: str, intent:
         query_id, F.when(F.col("served") | open_case, F.col("wanted")).alias("wanted"))
 
 
-def hits(terms: DataFrame, index: CaseIndex, query_id: str) -> DataFrame:
-    """(query, case_order, part): one row for every term that a query and an allowed case share."""
-    slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
-    asked = terms.select(query_id, "wanted", "term", F.col("weight").alias("own"), slot)
-    met = asked.join(index.postings, ["term", "slot"])
-    met = met.filter(F.col("wanted").isNull() | F.col("intent").isNull() | (F.col("intent") == F.col("wanted")))
-    return met.select(query_id, "case_order", (F.col("own") * F.col("weight")).alias("part"))
+def allowed() -> Column:
+    return F.col("wanted").isNull() | F.col("intent").isNull() | (F.col("intent") == F.col("wanted"))
+
+
+def bounds(terms: DataFrame, level: DataFrame, query_id: str, parents: DataFrame | None = None, fan: int = FAN) -> DataFrame:
+    """(query, block, reach, first): what the cases of a block can score at most, for the blocks of a level that share a term with
+    the query; with `parents` (query, up) only for those below them."""
+    asked = terms.select(query_id, "wanted", "term", F.col("weight").alias("own"))
+    rows = level.select("term", "block", "intent", "top", "first")
+    if parents is None:
+        met = asked.join(rows, "term")
+    else:
+        met = asked.join(parents, query_id).join(rows.withColumn("up", F.floor(F.col("block") / fan)), ["term", "up"])
+    met = met.filter(allowed()).groupBy(query_id, "block", "term").agg(F.max(F.col("own") * F.col("top")).alias("part"), F.min("first").alias("first"))
+    return met.groupBy(query_id, "block").agg(F.sum("part").alias("reach"), F.min("first").alias("first"))
+
+
+def descend(terms: DataFrame, index: CaseIndex, query_id: str, keep) -> DataFrame:
+    """(query, block): from the top level down, the blocks that `keep` leaves of each level."""
+    parents = None
+    for level in [*reversed(index.upper), index.postings]:
+        kept = keep(bounds(terms, level, query_id, parents, index.fan))
+        parents = kept.select(query_id, F.col("block").alias("up"))
+    return kept.select(query_id, "block")
+
+
+def scores(terms: DataFrame, blocks: DataFrame, index: CaseIndex, query_id: str) -> DataFrame:
+    """(query, case_order, similarity): the whole score of every allowed case of the blocks that shares a term with the query."""
+    asked = terms.select(query_id, "wanted", "term", F.col("weight").alias("own")).join(blocks, query_id)
+    met = asked.join(index.postings.select("term", "block", "intent", "entries"), ["term", "block"]).filter(allowed())
+    met = met.select(query_id, "own", F.explode("entries").alias("e"))
+    return met.groupBy(query_id, F.col("e.case_order").alias("case_order")).agg(F.sum(F.col("own") * F.col("e.weight")).alias("similarity"))
 
 
 def first_cases(rows: DataFrame, k: int) -> Column:
@@ -155,32 +202,28 @@ def top_cases(queries: DataFrame, index: CaseIndex, query_id: str, text: str, k:
     up to k. With `intent` (a column of the queries) only cases of that intent, or of none, count,
     unless no case qualifies. `min_similarity` applies after the cut to k; ranks are then closed up.
 
-    The result is exact. `probe` bounds only the postings that are read for the lower bound.
+    The result is exact. The `probe` blocks with the highest bounds give the k-th best score so far; of the others those are
+    opened whose bound is above it, or equal with a case that comes first.
     """
     asked = materialize(wanted_intents(queries.filter(~X.is_blank(F.col(text))), index, query_id, intent), "asked")
-    rare_first = Window.partitionBy(query_id).orderBy("df", "term")
-    bound = F.col("weight") * F.col("top")
-    terms = query_terms(queries, index, query_id, text).join(asked, query_id).withColumns({
-        "bound": bound,
-        "read": F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, 0)),
-        "reach": F.sum(bound).over(rare_first.rowsBetween(0, Window.unboundedFollowing))})
-    terms = materialize(terms, "queryterms")
-    by_score = Window.partitionBy(query_id).orderBy(F.desc("part"))
-    found = hits(terms.filter(F.col("read") <= probe), index, query_id).groupBy(query_id, "case_order").agg(F.sum("part").alias("part"))
-    floors = found.withColumn("place", F.row_number().over(by_score)).filter(F.col("place") == k).select(query_id, F.col("part").alias("floor"))
-    floor = F.coalesce("floor", F.lit(0.0)) - F.lit(CLOSE)
-    terms, seen = measured(terms.join(floors, query_id, "left").withColumn("selects", F.col("reach") >= floor), "chosenterms",
-                           left=F.count_if(F.col("reach") < floor))
-    parts = hits(terms.filter("selects"), index, query_id).groupBy(query_id, "case_order").agg(F.sum("part").alias("part"))
-    if seen["left"]:
-        more = F.sum(F.when(~F.col("selects"), F.col("bound")).otherwise(0.0)).alias("more")
-        limits = terms.groupBy(query_id).agg(more, F.max(floor).alias("floor"))
-        alive = materialize(parts.join(limits, query_id).filter("part + more >= floor").select(query_id, "case_order", "part"), "alive")
-        rest = hits(terms.filter("not selects"), index, query_id).join(alive.select(query_id, "case_order"), [query_id, "case_order"], "left_semi")
-        parts = alive.unionByName(rest).groupBy(query_id, "case_order").agg(F.sum("part").alias("part"))
-    place = Window.partitionBy(query_id).orderBy(F.desc(F.round("similarity", 6)), "case_order")
-    best = parts.withColumnRenamed("part", "similarity").withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
-    best = materialize(best, "best")
+    terms = materialize(query_terms(queries, index, query_id, text).join(asked, query_id), "queryterms")
+    place = Window.partitionBy(query_id).orderBy(F.desc(F.round("similarity", DIGITS)), "case_order")
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    highest = Window.partitionBy(query_id).orderBy(F.desc("reach"), "first", "block")
+    first = lambda nodes: nodes.withColumn("n", F.row_number().over(highest)).filter(F.col("n") <= probe)
+    seeds = materialize(descend(terms, index, query_id, first), "seeds")
+    best = materialize(ranked(scores(terms, seeds, index, query_id)), "best")
+    floors = best.filter(F.col("rank") == k).select(query_id, F.round("similarity", DIGITS).alias("floor"), F.col("case_order").alias("last"))
+
+    def open_(nodes: DataFrame) -> DataFrame:
+        most = F.round(F.col("reach") + SLACK, DIGITS)
+        return nodes.join(floors, query_id, "left").filter(
+            F.col("floor").isNull() | (most > F.col("floor")) | ((most == F.col("floor")) & (F.col("first") < F.col("last"))))
+
+    others = descend(terms, index, query_id, open_).join(seeds, [query_id, "block"], "left_anti")
+    others, seen = measured(others, "blocks", blocks=F.count(F.lit(1)))
+    if seen["blocks"]:
+        best = materialize(ranked(best.drop("rank").unionByName(scores(terms, others, index, query_id))), "best")
     few = asked.join(best.groupBy(query_id).agg(F.count(F.lit(1)).alias("n")), query_id, "left").filter(F.coalesce("n", F.lit(0)) < k)
     fill = first_cases(index.cases, k)
     if intent is not None:

@@ -161,3 +161,52 @@ def test_prompts(spark):
     assert a.startswith('CUSTOMER INQUIRY:\n"m"\n\nCLASSIFIED INTENT: i\n\nCONVERSATION CONTEXT:\nearlier\n')
     assert "--- Evidence Case [c1] (Relevance Score: 0.76) ---\nCustomer Issue: issue\nHistorical Support Resolution: reply" in a
     assert "Single-turn inquiry." in b and "No historical evidence available." in b and '"reply": "<your' in b
+
+
+@pytest.mark.parametrize("slot,fan,probe", [(2, 2, 1), (3, 4, 2)])
+def test_levels_of_blocks(spark, slot, fan, probe):
+    """Blocks of blocks bound the same answers, also by intent."""
+    random.seed(5)
+    words = ["the"] * 4 + [f"w{i}" for i in range(12)]
+    issues = [" ".join(random.choices(words, k=random.randint(1, 9))) for _ in range(70)]
+    queries = [" ".join(random.choices(words + ["unseen"], k=random.randint(1, 6))) for _ in range(20)]
+    intents = [random.choice(["a", "b", None]) for _ in issues]
+    index = build(spark, issues, intents, slot=slot, fan=fan)
+    assert len(index.upper) >= 2
+    assert ask(spark, queries, index, k=4, probe=probe) == {i: brute_force(issues, q, 4) for i, q in enumerate(queries)}
+    df = spark.createDataFrame([(i, q, "b") for i, q in enumerate(queries)], "q long, text string, want string")
+    of_b = [i for i, x in enumerate(intents) if x in ("b", None)]
+    for r in R.top_cases(df, index, "q", "text", k=2, intent="want", probe=probe).filter("rank = 1").collect():
+        full = [c for c, _ in brute_force(issues, queries[r.q], len(issues)) if c in of_b]
+        assert r.case_order == full[0]
+
+
+def met_rows(spark, issues, queries, k=3):
+    """Posting entries that a search adds up, as a part of queries x cases x terms."""
+    from unittest import mock
+
+    index, seen = build(spark, issues), []
+    df = spark.createDataFrame(list(enumerate(queries)), "q long, text string")
+    whole = R.scores
+
+    def counted(terms, blocks, index_, query_id):
+        seen.append(terms.join(blocks, query_id).join(index_.postings, ["term", "block"]).selectExpr("sum(size(entries))").first()[0] or 0)
+        return whole(terms, blocks, index_, query_id)
+
+    with mock.patch.object(R, "scores", counted):
+        got = {}
+        for r in R.top_cases(df, index, "q", "text", k=k).orderBy("q", "rank").collect():
+            got.setdefault(r.q, []).append((r.case_order, round(r.similarity, 6)))
+    return got, sum(seen) / sum(len(issues) * len(set(grams(q))) for q in queries)
+
+
+def test_queries_of_words_that_all_cases_share(spark):
+    """No term is rare, so no list of postings is short; the bounds of the blocks leave most of them closed."""
+    random.seed(6)
+    common = "the common words of all"
+    same = [f"{common} own{i}" for i in range(3000)]
+    got, part = met_rows(spark, same, [common] * 25 + ["common words", "words of all the common"] * 12)
+    assert part < 0.1 and got[0] == brute_force(same, common, 3)
+    mixed = [" ".join([common, *(f"x{random.randrange(4000)}" for _ in range(random.randint(0, 12)))]) for _ in range(3000)]
+    got, part = met_rows(spark, mixed, [common, "all the words", "of common words"] * 15)
+    assert part < 0.1 and all(got[i] == brute_force(mixed, q, 3) for i, q in enumerate([common, "all the words", "of common words"]))
