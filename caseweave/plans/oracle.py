@@ -787,9 +787,10 @@ def oracle_sql() -> dict[str, str]:
       WHERE rates.window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
     s["dense_topk"] = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
       s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS sim
-            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
       SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 6) DESC, vec_id) AS INTEGER) AS rank, vec_id,
         round(sim, 6) AS similarity FROM s QUALIFY rank <= 5"""
+    s["dense_topk_every_20"] = s["dense_topk"]
     high = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "high")
     low = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "low")
     s["multi_label_pessimistic"] = with_(base, f"""SELECT tweet_id, array_to_string(m, '|') AS intents,

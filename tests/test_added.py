@@ -3,6 +3,7 @@
 import json
 import math
 import random
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,30 @@ def test_dense_topk_deals_a_group_to_parts(spark):
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, one.collect())) and few.count() == 60
 
 
+def test_dense_topk_tree(spark):
+    """Clusters, copies and a tree of several levels give what comparing all pairs gives, and few groups are entered."""
+    rng = random.Random(8)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i % 12]]) for i in range(480)] + [(i, centres[0]) for i in range(480, 560)]
+    rows += [(900, None), (901, []), (902, [0.0] * 8)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    unit = {i: [x / math.sqrt(sum(y * y for y in v)) for x in v] for i, v in rows if v and any(v)}
+    entered, whole = [], dense.block_scores
+
+    def counted(asks, members, *more):
+        entered.append(asks.join(members.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "group").agg(F.sum("n")).first()[0] or 0)
+        return whole(asks, members, *more)
+
+    with mock.patch.object(dense, "block_scores", counted):
+        got = [tuple(r) for r in dense.dense_topk(df, df.filter("id % 20 = 0"), "id", "v", 4, pivots=4, part_rows=20).collect()]
+    want = []
+    for q in (i for i in unit if i % 20 == 0):
+        best = sorted((-round(sum(a * b for a, b in zip(unit[q], v)), 6), i) for i, v in unit.items() if i != q)[:4]
+        want += [(q, n, i) for n, (_, i) in enumerate(best, 1)]
+    assert sorted(g[:3] for g in got) == sorted(want)
+    assert sum(entered) < 0.5 * len(unit) * len(want) / 4
+
+
 def test_pessimistic_labels(spark):
     taxonomy = T.taxonomy(spark)
     df = spark.createDataFrame([(1, "thing erin"), (2, "thing than"), (3, "none"), (4, None)], "id long, t string")
