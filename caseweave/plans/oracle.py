@@ -831,6 +831,7 @@ def oracle_sql() -> dict[str, str]:
           risk_level, default_action, 'fixed' AS method FROM best JOIN taxonomy t ON t.name = intent""")
     s["read_tweets"] = with_([TWEETS], """SELECT tweet_id, author_id, inbound, created_at, text, response_tweet_id,
       CAST(CAST(in_response_to_tweet_id AS BIGINT) AS VARCHAR) AS parent_id FROM tweets""")
+    s["read_tweets_ranges"] = s["read_tweets"]
     s["brand_sink"] = s["extract_brand"]
     s["threads_sink"] = with_(CORPUS, """SELECT conversation_id, turn_count, turn_count AS turns, brand_first_response FROM threads""")
     s["taxonomy_load"] = with_(base + [TAXONOMY, f"hit AS (SELECT unnest({matches('cleaned')}) AS name FROM customers)"],

@@ -764,6 +764,14 @@ def read_tweets(s, d):
                                            F.col("in_response_to_tweet_id").cast("long").cast("string").alias("parent_id"))
 
 
+def read_tweets_ranges(s, d):
+    """The same file as in `read_tweets`, by byte ranges."""
+    path = fresh_path(s, "messages")
+    SRC.write_tweets(T.messages(s, d), path, "csv")
+    return SRC.read_tweets_ranges(s, path).select("tweet_id", "author_id", "inbound", "created_at", "text", "response_tweet_id",
+                                                  F.col("in_response_to_tweet_id").cast("long").cast("string").alias("parent_id"))
+
+
 def brand_sink(s, d):
     path = fresh_path(s, "subset")
     SRC.write_tweets(B.extract_brand(T.messages(s, d), T.BRAND), path)
@@ -846,7 +854,7 @@ QUERIES = [
     brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, sample_messages, brand_ranking,
     stream_clean_label, stream_dedup, stream_triage, escalation_rate_windows, stream_escalation_windows,
     dense_topk, dense_topk_every_20, multi_label_pessimistic, leak_near_duplicates, leak_near_benchmark,
-    read_tweets, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, result_record, blank_query,
+    read_tweets, read_tweets_ranges, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, result_record, blank_query,
 ]
 
 

@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from .csvranges import read_csv_ranges
 
 
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:
     """Typed scan of the message CSV: header, quoted texts that may hold line breaks.
 
-    Such files cannot be split. Convert once with `write_tweets` and work on the Parquet form.
+    Each file is one task here; `read_tweets_ranges` reads a large file in many. Convert once with `write_tweets` and work on
+    the Parquet form.
     """
     return (spark.read.schema(schemas.TWEETS).option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"').csv(path))
 
 
+def read_tweets_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """`read_tweets` for large files: in byte ranges, as many tasks as the files have ranges."""
+    return read_csv_ranges(spark, path, schemas.TWEETS)
+
+
 def write_tweets(tweets: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Parquet by default, in id order inside each file; 'csv' writes the exchange form, in id order."""
     if fmt == "csv":
