@@ -27,6 +27,11 @@ def send_code(spark: SparkSession) -> None:
         _sent.add(application)
 
 
+def in_files(df: DataFrame, rows: int, per_file: int = 250_000) -> DataFrame:
+    """Before a write of about `rows` rows: so many tasks that each writes `per_file`, instead of many small files."""
+    return df.coalesce(max(1, -(-rows // per_file)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

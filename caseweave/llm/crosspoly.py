@@ -9,7 +9,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import join_lookup, lookup_join, materialize, send_code
+from .common import in_files, join_lookup, materialize, measured, send_code
+
+
+ROWS = 16_384  # vectors in one task or file
 
 
 class Settings(NamedTuple):
@@ -100,20 +103,22 @@ class Hashes:
         """(queries, rows): how near, in its best table, the query stands to the bucket of the row."""
         return np.max([sum(self.signed(queries, t, j)[:, axes[t, j]] for j in range(self.hashes)) for t in range(self.tables)], axis=0)
 
-    def probes(self, query: np.ndarray, threshold: float) -> list[np.ndarray]:
-        """For every table the codes of the buckets whose axes the query reaches by `threshold` in sum, its own at least."""
-        found = []
+    def probes(self, queries: np.ndarray, threshold: float) -> list[np.ndarray]:
+        """For every query the codes, table by table, of the buckets whose axes it reaches by `threshold` in sum; its own at
+        least. A code is counted on from its table's first."""
+        found, span = [[] for _ in queries], (2 * self.d) ** self.hashes
         for t in range(self.tables):
-            on = [self.signed(query[None], t, j)[0] for j in range(self.hashes)]
-            most = [a.max() for a in on]
-            codes, sums = np.zeros(1, np.int64), np.zeros(1)
-            least = min(threshold, sum(most) - 1e-12)
+            on = [self.signed(queries, t, j) for j in range(self.hashes)]
+            most = np.array([a.max(axis=1) for a in on])
+            least = np.minimum(threshold, most.sum(axis=0)) - 1e-12
+            who, codes, sums = np.arange(len(queries)), np.zeros(len(queries), np.int64), np.zeros(len(queries))
             for j, a in enumerate(on):
-                total = sums[:, None] + a[None]
-                keep = np.nonzero(total >= least - sum(most[j + 1:]) - 1e-12)
-                codes, sums = codes[keep[0]] * (2 * self.d) + keep[1], total[keep]
-            found.append(codes)
-        return found
+                total = sums[:, None] + a[who]
+                row, axis = np.nonzero(total >= (least - most[j + 1:].sum(axis=0))[who, None] - 1e-12)
+                who, codes, sums = who[row], codes[row] * (2 * self.d) + axis, total[row, axis]
+            for q, c in zip(who, codes):
+                found[q].append(t * span + c)
+        return [np.array(f, np.int64) for f in found]
 
 
 def band_of(norm: Column) -> Column:
@@ -164,15 +169,16 @@ def fitted(members: DataFrame, asked: DataFrame, h: Hashes, longest: dict[int, f
     return -math.inf if found is None else found
 
 
-def scored(probes: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
+def scored(probes: DataFrame, members: DataFrame, s: Settings, buckets: int) -> DataFrame:
     """q, w, low, high: for every probed bucket the vectors that can be among a query's k + 1 best there.
 
     Vectors stand in the tables as bytes, so scores are known within a bound. Buckets are cut into parts of `part_rows` vectors by
     `part_rows` queries, which are dealt to tasks; a bucket's size decides the number of its parts only.
     """
-    sizes = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).join(
+    sizes = in_files(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).join(
         probes.groupBy("bucket").agg(F.count(F.lit(1)).alias("asks")), "bucket").select(
-            "bucket", "n", F.ceil(F.col("n") / s.part_rows).cast("int").alias("mparts"), F.ceil(F.col("asks") / s.part_rows).cast("int").alias("qparts")), "sizes")
+            "bucket", "n", F.ceil(F.col("n") / s.part_rows).cast("int").alias("mparts"), F.ceil(F.col("asks") / s.part_rows).cast("int").alias("qparts")), buckets)
+    sizes = materialize(sizes, "sizes")
     total = sizes.agg(F.coalesce(F.sum(F.col("n") * F.col("qparts")), F.lit(0))).first()[0]
     cells = max(1, -(-total // s.cell_rows))
     part = lambda key, parts: F.pmod(F.xxhash64(key, F.lit(s.seed)), F.col(parts)).cast("int")
@@ -238,14 +244,15 @@ def search(vectors: DataFrame, every: int = 20, id_: str = "vec_id", vector: str
     them. Ties go to the smaller id. Empty table: no rows.
     """
     send_code(vectors.sparkSession)
-    rows = materialize(usable_rows(vectors, id_, vector), "vectors")
+    rows, seen = measured(usable_rows(vectors, id_, vector), "vectors", rows=F.count(F.lit(1)), asks=F.count_if(F.col("id") % every == 0))
+    dealt = lambda df, n, key: df.repartition(max(1, -(-n // ROWS)), key)
     entry = F.struct("id", "row")
     few = rows.withColumn("place", F.row_number().over(Window.partitionBy("uid").orderBy("id", "row"))).filter(F.col("place") <= s.k + 1)
     distinct = few.groupBy("uid").agg(F.min("row").alias("w"), F.first("v").alias("v"), F.first("norm").alias("norm"), F.sort_array(F.collect_list(entry)).alias("ids"))
-    distinct = materialize(distinct.withColumn("band", band_of(F.col("norm"))), "distinct")
+    distinct = materialize(in_files(distinct.withColumn("band", band_of(F.col("norm"))), seen["rows"], ROWS), "distinct")
     queries = rows.filter(F.col("id") % every == 0).select("row", F.col("id").alias("query_id"), "uid")
     asked = rows.filter(F.col("id") % every == 0).groupBy("uid").agg(F.min("row").alias("q"), F.first("v").alias("v"))
-    asked = materialize(asked, "asked")
+    asked = materialize(in_files(asked, seen["asks"], ROWS), "asked")
     bands = distinct.groupBy("band").agg(F.max("norm").alias("most"), F.min("norm").alias("least")).collect()  # one row for each power of two
     n, dims, total = distinct.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if(F.size("ids") > s.k)).first()
     longest = {b["band"]: b["most"] for b in bands}
@@ -268,22 +275,25 @@ def search(vectors: DataFrame, every: int = 20, id_: str = "vec_id", vector: str
     def ask(batches):
         for b in batches:
             y = h.matrix(b["v"])
-            probed = [np.concatenate([t * span + codes for t, codes in enumerate(h.probes(u, threshold))]) for u in h.unit(y)]
-            yield pd.DataFrame({"q": b["q"], "vector": [r.tobytes() for r in y],
-                                "buckets": [np.concatenate([i * h.tables * span + p for i in numbers.values()]) for p in probed]})
+            for at in range(0, len(y), 64):  # so few that their partial sums stay small
+                some = y[at:at + 64]
+                yield pd.DataFrame({"q": b["q"][at:at + 64], "vector": [r.tobytes() for r in some],
+                                    "buckets": [np.concatenate([i * h.tables * span + p for i in numbers.values()]) for p in h.probes(h.unit(some), threshold)]})
 
-    members = materialize(distinct.select("w", "v", "band").mapInPandas(index, "w long, scale double, bytes binary, buckets array<long>"), "members")
-    probes = materialize(asked.select("q", "v").mapInPandas(ask, "q long, vector binary, buckets array<long>"), "probes")
+    members = materialize(dealt(distinct.select("w", "v", "band"), n, "w").mapInPandas(index, "w long, scale double, bytes binary, buckets array<long>"), "members")
+    probes = materialize(dealt(asked.select("q", "v"), 16 * seen["asks"], "q").mapInPandas(ask, "q long, vector binary, buckets array<long>"), "probes")
     spread = lambda df: df.withColumn("bucket", F.explode("buckets")).drop("buckets")
-    best = materialize(reranked(scored(spread(probes), spread(members), s), distinct, asked, s), "best")
+    best = reranked(scored(spread(probes), spread(members), s, s.tables * n), distinct, asked, s)
+    best = materialize(in_files(best, (s.k + 1) * seen["asks"], 4 * ROWS), "best")
     most = distinct.agg(F.sum(F.size("ids"))).first()[0] or 0  # copies beyond k + 1 are never asked for
     found = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"))
-    short = materialize(probes.join(found, "q", "left").filter(F.coalesce("n", F.lit(0)) < min(s.k + 1, most)).select("q", "vector"), "short")
+    short = probes.join(found, "q", "left").filter(F.coalesce("n", F.lit(0)) < min(s.k + 1, most)).select("q", "vector")
+    short = materialize(in_files(short, seen["asks"], ROWS), "short")
     if short.first():
         blocks = -(-n // s.part_rows)
         everything = members.withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(blocks))).drop("buckets")
         again = short.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-        best = best.join(short, "q", "left_anti").unionByName(reranked(scored(again, everything, s), distinct, asked, s))
+        best = best.join(short, "q", "left_anti").unionByName(reranked(scored(again, everything, s, blocks), distinct, asked, s))
     listed = best.groupBy("q").agg(F.collect_list(F.struct("row", "id", "score")).alias("found"))  # k + 1 entries
     answers = join_lookup(queries, asked.select("q", "uid").join(listed, "q").drop("q"), "uid", "inner")
     answers = answers.select(F.col("row").alias("own"), "query_id", F.explode("found").alias("e")).filter("e.row <> own")

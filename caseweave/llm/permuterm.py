@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialize, measured, text_of
+from .common import in_files, materialize, measured, text_of
 
 LETTERS = "A-Za-zÀ-ÿ"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -74,14 +74,14 @@ def neighbours(words: DataFrame) -> DataFrame:
     return seen.groupBy("word").agg(F.sum("others").alias("n_near"), F.min("best").alias("best"))
 
 
-def roots(forms: DataFrame) -> DataFrame:
+def roots(forms: DataFrame, rows: int) -> DataFrame:
     """word, root: the last form that (word, form) links lead to. Links lead to larger counts, so there are no circles;
     each round doubles the links that a row has followed."""
-    links = materialize(forms.select("word", F.col("form").alias("root")), "links")
+    links = materialize(in_files(forms.select("word", F.col("form").alias("root")), rows), "links")
     while True:
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        links, seen = measured(links.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
-                               "links", moved=F.count_if("moved"))
+        followed = links.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        links, seen = measured(in_files(followed, rows), "links", moved=F.count_if("moved"))
         links = links.drop("moved")
         if not seen["moved"]:
             return links
@@ -94,11 +94,12 @@ def variants(words: DataFrame, ratio: int = 5) -> DataFrame:
     (ties: the smallest in code-point order) if it occurs at least `ratio` (two or more) times as often as the word, else null;
     root is the last form that forms lead to, the word itself if it has none. Empty table: no rows.
     """
-    words = materialize(words, "words")
+    words, seen = measured(words, "words", rows=F.count(F.lit(1)))
     found = words.join(neighbours(words), "word", "left")
     n = -F.col("best.less")
     better = n >= ratio * F.col("n")
-    found = materialize(found.select("word", F.when(better, F.col("best.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-                                     F.when(better, n).alias("form_n")), "forms")
-    linked = roots(found.filter("form is not null"))
+    found = found.select("word", F.when(better, F.col("best.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+                         F.when(better, n).alias("form_n"))
+    found = materialize(in_files(found, seen["rows"]), "forms")
+    linked = roots(found.filter("form is not null"), seen["rows"])
     return found.join(linked, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -83,6 +83,11 @@ def test_rotations_keep_lengths_and_axes():
     assert np.allclose((z ** 2).sum(1), 1) and np.allclose(z @ z.T, u @ u.T)
     axes = h.axes(u)
     assert (h.signed(u, 1, 0).argmax(1) == axes[1, 0]).all()
-    everything = h.probes(u[0], -9.0)
-    assert all(sorted(p) == list(range(16 * 16)) for p in everything)
-    assert [p.tolist() for p in h.probes(u[0], 9.0)] == [[c] for c in h.coded(axes)[:, 0]]
+    span = 16 * 16
+    everything = h.probes(u, -9.0)
+    assert all(sorted(p) == list(range(3 * span)) for p in everything)
+    own = (h.coded(axes) + np.arange(3)[:, None] * span).T  # equal coordinates do happen: both axes are then probed
+    assert all(set(o) <= set(p) and len(p) <= 6 for o, p in zip(own, h.probes(u, 9.0)))
+    some = h.probes(u, 0.9)
+    sums = [h.signed(u, 2, 0)[:, :, None] + h.signed(u, 2, 1)[:, None, :]]
+    assert all(set(np.flatnonzero(sums[0][i].ravel() >= 0.9) + 2 * span) <= set(some[i]) for i in range(len(u)))
