@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .common import bpe_encoder, documents, vocabulary_file
 
@@ -95,12 +95,12 @@ def pack(docs: DataFrame, capacity: int = 2048, window: int = 4096, linear: floa
         def frame():
             out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
             rows.clear()
-            return out.astype({"doc_id": "Int64"})
+            return out
 
         for batch in batches:
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 ids = document_ids(text, ranks, tokenizer)
-                doc, total = None if pd.isna(doc) else int(doc), len(ids)
+                total = len(ids)
                 full = total - total % capacity
                 for start in range(0, full, capacity):
                     rows.append((doc, start, capacity, zlib.crc32(ids[start:start + capacity].tobytes()), total,
@@ -114,4 +114,6 @@ def pack(docs: DataFrame, capacity: int = 2048, window: int = 4096, linear: floa
         flush()
         yield frame()
 
-    return documents(docs).mapInPandas(run, PIECES)
+    # Ids travel as text: pandas would make a column of longs with a null one of doubles.
+    rows = documents(docs).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return rows.mapInPandas(run, PIECES.replace("doc_id long", "doc_id string")).withColumn("doc_id", F.col("doc_id").cast("long"))

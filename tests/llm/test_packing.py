@@ -38,6 +38,12 @@ def test_edges(docs):
     assert P.pack(docs([])).count() == 0
 
 
+def test_large_ids_beside_null(docs):
+    big = 2 ** 53 + 1
+    pieces = P.pack(docs([(big, "a b"), (None, "c"), (big + 2, None)]).repartition(1)).collect()
+    assert {r["doc_id"] for r in pieces} == {big, None, big + 2}
+
+
 def test_balance():
     rng = np.random.default_rng(3)
     lengths = [int(x) for x in rng.integers(1, 2048, 3000)]
