@@ -10,11 +10,12 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import send_code, text_of, token_counts
+from .common import materialize, send_code, text_of, token_counts
+from .merkle import numbered
 
 OPEN, CLOSE = "<turn {}>\n", "\n</turn>\n"
 LEARNED = "assistant"
-SEGMENT = 1024
+SEGMENT = 1024  # turns
 WINDOWS = "conv_id long, segment long, window long, n_tokens long, n_repeated int, formatted string, loss array<struct<start: int, end: int>>"
 SUMMARY = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
            "n_windows long")
@@ -114,31 +115,30 @@ def windows(turns, budget: Budget):
         yield repeated, new
 
 
-def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ranks: str | None = None) -> DataFrame:
+def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ranks: str | None = None, segment: int = SEGMENT) -> DataFrame:
     """conv_id, segment, window, n_tokens, n_repeated, formatted, loss: every conversation in windows of whole turns.
 
     The first turn, if it is a system turn, opens every window of its conversation; up to `history` tokens of the turns before a
     window are repeated after it. loss holds the spans (code points of formatted) of the assistant texts that are new
     in the window; repeated ones are masked, so each is learned once. The first n_repeated turns are repeats.
 
-    A conversation is cut into segments of 1,024 turn numbers; segments are formatted in parallel, each given its
-    conversation's system turn and the turns before it. A task streams over its sorted rows and holds one window.
+    A conversation is cut into segments of `segment` turns, by their place in it; segments are formatted in parallel, each
+    given its conversation's system turn and the turns before it. So neither the numbers of the turns nor a very long conversation, nor
+    many rows of one turn, decide a task's size. A task streams over its sorted rows and holds one window.
 
     Order: turn (nulls first), role, text. Null text or role: empty. Rows without a conv_id form one conversation.
     Repeated rows are turns of their own. A turn longer than the budget: a window above the budget. Empty table: no
     rows. Other columns are ignored.
     """
     send_code(conversations.sparkSession)
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-                                text_of("role").alias("role"), text_of().alias("text"))
-    rows = rows.withColumn("segment", F.floor(F.coalesce("turn", F.lit(0)) / F.lit(SEGMENT)).cast("long"))
-    later = rows.filter("segment > 0").select(F.col("conv_id").alias("c"), F.col("segment").alias("s")).distinct()
-    same = F.col("conv_id").eqNullSafe(F.col("c"))
-    tail = rows.filter(F.pmod("turn", F.lit(SEGMENT)) >= SEGMENT - budget.history_turns).join(
-        later, same & (F.col("segment") + 1 == F.col("s"))).select("conv_id", "turn", "role", "text", F.col("s").alias("segment"), F.lit(1).alias("kind"))
-    long_ = rows.join(later.select("c").distinct(), same, "left_semi")
-    first = long_.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("f")).filter(F.col("f.role") == "system")
-    heads = first.join(later, same).select("conv_id", "f.turn", "f.role", "f.text", F.col("s").alias("segment"), F.lit(0).alias("kind"))
+    key = F.coalesce(F.col("conv_id").cast("long").cast("string"), F.lit(""))  # as text, which holds every long beside nulls
+    rows = conversations.select(key.alias("conv_id"), F.col("turn").cast("long").alias("turn"), text_of("role").alias("role"), text_of().alias("text"))
+    rows = materialize(numbered(rows, "conv_id", ["turn", "role", "text"], "turns").drop("n"), "placed")
+    rows = rows.withColumn("segment", F.floor(F.col("idx") / segment).cast("long"))
+    later = materialize(rows.filter(F.col("idx") % segment == 0).filter("segment > 0").select("conv_id", "segment"), "segments")
+    last = rows.filter(F.col("idx") % segment >= segment - budget.history_turns).withColumn("segment", F.col("segment") + 1)
+    tail = last.join(later, ["conv_id", "segment"], "left_semi").withColumn("kind", F.lit(1))
+    heads = rows.filter("idx = 0 and role = 'system'").drop("segment").join(later, "conv_id").withColumn("kind", F.lit(0))
     everything = rows.withColumn("kind", F.lit(2)).unionByName(tail).unionByName(heads)
 
     @F.pandas_udf("int")
@@ -147,7 +147,7 @@ def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ra
 
     keys = ["conv_id", "segment"]
     ordered = (everything.withColumn("tokens", cost("role", "text")).repartition(*keys)
-               .sortWithinPartitions(*keys, "kind", "turn", "role", "text"))
+               .sortWithinPartitions(*keys, "kind", "idx"))
 
     def run(batches):
         out = []
@@ -164,13 +164,13 @@ def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ra
                         loss.append({"start": at + t.start, "end": at + t.end})
                     parts.append(t.formatted)
                     at += len(t.formatted)
-                out.append((None if pd.isna(key[0]) else int(key[0]), int(key[1]), k, sum(t.tokens for t in repeated + new),
+                out.append((key[0], int(key[1]), k, sum(t.tokens for t in repeated + new),
                             len(repeated), "".join(parts), loss))
 
         def frame():
             made = pd.DataFrame(out, columns=["conv_id", "segment", "window", "n_tokens", "n_repeated", "formatted", "loss"])
             out.clear()
-            return made.astype({"conv_id": "Int64"})
+            return made
 
         stream = rows_of(batches)
         row = next(stream, None)
@@ -180,11 +180,11 @@ def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ra
             def segment():
                 nonlocal row
                 begun = False
-                while row is not None and (row[:2] == key or pd.isna(row[0]) and pd.isna(key[0]) and row[1] == key[1]):
+                while row is not None and row[:2] == key:
                     _, seg, kind, role, text, tokens = row
                     turn = Turn(tokens, *format_turn(role, text), role == LEARNED)
                     name = ("system", "history", "new")[kind]
-                    if kind == 2 and not begun and seg <= 0 and role == "system":
+                    if kind == 2 and not begun and seg == 0 and role == "system":
                         name = "first system"
                     begun = True
                     row = next(stream, None)
@@ -195,15 +195,18 @@ def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ra
                 yield frame()
         yield frame()
 
-    return ordered.mapInPandas(run, WINDOWS)
+    made = ordered.mapInPandas(run, WINDOWS.replace("conv_id long", "conv_id string"))
+    return made.withColumn("conv_id", F.nullif("conv_id", F.lit("")).cast("long"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """From formatted windows alone, for every conversation: conv_id, n_turns, turns_sha256 (role, newline, text,
     newline of every turn), loss_chars and loss_sha256 (the unescaped text under the mask), formatted_chars, n_windows.
 
-    A task streams over its conversations' windows in order and holds one window and the running digests."""
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window")
+    A task streams over its conversations' windows in order and holds one window and the running digests. A conversation's digest can only
+    be taken in order, so it is one task's reading, however long it is."""
+    named = formatted.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    ordered = named.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window")
 
     def run(batches):
         out, state, current = [], None, object()
@@ -215,11 +218,10 @@ def read_back(formatted: DataFrame) -> DataFrame:
         def frame():
             made = pd.DataFrame(out, columns=[c.split()[0] for c in SUMMARY.split(", ")])
             out.clear()
-            return made.astype({"conv_id": "Int64"})
+            return made
 
         for b in batches:
             for conv, repeated, text, loss in zip(b["conv_id"].tolist(), b["n_repeated"].tolist(), b["formatted"], b["loss"]):
-                conv = None if pd.isna(conv) else int(conv)
                 if state is None or conv != current:
                     close()
                     current = conv
@@ -237,4 +239,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
         close()
         yield frame()
 
-    return ordered.mapInPandas(run, SUMMARY)
+    found = ordered.mapInPandas(run, SUMMARY.replace("conv_id long", "conv_id string"))
+    return found.withColumn("conv_id", F.nullif("conv_id", F.lit("")).cast("long"))

@@ -63,3 +63,20 @@ def test_given_and_empty(spark, given):
     rows = [tuple(r) for r in given("conversations").select("conv_id", "turn", "role", "text").collect()]
     assert run(spark, rows)[1] == expected(rows)
     assert C.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_large_ids_beside_null(spark):
+    rows = [(2 ** 53 + 1, 0, "user", "a"), (None, 0, "user", "b"), (2 ** 53 + 3, 0, "assistant", "c")]
+    windows, back = run(spark, rows)
+    assert back == expected(rows) and set(back) == {2 ** 53 + 1, None, 2 ** 53 + 3}
+
+
+def test_sparse_turn_numbers_and_many_rows_of_one_turn(spark):
+    """Turns are cut by their place: numbers far apart change nothing, and one number shared by many rows is still cut."""
+    said = [("user", "assistant")[i % 2] for i in range(6)]
+    near, far = ([(1, i * step, said[i], f"turn {i}") for i in range(6)] for step in (1, 1000))
+    a, b = run(spark, near), run(spark, far)
+    assert len(a[0]) == len(b[0]) == 1 and a[0].formatted.tolist() == b[0].formatted.tolist() and b[1] == expected(far)
+    rows = [(1, None if i % 2 else 7, "assistant", f"text {i:04}") for i in range(2600)]
+    windows, back = run(spark, rows)
+    assert back == expected(rows) and windows.segment.nunique() == 3
