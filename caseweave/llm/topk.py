@@ -26,9 +26,9 @@ class SortedLists:
     """One list of a block's vectors for each component, sorted by value; read from the top where the query's
     weight is positive and from the bottom where it is negative."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None):
         by_id = np.argsort(ids, kind="stable")
-        self.ids, self.v = ids[by_id], vectors[by_id]
+        self.ids, self.v, self.rows = ids[by_id], vectors[by_id], ids[by_id] if rows is None else rows[by_id]
         self.exact = self.v.astype(np.float64)  # products of 64 * x stay below 2^53
         rising = np.argsort(self.v, axis=0, kind="stable").T
         self.order = np.ascontiguousarray([rising, rising[:, ::-1]])  # from the bottom, from the top
@@ -38,8 +38,8 @@ class SortedLists:
         self.rank = np.empty(rising.shape, place)
         np.put_along_axis(self.rank, rising, np.arange(len(ids), dtype=place)[None], axis=1)
 
-    def top(self, query: np.ndarray, k: int, self_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best by score, then id, without the query itself.
+    def top(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best by score, then id, without the query's own row.
 
         Entries are read in bands. An object's lower bound takes its known parts and the least value of each
         list it was not met in; its upper bound takes the values the lists have come down to. At each look the
@@ -62,7 +62,7 @@ class SortedLists:
             read, upper = to, lower
             if n > LEADERS * k:
                 leaders = np.argpartition(lower, n - LEADERS * k)[n - LEADERS * k:]
-                scores = self.exact[leaders[self.ids[leaders] != self_id]] @ whole
+                scores = self.exact[leaders[self.rows[leaders] != own]] @ whole
                 best = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else best
             if read < n:
                 gap = self.sorted[side, lists, read] * q - last
@@ -70,7 +70,7 @@ class SortedLists:
                     upper = lower + gap.sum() - self.met(gap, lists, side, read)
                     if (upper >= best).sum() <= CONTENDERS * k:
                         break
-        rest = np.flatnonzero((upper >= best) & (self.ids != self_id))
+        rest = np.flatnonzero((upper >= best) & (self.rows != own))
         scores = (self.exact[rest] @ whole).astype(np.int64)
         keep = np.lexsort((self.ids[rest], -scores))[:k]
         return self.ids[rest][keep], scores[keep]
@@ -94,11 +94,12 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id
     ranked by score, then vec_id. Both counts follow the measured number of rows, so a task's size does not grow.
 
     Rows without an id, and vectors that are null or hold a null or non-finite component, take no part; vectors
-    shorter than the longest are taken as ending in zeros; an empty vector scores 0. Repeated ids take part each.
+    shorter than the longest are taken as ending in zeros; an empty vector scores 0. Repeated ids are rows of their own: a query
+    leaves out its own row only, and each such query has its own ranks.
     Fewer than k candidates: all of them. Empty table: no rows.
     """
     send_code(vectors.sparkSession)
-    rows = materialize(integer_vectors(vectors, id_, vector, scale), "vectors")
+    rows = materialize(integer_vectors(vectors, id_, vector, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n, dims = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     blocks = max(1, -(-n // block_rows))
     wanted = rows.filter(F.col("id") % F.lit(every) == 0)
@@ -114,16 +115,16 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id
     def answer(key, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(block):
-            lists = SortedLists(block["id"].to_numpy(np.int64), matrix(block["v"]))
-            for id_, q in zip(queries["id"].to_numpy(np.int64), matrix(queries["v"])):
-                ids, scores = lists.top(q, k, id_)
-                found.append(pd.DataFrame({"query_id": id_, "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    bucket = lambda parts, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(parts)).cast("int")
-    left = (wanted.dropDuplicates(["id", "v"]).withColumn("part", bucket(groups, 1))
+            lists = SortedLists(block["id"].to_numpy(np.int64), matrix(block["v"]), block["row"].to_numpy(np.int64))
+            for id_, row, q in zip(queries["id"].to_numpy(np.int64), queries["row"].to_numpy(np.int64), matrix(queries["v"])):
+                ids, scores = lists.top(q, k, row)
+                found.append(pd.DataFrame({"own": row, "query_id": id_, "vec_id": ids, "score": scores}))
+        return pd.concat(found) if found else pd.DataFrame({"own": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
+
+    bucket = lambda parts, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(parts)).cast("int")
+    left = (wanted.withColumn("part", bucket(groups, 1))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     right = rows.withColumn("block", bucket(blocks, 2)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    near = left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInPandas(answer, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    near = left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInPandas(answer, "own long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -32,6 +32,13 @@ def test_few_and_none(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, [0.5, 0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in topk.search(df, k=5).collect())
+    assert got == sorted([(1, 1, 2048), (2, 20, 0), (3, 20, 0)] + 2 * [(1, 20, 4096), (2, 1, 1024), (3, 20, 0)])
+
+
 def test_reading_stops_early():
     """With one long vector among short ones the lists are not read to their ends."""
     rng = np.random.default_rng(0)
