@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import documents, is_small, join_lookup, materialize, measured, size_measures
+from .common import documents, is_small, join_lookup, lookup_join, materialize, measured, size_measures, text_of
 
 MIX1, MIX2, STEP = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -219,8 +219,38 @@ def alike(s: Settings):
     return F.least("n", "m") >= F.lit(s.similarity) * F.greatest("n", "m")
 
 
+def separated(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows with _own, an id for every different text, and whether any doc_id has several: then these texts have a 64-bit hash
+    of id and text as _own; all others have the doc_id."""
+    key, text = F.col("doc_id").cast("long"), F.xxhash64(text_of())
+    several = docs.filter("doc_id is not null").groupBy(key.alias("_id")).agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    several, sizes = measured(several.filter("low <> high").select("_id", F.lit(True).alias("_several")), "several", rows=F.count(F.lit(1)), bytes=F.lit(0))
+    if not sizes["rows"]:
+        return docs.withColumn("_own", key), False
+    marked = lookup_join(docs.withColumn("_id", key), several, "_id", "left", small=sizes["rows"] < 1_000_000)
+    return marked.withColumn("_own", F.when(F.col("_several"), F.xxhash64("_id", text_of())).otherwise(F.col("_id"))).drop("_id", "_several"), True
+
+
 def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """doc_id, class_id, class_size for every document: class_id is the smallest doc_id of its class.
+    """doc_id, class_id, class_size for every document: class_id is the smallest doc_id of its class, as `classes_of` finds them.
+
+    Null doc_id: class and size null. Repeated rows give one row; different texts under one doc_id are documents of their
+    own, with a row each. Empty table: no rows. Other columns are ignored.
+    """
+    docs, several = separated(docs)
+    if not several:
+        return classes_of(docs, s)
+    named = docs.select(F.col("doc_id").cast("long").alias("_id"), "_own")
+    found = materialize(classes_of(docs.select(F.col("_own").alias("doc_id"), "text"), s), "classes")
+    found = found.filter("doc_id is not null").join(named.distinct(), F.col("doc_id") == F.col("_own"))
+    lowest = found.groupBy("class_id").agg(F.min("_id").alias("lowest"))
+    found = join_lookup(found, lowest, "class_id", "inner").select(F.col("_id").alias("doc_id"), F.col("lowest").alias("class_id"), "class_size")
+    missing = named.filter("_id is null").select(*[F.lit(None).cast("long").alias(c) for c in found.columns])
+    return found.unionByName(missing)
+
+
+def classes_of(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """doc_id, class_id, class_size for every document, where a doc_id has one text.
 
     Two texts are linked when their words agree, or when the share of their five-word shingles (counted with
     repetition) that a common order can align is at least `similarity`; classes are the connected groups. Exact
@@ -232,9 +262,7 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     out no pair that can reach the similarity and makes none inside a known class. All pairs are rows of
     joins that Spark splits; nothing is gathered by bucket or class.
 
-    Null and empty texts have no words and are copies of each other. Null doc_id: class and size null. Several
-    rows with one doc_id give one row, for the text with the smallest digest. Empty table: no rows. Other columns are
-    ignored.
+    Null and empty texts have no words and are copies of each other.
     """
     signed = materialize(signatures(docs, s), "signed")
     copies = materialize(signed.groupBy("doc_id").agg(F.min_by(F.struct("digest", "n"), "digest").alias("t")).select("doc_id", "t.*"), "texts")
@@ -266,9 +294,19 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of `docs` with one document of each class: the one with the smallest doc_id. Rows without a
-    doc_id stay. Of several rows with one doc_id, one stays. Columns as given."""
+    """The rows of `docs` with one document of each class: the one with the smallest doc_id.
+
+    Rows without a doc_id stay. Of rows with equal doc_id and text one stays; another text under the same doc_id goes only if
+    its own class has a smaller document. Empty table: no rows. Columns as given.
+    """
     columns = docs.columns
-    stay = classes(docs, s).filter("doc_id = class_id").select(F.col("doc_id").alias("_keep"))
-    one = docs.join(stay, docs["doc_id"].cast("long") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*columns).unionByName(docs.filter("doc_id is null"))
+    docs, several = separated(docs)
+    if several:
+        docs = materialize(docs, "separated")
+        ids = docs.select("_own", F.col("doc_id").cast("long").alias("_id")).filter("_own is not null").distinct()
+        found = classes_of(docs.select(F.col("_own").alias("doc_id"), "text"), s).join(ids, F.col("doc_id") == F.col("_own"))
+        stay = found.groupBy("class_id").agg(F.min_by("_own", F.struct("_id", "_own")).alias("_keep")).select("_keep")
+    else:
+        stay = classes_of(docs, s).filter("doc_id = class_id").select(F.col("doc_id").alias("_keep"))
+    one = docs.join(stay, F.col("_own") == F.col("_keep"), "left_semi").dropDuplicates(["_own"])
+    return one.select(*columns).unionByName(docs.filter("doc_id is null").select(*columns))

@@ -124,3 +124,13 @@ def test_components(spark):
     nodes = spark.createDataFrame([(i,) for i in [*range(41), 100, 200, 300, 7777]], "node long")
     got = {r["node"]: r["comp"] for r in O.components(nodes, spark.createDataFrame(pairs, "a long, b long"), "t").collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 300: 100, 7777: 7777}
+
+
+def test_different_texts_under_one_id(docs):
+    """A text goes only if its own class has a smaller document, whatever else stands under its id."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(3, a), (9, a), (9, b), (9, b), (4, c), (11, c + " more"), (None, a), (12, a)]
+    kept = sorted((tuple(r) for r in O.keep_one(docs(rows)).select("doc_id", "text").collect()), key=str)
+    assert kept == sorted([(3, a), (9, b), (4, c), (None, a)], key=str)
+    found = sorted((tuple(r) for r in O.classes(docs(rows)).collect()), key=str)
+    assert found == sorted([(3, 3, 3), (9, 3, 3), (12, 3, 3), (9, 9, 1), (4, 4, 2), (11, 4, 2), (None, None, None)], key=str)
