@@ -64,14 +64,14 @@ def find_exponent(shares: DataFrame, entropy: float, repetition: float) -> float
 def mix(docs: DataFrame, entropy: float = 0.97, repetition: float = 2.0, budget: int | None = None,
         seed: int = 7, tokens: Column | None = None) -> DataFrame:
     """The rows of `docs`, each as often as the mix asks for, with all their columns and those of _mix:
-    struct(tokens, epoch, block, sort_key).
+    struct(tokens, epoch, block, block_turn, turn). Their order is (epoch, block_turn, turn): see `in_order`.
 
     Weights are share^e normalised, e from `find_exponent`. `budget` is the number of tokens of the mix; by
     default it is the least with which every source is read at least once in full, so no document is lost
     and none is read more than `repetition` times (rounded up). A source of T tokens and weight w gets
     w * budget tokens: whole epochs, then part of a last one. An epoch is a permutation of the source's blocks
-    (hash ranges of doc_ids) and of the documents inside each; the last epoch takes its permutation's documents
-    as long as their running sum stays within what is left of the budget.
+    (hash ranges of doc_ids) and, by a hash of the epoch, of the documents inside each; the last epoch takes its blocks, and of the
+    block where the budget ends the documents in the order of their hash, as long as their running sum stays within what is left.
 
     The running sum is taken over blocks, then over the parts of the one block where the budget ends, then over
     the documents of that part: no task ever orders a whole source. The plan of a source is joined back by
@@ -139,10 +139,17 @@ def mix(docs: DataFrame, entropy: float = 0.97, repetition: float = 2.0, budget:
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
     mixed = F.struct(F.col("_tokens").alias("tokens"), F.col("_epoch").cast("int").alias("epoch"), F.col("_block").alias("block"),
                      order_hash(seed, F.col("_source"), F.col("_epoch"), F.col("_block")).alias("block_turn"),
-                     F.col("_hash").alias("turn"))
+                     order_hash(seed, F.col("_id"), F.col("_epoch")).alias("turn"))
     return rows.select("row.*", mixed.alias("_mix"))
 
 
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The rows of a mix in its order, without _mix: epoch after epoch, the blocks of all sources mixed, so that files and tasks hold
+    them as training is to read them and the copies of a document are epochs apart."""
+    order = ["_mix.epoch", "_mix.block_turn", "_mix.turn"]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_mix")
+
+
 MIX = "struct<tokens: bigint, epoch: int, block: int, block_turn: bigint, turn: bigint>"
 
 

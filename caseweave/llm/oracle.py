@@ -83,7 +83,8 @@ placed AS (SELECT cut.*, epochs, rest, {hash_("src", "epochs", "block")} AS last
 summed AS (SELECT *, sum(tokens) OVER (PARTITION BY src ORDER BY last_turn, block, turn) AS running FROM placed),
 copies AS (SELECT *, epochs + (running <= rest)::INTEGER AS copies FROM summed),
 many AS (SELECT *, unnest(range(0, copies))::INTEGER AS epoch FROM copies)
-SELECT doc_id, source, tokens, epoch, block, {hash_("src", "epoch", "block")} AS block_turn, turn FROM many"""
+SELECT doc_id, source, tokens, epoch, block, {hash_("src", "epoch", "block")} AS block_turn,
+  {hash_("coalesce(doc_id::VARCHAR, '')", "epoch")} AS turn FROM many"""
 
 
 

@@ -77,3 +77,17 @@ def test_edges(docs):
 def test_plan_has_no_python(docs):
     plan = M.mix(docs(rows_of([50, 20])))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_epochs_are_permutations_of_their_own(docs):
+    rows = rows_of([600, 40])
+    mixed = M.mix(docs(rows), 1.0, 3.0)
+    order = [tuple(r) for r in mixed.filter("source = 's1'").orderBy("_mix.epoch", "_mix.block", "_mix.turn").select("_mix.epoch", "doc_id").collect()]
+    first, second = ([d for e, d in order if e == n] for n in (0, 1))
+    assert sorted(first) == sorted(second) and first != second
+    written = [r["doc_id"] for r in M.in_order(mixed).collect()]
+    places = {}
+    for place, doc in enumerate(written):
+        places.setdefault(doc, []).append(place)
+    apart = [b - a for p in places.values() for a, b in zip(p, p[1:])]
+    assert apart and min(apart) > 1 and sorted(written) == sorted(r["doc_id"] for r in mixed.collect())
