@@ -90,15 +90,16 @@ def draw(seed, key):
 # ---------------------------------------------------------------- WITH blocks
 def messages(many=False, name="tweets"):
     brand = "'Brand' || (conv_id % 5)" if many else f"'{T.BRAND}'"
-    return f"""{name} AS (SELECT conv_id * 100 + turn + 1 AS tweet_id,
+    number = lambda t: f"CASE WHEN {t} < 100 THEN conv_id * 100 + {t} + 1 ELSE {1 << 52} + conv_id * {1 << 24} + {t} - 100 END"
+    return f"""{name} AS (SELECT {number('turn')} AS tweet_id,
       CASE role WHEN 'assistant' THEN {brand} WHEN 'user' THEN 'u' || conv_id ELSE 'SystemBot' END AS author_id,
       role = 'user' AS inbound,
       strftime(TIMESTAMP '2017-10-31 22:08:27' + (conv_id * 100 + turn + 1) * INTERVAL 1 MINUTE,
                '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
       CASE role WHEN 'user' THEN '@' || {brand} || ' ' || text WHEN 'assistant' THEN '@u' || conv_id || ' ' || text
            ELSE text END AS text,
-      CASE WHEN role = 'user' THEN CAST(conv_id * 100 + turn + 2 AS VARCHAR) END AS response_tweet_id,
-      CASE WHEN turn > 0 THEN CAST(conv_id * 100 + turn AS DOUBLE) END AS in_response_to_tweet_id
+      CASE WHEN role = 'user' THEN CAST({number('(turn + 1)')} AS VARCHAR) END AS response_tweet_id,
+      CASE WHEN turn > 0 THEN CAST({number('(turn - 1)')} AS DOUBLE) END AS in_response_to_tweet_id
       FROM conversations)"""
 
 
@@ -790,6 +791,12 @@ def oracle_sql() -> dict[str, str]:
             FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
       SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 6) DESC, vec_id) AS INTEGER) AS rank, vec_id,
         round(sim, 6) AS similarity FROM s QUALIFY rank <= 5"""
+    s["keyword_table_matches"] = """WITH items AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS w FROM benchmark),
+      kw AS (SELECT DISTINCT item_id % 20 + 1 AS priority, 'set' || (item_id % 20) AS intent, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS keyword FROM items),
+      runs AS (SELECT doc_id, regexp_extract_all(lower(text), '[""" + WORD + """]+|[^""" + WORD + """]+') AS r FROM documents),
+      said AS (SELECT doc_id, unnest(list_transform(range(1, len(r) - 1), lambda i: CASE WHEN r[i + 1] = ' ' THEN r[i] || ' ' || r[i + 2] END)) AS keyword FROM runs),
+      met AS (SELECT DISTINCT doc_id, priority, intent FROM said JOIN kw USING (keyword))
+      SELECT doc_id, coalesce(string_agg(intent, '|' ORDER BY priority), '') AS intents FROM documents LEFT JOIN met USING (doc_id) GROUP BY doc_id"""
     s["dense_topk_every_20"] = s["dense_topk"]
     high = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "high")
     low = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "low")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import values as V
 from ..functions import accents, keywords as K
 from ..functions import text as X
-from ..operators import (brand as B, classify as C, decide as J, dense as DN, draft as I, failures as FM, features as FE,
+from ..operators import (brand as B, classify as C, decide as J, dense as DN, draft as I, failures as FM, features as FE, keyword_join as KJ,
                          golden as G, judge as JU, labels as L, leakage as LK, metrics as M, profile as P,
                          retrieve as R, threads as D)
 from ..session import fresh_path, materialize
@@ -164,6 +164,17 @@ def label_documents(s, d):
     return L.label_first_match(T.table(s, d, "documents"), "text", T.KEYWORDS, T.DEFAULT).select("doc_id", "intent")
 
 
+def keyword_table_matches(s, d):
+    """Documents by a large dictionary: all pairs of neighbouring words of the benchmark items, dealt to 20 intents."""
+    words = F.filter(F.split(F.lower("text"), r"[^a-z]+"), lambda w: F.length(w) > 0)
+    pairs = T.table(s, d, "benchmark").select("item_id", words.alias("w")).filter("size(w) > 1")
+    pairs = pairs.select("item_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(
+        " ", F.element_at("w", i), F.element_at("w", i + 1)))).alias("keyword"))
+    number = F.col("item_id") % 20
+    keywords = pairs.select((number + 1).cast("int").alias("priority"), F.concat(F.lit("set"), number.cast("string")).alias("intent"), "keyword").distinct()
+    return KJ.all_matches(T.table(s, d, "documents"), "doc_id", "text", keywords).select("doc_id", joined("intents").alias("intents"))
+
+
 def intent_frequency(s, d):
     df = L.min_words(T.customer_messages(s, d), "cleaned", 3)
     return L.intent_frequency(df, "cleaned", T.KEYWORDS, T.TAXONOMY).select("intent", "n", "percent")
@@ -837,7 +848,7 @@ QUERIES = [
     extract_brand, dedup_tweets, sort_tweets, extract_all_brands,
     first_child, conversation_roots, customer_roots, reply_chains, thread_filter, conversation_turns,
     conversation_threads, conversation_history,
-    label_first_match, label_single_match, label_all_matches, label_documents, intent_frequency, intent_samples,
+    label_first_match, label_single_match, label_all_matches, label_documents, keyword_table_matches, intent_frequency, intent_samples,
     training_sample, taxonomy_join,
     tokenize_words, word_ngrams, char_wb_ngrams, strip_accents, vocabulary, vocabulary_top, idf, tfidf_weights, feature_union,
     majority_baseline, majority_quality, balanced_weights, predict_top2, class_probabilities, triggered_keywords,
