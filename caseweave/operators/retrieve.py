@@ -71,8 +71,20 @@ def build_index(cases: DataFrame, path: str | None = None, analyzer: Analyzer =
     a block. A row of postings holds `slot` entries at most, however frequent its term is.
     """
     path = path or fresh_path(cases.sparkSession, "index")
-    cases, case_sizes = measured(cases, "cases", f"{path}/cases", **size_measures(cases))
+    cases, sizes = measured(cases, "cases", f"{path}/cases", **size_measures(cases))
     counts = materialize(term_counts(cases, "case_order", "customer_issue", analyzer), "casecounts")
+    return _index_of(cases, sizes, counts, path, analyzer, slot, fan)
+
+
+def index_from_counts(cases: DataFrame, counts: DataFrame, path: str | None = None, analyzer: Analyzer = RETRIEVAL, slot: int = SLOT,
+                      fan: int = FAN) -> CaseIndex:
+    """`build_index` from term counts (case_order, term, tf) that are there already; a case without terms may have a null one."""
+    path = path or fresh_path(cases.sparkSession, "index")
+    cases, sizes = measured(cases, "cases", f"{path}/cases", **size_measures(cases))
+    return _index_of(cases, sizes, counts, path, analyzer, slot, fan)
+
+
+def _index_of(cases: DataFrame, case_sizes: dict, counts: DataFrame, path: str, analyzer: Analyzer, slot: int, fan: int) -> CaseIndex:
     table = idf(vocabulary(counts, analyzer.max_features), case_sizes["rows"])
     table, sizes = measured(table, "idf", f"{path}/idf", **size_measures(table))
     raw = raw_weights(counts, table.select("term", "idf"), small=is_small(sizes))

@@ -848,6 +848,7 @@ def oracle_sql() -> dict[str, str]:
     s["held_out_ids"] = with_(gold, "SELECT DISTINCT conversation_id FROM golden")
     s["golden_sink"] = s["golden_set"]
     s["index_store"] = s["search_topk"]
+    s["index_deltas"] = s["search_topk"]
     s["result_record"] = with_(gold, """SELECT facet, value, count(*) AS n FROM (
         SELECT 'intent' AS facet, gold_intent AS value FROM golden UNION ALL SELECT 'decision', gold_decision FROM golden
         UNION ALL SELECT 'difficulty', difficulty FROM golden) GROUP BY ALL""")

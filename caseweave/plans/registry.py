@@ -12,7 +12,7 @@ from .. import values as V
 from ..functions import accents, keywords as K
 from ..functions import text as X
 from ..operators import (brand as B, classify as C, decide as J, dense as DN, draft as I, failures as FM, features as FE, keyword_join as KJ,
-                         golden as G, judge as JU, labels as L, leakage as LK, metrics as M, profile as P,
+                         golden as G, index_store as IS, judge as JU, labels as L, leakage as LK, metrics as M, profile as P,
                          retrieve as R, threads as D)
 from ..session import fresh_path, materialize
 from ..sources import tables as SRC
@@ -819,6 +819,19 @@ def golden_sink(s, d):
     return _written(s, T.golden(s, d), SRC.write_golden, SRC.read_golden)
 
 
+def index_deltas(s, d):
+    """An index that grew in steps: two thirds of the cases and some wrong ones, the rest, deletions, and a compaction between."""
+    cases, path = T.index(s, d).cases, fresh_path(s, "store")
+    wrong = cases.withColumns({"case_order": -F.col("case_order") - 1, "case_id": F.concat(F.lit("wrong"), "case_id")})
+    IS.append_cases(cases.filter("case_order % 3 <> 0").unionByName(wrong), path)
+    IS.append_cases(cases.filter("case_order % 3 = 0").withColumn("customer_issue", F.lit("to be replaced")), path)
+    IS.compact(s, path)
+    IS.delete_cases(wrong, path)
+    IS.append_cases(cases.filter("case_order % 3 = 0"), path)
+    return R.search_topk(T.customer_messages(s, d), IS.open_index(s, path), "tweet_id", "cleaned", 3).select(
+        "tweet_id", "rank", "case_id", "similarity_score")
+
+
 def index_store(s, d):
     """The stored index, loaded again and searched."""
     path = fresh_path(s, "index")
@@ -865,7 +878,7 @@ QUERIES = [
     brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, sample_messages, brand_ranking,
     stream_clean_label, stream_dedup, stream_triage, escalation_rate_windows, stream_escalation_windows,
     dense_topk, dense_topk_every_20, multi_label_pessimistic, leak_near_duplicates, leak_near_benchmark,
-    read_tweets, read_tweets_ranges, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, result_record, blank_query,
+    read_tweets, read_tweets_ranges, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, index_deltas, result_record, blank_query,
 ]
 
 
