@@ -797,6 +797,10 @@ def oracle_sql() -> dict[str, str]:
       said AS (SELECT doc_id, unnest(list_transform(range(1, len(r) - 1), lambda i: CASE WHEN r[i + 1] = ' ' THEN r[i] || ' ' || r[i + 2] END)) AS keyword FROM runs),
       met AS (SELECT DISTINCT doc_id, priority, intent FROM said JOIN kw USING (keyword))
       SELECT doc_id, coalesce(string_agg(intent, '|' ORDER BY priority), '') AS intents FROM documents LEFT JOIN met USING (doc_id) GROUP BY doc_id"""
+    s["text_statistics_sketched"] = with_([TWEETS], f"""SELECT count(*) AS n, round(avg(length(text)), 2) AS char_length_mean,
+      min(length(text)) AS char_length_min, max(length(text)) AS char_length_max, round(avg({words('text')}), 2) AS word_count_mean,
+      true AS char_length_median_near, true AS word_count_median_near FROM tweets WHERE text IS NOT NULL""")
+    s["vocabulary_diversity_sketched"] = f"SELECT *, true AS near FROM ({s['vocabulary_diversity']})"
     s["dense_topk_every_20"] = s["dense_topk"]
     high = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "high")
     low = ", ".join(q(n) for n, _, r, _, _ in T.TAXONOMY if r == "low")

@@ -12,7 +12,7 @@ from .. import values as V
 from ..functions import accents, keywords as K
 from ..functions import text as X
 from ..operators import (brand as B, classify as C, decide as J, dense as DN, draft as I, failures as FM, features as FE, keyword_join as KJ,
-                         golden as G, index_store as IS, judge as JU, labels as L, leakage as LK, metrics as M, profile as P,
+                         golden as G, index_store as IS, judge as JU, labels as L, leakage as LK, metrics as M, profile as P, profile_sketches as PS,
                          retrieve as R, threads as D)
 from ..session import fresh_path, materialize
 from ..sources import tables as SRC
@@ -671,6 +671,36 @@ def conversation_estimate(s, d):
         "estimated_conversations"))
 
 
+def _days(s, d, many=False):
+    return T.messages(s, d, many).withColumn("day", X.parse_created_at(F.col("created_at")).cast("date"))
+
+
+def text_statistics_sketched(s, d):
+    """Text statistics merged from stored days, and whether the medians are within their bound of the exact ranks."""
+    path = fresh_path(s, "days")
+    PS.write_days(PS.text_sketches(_days(s, d), "day"), path)
+    merged = PS.text_statistics(PS.read_days(s, path))
+    sizes = T.messages(s, d).filter("text is not null").select(F.length("text").alias("c"), X.word_count(F.col("text")).alias("w"))
+
+    def within(c, median):
+        share = lambda side: F.avg(side.cast("double"))
+        return (share(F.col(c) < F.col(median)) <= 0.5 + PS.RANK_ERROR) & (share(F.col(c) <= F.col(median)) >= 0.5 - PS.RANK_ERROR)
+
+    near = sizes.join(F.broadcast(merged.select("char_length_median", "word_count_median")), F.lit(True)).agg(  # one row
+        within("c", "char_length_median").alias("char_length_median_near"), within("w", "word_count_median").alias("word_count_median_near"))
+    return merged.select("n", "char_length_mean", "char_length_min", "char_length_max", "word_count_mean").join(F.broadcast(near), F.lit(True))
+
+
+def vocabulary_diversity_sketched(s, d):
+    """Exact vocabulary sizes, and whether those merged from stored days are within their bound."""
+    path, mentions = fresh_path(s, "days"), B.brand_mentions(_days(s, d, True))
+    PS.write_days(PS.vocabulary_sketches(mentions, "day"), path)
+    merged = PS.vocabulary_diversity(PS.read_days(s, path)).withColumnRenamed("customer_vocabulary_diversity", "estimate")
+    exact = vocabulary_diversity(s, d).join(merged, "brand", "left")
+    error = F.abs(F.col("estimate") - F.col("customer_vocabulary_diversity"))
+    return exact.select("brand", "customer_vocabulary_diversity", (error <= PS.SIZE_ERROR * F.col("customer_vocabulary_diversity")).alias("near"))
+
+
 def vocabulary_diversity(s, d):
     return P.vocabulary_diversity(B.brand_mentions(T.messages(s, d, True)))
 
@@ -874,8 +904,8 @@ QUERIES = [
     accuracy, per_class_prf, macro_prf, confusion_matrix, quality_prf, retrieval_metrics, first_relevant,
     escalation_safety, judge_scores, judge_summary, agreement_sample, rater_correlations,
     cohen_kappa, rater_agreement, failure_modes, model_comparison, majority_on_gold, evaluation_record,
-    null_counts, direction_counts, brand_reply_counts, text_statistics, text_statistics_documents, date_range,
-    brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, sample_messages, brand_ranking,
+    null_counts, direction_counts, brand_reply_counts, text_statistics, text_statistics_documents, text_statistics_sketched, date_range,
+    brand_mentions, resolution_rich, conversation_estimate, vocabulary_diversity, vocabulary_diversity_sketched, sample_messages, brand_ranking,
     stream_clean_label, stream_dedup, stream_triage, escalation_rate_windows, stream_escalation_windows,
     dense_topk, dense_topk_every_20, multi_label_pessimistic, leak_near_duplicates, leak_near_benchmark,
     read_tweets, read_tweets_ranges, brand_sink, threads_sink, taxonomy_load, held_out_ids, golden_sink, index_store, index_deltas, result_record, blank_query,
