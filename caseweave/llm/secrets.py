@@ -16,20 +16,86 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-# Candidates of the token test: long unbroken runs of the characters that encoded keys are made of. A run must hold
-# a digit; the lookahead drops plain words without a look at their tokens.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
+# Candidates of the token test: long unbroken runs of the characters that encoded keys are made of
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
 MAX_RATIO = 2.2  # characters per token: prose has 3 to 5, random letters and digits 1.2 to 1.9
 
 # Known digests and identifiers, which are as random but no secrets
 UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})")
-NAMED_DIGEST = re.compile(r"(?:md5|sha-?\d+|blake\w*|crc\d*|checksum|digest|etag|integrity|commit|rev|hash)[\"']?\x20*[-:=]?\x20*[\"']?$", re.I | re.A)
-NUMBERS = re.compile(r"[0-9TZ+/_=-]+")  # dates and times, telephone, card and order numbers
-PATH = re.compile(r"(?:www\.|/)[\w./~%@+$-]*$", re.I)  # the run goes on a path or address; whatever ends a segment ends the path
-PORT = re.compile(r"://[\w.-]*:\d{1,5}/", re.A)  # a path after a port
+DIGEST_NAME = r"(?:md5|sha-?\d{1,3}|blake[\w-]{0,3}|crc\d{0,3}|checksum|digest|etag|integrity|commit|rev|hash)"
+NAMED = re.compile(r"(?<![A-Za-z0-9])" + DIGEST_NAME + "$", re.I | re.A)  # the end of what stands before the sign
+NAMED_RUN = re.compile(DIGEST_NAME + "[-=]", re.I | re.A)  # name and sign are characters of the run
+LONGEST_NAME = 9  # of a digest, and one character before it
+NUMBERS = re.compile(r"[0-9TZ+/_=-]+")  # dates and times, telephone, card and order numbers, rules
+ONE_CASE = r"(?:[A-Z]?[a-z]{0,30}|[A-Z]{1,31})"  # a word as prose has it: no digit, no capital inside, no longer than compounds get
+WORDS = re.compile(f"{ONE_CASE}(?:[+/_=-]+{ONE_CASE})*")
+ROOTED = re.compile(r"/[a-z]+/")  # a path from the root begins with the run
+PORT = re.compile(r"\d{1,5}/")  # after a host and a colon
 QUERY = re.compile(r"[A-Za-z_-][\w-]*=", re.A)  # the name before a value in an address
-USERINFO = re.compile(r"\w://[^\s/@]*$", re.A)  # an address up to its user and password
+
+
+def begin(text: str, end: int, inside, least: int = 0) -> int:
+    """Where the unbroken run of characters for which `inside` holds, up to `end`, begins (`least` at the earliest)."""
+    while end > least and inside(text[end - 1]):
+        end -= 1
+    return end
+
+
+def in_path(c: str) -> bool:
+    return c.isalnum() or c in "_./~%@+$-"
+
+
+def in_host(c: str) -> bool:
+    return c.isalnum() or c in "_.-"
+
+
+def in_user(c: str) -> bool:
+    return not (c.isspace() or c in "/@")
+
+
+def blank(c: str) -> bool:
+    return c == " "
+
+
+class Paths:
+    """Whether a place goes on a path or address: a slash or `www.` stands in the unbroken path characters before it. Places are
+    asked from left to right; of one path only what follows the place before is read, so a text is read once at most."""
+
+    def __init__(self, text: str):
+        self.text, self.seen, self.first, self.open = text, 0, 0, False
+
+    def goes_on(self, place: int) -> bool:
+        at = begin(self.text, place, in_path, self.seen)
+        if at > self.seen or not self.seen:
+            self.first, self.open = at, False
+        part = self.text[max(self.first, at - 3):place]
+        self.open, self.seen = self.open or "/" in part or "www." in part.lower(), place
+        return self.open
+
+
+def is_named(text: str, start: int) -> bool:
+    """A digest's name and one of : = - stand before `start`, with blanks and quotation marks between."""
+    at = begin(text, start - (text[start - 1:start] in ("'", '"')), blank)
+    if text[at - 1:at] not in (":", "=", "-") or not at:
+        return False
+    at = begin(text, at - 1, blank)
+    at -= text[at - 1:at] in ("'", '"')
+    return bool(NAMED.search(text[max(0, at - LONGEST_NAME):at]))
+
+
+def is_user(text: str, end: int) -> bool:
+    """What ends at `end` is the user and password of an address."""
+    at = begin(text, end, in_user)
+    return text[at - 3:at] == "://" and text[at - 4:at - 3].isalnum()
+
+
+def is_port(text: str, start: int) -> bool:
+    """A port and the path after it begin at `start`."""
+    if text[start - 1:start] != ":" or not PORT.match(text, start):
+        return False
+    at = begin(text, start - 1, in_host)
+    return text[at - 3:at] == "://"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -45,22 +111,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], encoder, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
     """Runs outside `taken` whose characters per token fall to `max_ratio`, without known digests and identifiers."""
-    spans = []
+    spans, paths = [], Paths(text)
     for m in RUN.finditer(text):
         run, start, end = m.group(), m.start(), m.end()
         if text[max(0, start - 1):start] in ("?", "&", "#") and (name := QUERY.match(run)):
             run, start = run[name.end():], start + name.end()
-            if len(run) < 16 or not any(c.isdigit() for c in run):
+            if len(run) < 16:
                 continue
-        if any(s < end and start < e for s, _, e in taken) or NUMBERS.fullmatch(run) or UUID.fullmatch(run) or DIGEST.fullmatch(run):
+        if any(s < end and start < e for s, _, e in taken) or WORDS.fullmatch(run) or NUMBERS.fullmatch(run) or UUID.fullmatch(run) or DIGEST.fullmatch(run):
+            continue
+        if len(run) / len(encoder.encode_ordinary(run)) > max_ratio:
             continue
-        before = text[max(0, start - 200):start]
-        if text[end:end + 1] == "@" and not USERINFO.search(before + run):
+        if text[end:end + 1] == "@" and not is_user(text, end):
             continue
-        if NAMED_DIGEST.search(before) or PATH.search(before) or (before.endswith(":") and PORT.search(before + run[:6])):
+        if NAMED_RUN.match(run) or ROOTED.match(run) or is_named(text, start) or paths.goes_on(start) or is_port(text, start):
             continue
-        if len(run) / len(encoder.encode_ordinary(run)) <= max_ratio:
-            spans.append((start, 3, end))
+        spans.append((start, 3, end))
     return spans
 
 
@@ -80,9 +146,9 @@ def scan(docs: DataFrame, max_ratio: float = MAX_RATIO, ranks: str | None = None
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans for every row of `docs`.
 
     Spans are kind:start:end in code points over the whole match, end exclusive, by start, then kind. The token
-    test looks at unbroken runs of 16 or more key characters that hold a digit; those outside the base spans that
+    test looks at unbroken runs of 16 or more key characters; those outside the base spans that
     cost a byte-level BPE vocabulary one token per `max_ratio` characters or less count as random, unless they
-    are digits only, a UUID, a bare digest, named as a digest, or a segment of a path themselves. The value of a
+    are words of one letter case (up to 31 letters, also joined by signs), digits only, a UUID, a bare digest, named as a digest, or a segment of a path themselves, however long that is. The value of a
     query in an address is tested without its name, the user and password of an address like other runs. Row by row: no shuffle.
 
     Null or empty text: no spans. Null doc_id: scanned, id null. Repeated rows are scanned each. Other columns

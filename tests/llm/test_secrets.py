@@ -81,3 +81,39 @@ def test_redact(docs):
     assert secrets.redact(given).columns == given.columns
     assert out[1]["text"] == "a [SECRET] b [SECRET]" and out[1]["n_chars"] == 21
     assert out[2]["text"] == "clean" and out[3]["text"] is None and out[4]["text"] == "[SECRET]"
+
+
+def test_context_of_any_length():
+    """A path is one, however long; the name of a digest is a word of its own with a sign behind it; letters alone are enough."""
+    enc = bpe_encoder()
+    key = "q7RzP4kX9vLm2TnB8wYc"
+    letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(40))
+
+    def found(text):
+        return [text[s:e] for s, _, e in secrets.find(text, enc)[1]]
+
+    for n in (1, 150, 199, 200, 201, 5000):
+        assert found("https://a.example/" + "part.of~" * n + "/" + key) == []
+        assert found("/" + "part.of~" * n + key) == [] and found("part.of~" * n + key) == [key]
+        assert found("commit:" + " " * n + key) == [] and found("x" + " " * n + key) == [key]
+        assert found("https://" + "some.user." * n + ":" + key + "@host") == [key]
+    for text in ("the prev %s", "we rehash %s", "commit %s", "hash of %s", "prehash: %s"):
+        assert found(text % key) == [key], text
+    for text in ("commit: %s", 'integrity="%s"', "sha256-%s", "file_hash = '%s'", "path /x/%s", "md5=%s"):
+        assert found(text % key) == [], text
+    assert found(f"use {letters} now") == [letters]
+    low = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40))
+    assert found(low) == [low] and found(low[:31]) == [] and found(low[:20] + "-" + low[20:]) == []  # shorter ones pass for words
+    assert found("Rechtsschutzversicherungsgesellschaften " + "-=" * 30 + " electroencefalografista") == []
+
+
+def brute_path(text, place):
+    return bool(re.search(r"(?:www\.|/)[\w./~%@+$-]*$", text[:place], re.I))
+
+
+def test_paths_against_a_search_of_the_whole_text():
+    for _ in range(300):
+        text = "".join(rng.choice(["a", ".", "/", " ", "w", "www.", ":", "=", "-", "é"]) for _ in range(60))
+        paths = secrets.Paths(text)
+        for place in sorted(rng.sample(range(len(text) + 1), 12)):
+            assert paths.goes_on(place) == brute_path(text, place), (text, place)
