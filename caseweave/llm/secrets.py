@@ -28,8 +28,8 @@ NAMED = re.compile(r"(?<![A-Za-z0-9])" + DIGEST_NAME + "$", re.I | re.A)  # the
 NAMED_RUN = re.compile(DIGEST_NAME + "[-=]", re.I | re.A)  # name and sign are characters of the run
 LONGEST_NAME = 9  # of a digest, and one character before it
 NUMBERS = re.compile(r"[0-9TZ+/_=-]+")  # dates and times, telephone, card and order numbers, rules
-ONE_CASE = r"(?:[A-Z]?[a-z]{0,30}|[A-Z]{1,31})"  # a word as prose has it: no digit, no capital inside, no longer than compounds get
-WORDS = re.compile(f"{ONE_CASE}(?:[+/_=-]+{ONE_CASE})*")
+ONE_CASE = r"(?:[A-Za-z][a-z]{0,30}|[A-Z]{1,31})"  # a word as prose has it: no digit, no capital inside, no longer than compounds get
+WORDS = re.compile(f"[+/_=-]*{ONE_CASE}(?:[+/_=-]+{ONE_CASE})*[+/_=-]*")
 ROOTED = re.compile(r"/[a-z]+/")  # a path from the root begins with the run
 PORT = re.compile(r"\d{1,5}/")  # after a host and a colon
 QUERY = re.compile(r"[A-Za-z_-][\w-]*=", re.A)  # the name before a value in an address
