@@ -1,3 +1,7 @@
+import random
+import re
+from itertools import product
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -91,3 +95,87 @@ def test_learn_and_edges(spark, docs):
     assert len(out) == 5 and all(0 <= r["score"] <= 1 for r in out)
     assert T.classify(docs([]), labels, F.lit(False)).count() == 0
     assert T.learn(spark.createDataFrame([], "doc_id long, text string, y int")) == T.Lexicon({}, {})
+
+
+def test_threats_of_four_languages():
+    w = T.Weights()
+    total = lambda t: T.text_total(t, LEX, w, T.finder_of(LEX))
+    for text in ("ich werde dich töten", "Dich werde ich töten", "du wirst getötet", "je vais te tuer", "je te tuerai", "je t'ai vu, je vous frapperai",
+                 "voy a matarte", "te voy a matar", "te mataré", "I am killing you", "I'm killing you", "you will be killed", "they'll be shot",
+                 "we are going to hurt them", "te voy a matar a ti"):
+        assert total(text) == w.threat * w.target, text
+    for text in ("ich werde dich nicht töten", "je vais te voir", "voy a verte", "you will kill time", "the film will be shot", "nunca te mataré",
+                 "I am not killing you", "you will never be killed", "kill the process", "die Uhr wird schlagen", "dich. werde töten"):
+        assert total(text) == 0, text
+    assert total("mary said you will be killed") == w.threat * w.target * w.reported
+
+
+def test_composition_against_its_parts():
+    """Arc by arc as the machines would go on their own, and patterns as a search over the clause's classes."""
+    pick, machine = random.Random(3), T.grammar(2)
+    names = sorted({n for p in T.PATTERNS for n in p} | {"report", "negation"})
+    for _ in range(300):
+        clause = [frozenset(pick.sample(names, pick.randint(0, 2))) | {"word"} for _ in range(12)]
+        state, got = machine.start, []
+        for classes in clause:
+            state, negated, threat = machine.step(state, classes)
+            got.append((negated, threat))
+        since = [min((i - j for j in range(i + 1) if "negation" in clause[j]), default=99) for i in range(12)]
+        assert [n for n, _ in got] == [s <= 2 for s in since]
+        assert state[2] == any("target" in c for c in clause) and state[3] == any("report" in c for c in clause)
+        begin, want = 0, []
+        for i in range(12):
+            done = any(completes(clause[begin:i + 1], [s <= 2 for s in since[begin:i + 1]], p) for p in T.PATTERNS)
+            want.append(done)
+            begin = i + 1 if done else begin
+        assert [t for _, t in got] == want
+
+
+def completes(clause, negated, names):
+    """The last word ends the pattern: the clause as letters, the pattern as an expression over them."""
+    at, done = 0, False
+    for classes, n in zip(clause, negated):
+        done = False
+        if names[at] in classes:
+            at = 0 if names[at] in T.ACTIONS and n else at + 1
+            if at == len(names):
+                at, done = 0, True
+    return done
+
+
+def test_patterns_as_expressions():
+    """Without negations and over single classes, a pattern is met where its classes stand in order."""
+    for names in T.PATTERNS:
+        letters = {n: chr(97 + i) for i, n in enumerate(dict.fromkeys(names))}
+        expression = ".*".join(letters[n] for n in names)
+        for word in product([*letters, "other"], repeat=min(len(names) + 1, 5)):
+            machine, state, met = T.pattern(names), 0, False
+            for c in word:
+                state, done = machine.step(state, frozenset({c}))
+                met |= done
+            assert met == bool(re.search(expression, "".join(letters.get(c, "_") for c in word)))
+
+
+def test_lexicon_of_any_size(spark, docs):
+    """More entries than the earlier bound of 20,000 are kept, and a lexicon that is joined scores as one in memory."""
+    letters = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    n = 21_000
+    rows = [(k, " ".join(f"{a}{letters(i)}q {letters(i)}zz" for i in range(n)), 1) for k, a in enumerate("bcdfg")]
+    rows += [(100 + i, f"clean words {i} here", 0) for i in range(400)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    kept = T.learn(labelled, least_share=0.9, least_weight=3.0)
+    table = T.learn(labelled, in_memory=0)
+    assert len(kept.words) > 20_000 and table.count() == len(kept.words) + len(kept.stems)
+    given = docs([(1, f"you {letters(5)}zz not {letters(7)}zz"), (2, "we will kill you"), (3, ""), (4, f"{letters(5)}zz"), (4, f"{letters(5)}zz"),
+                  (None, f"b{letters(9)}q's x"), (6, f"{letters(20_900)}zz")])
+    a, b = (sorted((str(r["doc_id"]), r["total"]) for r in T.totals(given, lex).collect()) for lex in (kept, table))
+    assert a == b and len(a) == 7 and dict(a)["6"] > 0
+
+
+def test_calibration_uses_every_total(spark):
+    rows = [(float(t), int(t > 3)) for t in range(40)] + [(1e6, 1), (0.01, 0), (0.04, 0), (5.0, 0)]
+    got = T.calibrate(spark.createDataFrame(rows, "total double, y int"))
+    x, y = np.array([[np.log1p(t), 1.0] for t, _ in rows]), np.array([y for _, y in rows])
+    p = 1 / (1 + np.exp(-np.clip(x @ np.array(got), -30, 30)))
+    assert np.abs(x.T @ (y - p) - (np.array(got) - np.array(T.Calibration()))).max() < 1e-6
+    assert T.calibrate(spark.createDataFrame([(1.0, 1)], "total double, y int")) == T.Calibration()
