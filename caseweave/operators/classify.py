@@ -32,6 +32,8 @@ def baseline_blocks(terms: int | None = V.BASELINE_TERMS):
 
 HYBRID_BLOCKS, BASELINE_BLOCKS = hybrid_blocks(), baseline_blocks()
 
+TOLERANCE = 1e-9  # of the loss, relative; leaves no entry of its gradient above 1e-4 (see `optimality`)
+
 METHOD_HYBRID = "proposed_hybrid_calibrated"
 METHOD_BASELINE = "tfidf_logistic_regression"
 METHOD_MAJORITY = "majority_baseline"
@@ -72,6 +74,7 @@ class LinearModel:
     blocks: list[tuple[str, Analyzer]]
     method: str
     small_terms: bool  # measured: may the table be broadcast
+    penalty: float = 0.0  # of half the squared coefficients, beside the mean loss
 
 
 def _block_vocabularies(docs: DataFrame, doc: str, text: str, blocks, documents: int) -> tuple[DataFrame, dict]:
@@ -135,7 +138,8 @@ def fit_linear(docs: DataFrame, doc: str, text: str, label: str, blocks, c: floa
     else:
         model = LogisticRegression(
             featuresCol="features", labelCol="label_code", weightCol="class_weight", family="multinomial",
-            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter).fit(rows)
+            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
+            tol=TOLERANCE).fit(rows)
         coef, intercepts = model.coefficientMatrix.toArray(), [float(b) for b in model.interceptVector.toArray()]
     rows.unpersist()
     # bounded by the vocabulary caps and the number of classes
@@ -144,7 +148,7 @@ def fit_linear(docs: DataFrame, doc: str, text: str, label: str, blocks, c: floa
     weighted = terms.join(table, "feature").select("block", "term", "idf", "coef")
     weighted, sizes = measured(weighted, "model", **size_measures(weighted.drop("coef")))
     sizes["bytes"] = (sizes["bytes"] or 0) + size * len(classes) * 8
-    return LinearModel(classes, intercepts, weighted, blocks, method, is_small(sizes))
+    return LinearModel(classes, intercepts, weighted, blocks, method, is_small(sizes), 1.0 / (c * n))
 
 
 def fit_hybrid(docs: DataFrame, doc: str, text: str, label: str, blocks=None) -> LinearModel:
@@ -174,6 +178,40 @@ def class_scores(df: DataFrame, doc: str, text: str, model: LinearModel) -> Data
     return df.join(exps.select(doc, F.sort_array(scores, asc=False).alias("scores")), doc)
 
 
+def optimality(docs: DataFrame, doc: str, text: str, label: str, model: LinearModel) -> DataFrame:
+    """One row per class of a fitted model: documents, class_weight, mass (the class weights of the training rows times the
+    probabilities the model gives the class) and gradient, the largest absolute entry of the penalised loss's gradient for the class.
+
+    `docs` are the training rows. At the optimum the gradient is zero, and, as intercepts carry no penalty, the mass is what the class's
+    own rows weigh: documents * class_weight. Residuals are one row per document; they meet the document's terms in a join
+    and are added up per term before anything is compared.
+    """
+    k = len(model.classes)
+    weights = balanced_weights(docs, label)
+    scored = class_scores(docs, doc, text, model).join(F.broadcast(weights), label)  # one row per class
+    chance = F.map_from_entries(F.transform("scores", lambda s: F.struct(s["intent"], s["probability"])))
+    rows = materialize(scored.select(doc, label, "weight", *[(F.col("weight") * chance[c]).alias(f"p{i}") for i, c in enumerate(model.classes)],
+                                     *[(F.col("weight") * (chance[c] - (F.col(label) == c).cast("int"))).alias(f"r{i}")
+                                       for i, c in enumerate(model.classes)]), "residuals")
+    total = F.sum("weight").alias("total")
+    masses = rows.agg(total, *[F.sum(f"p{i}").alias(f"p{i}") for i in range(k)], *[F.sum(f"r{i}").alias(f"r{i}") for i in range(k)])
+    residuals = rows.select(doc, *[f"r{i}" for i in range(k)])
+    steep = None
+    for entries in block_rows(docs, doc, text, model.blocks, model.terms, "inner", model.small_terms):
+        length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
+        sums = (entries.withColumn("x", F.col("raw") / length).join(residuals, doc).groupBy("term", "coef")
+                .agg(*[F.sum(F.col("x") * F.col(f"r{i}")).alias(f"g{i}") for i in range(k)]))
+        steep = sums.drop("term") if steep is None else steep.unionByName(sums.drop("term"))
+    part = steep.crossJoin(F.broadcast(masses.select("total")))  # one row
+    highest = part.agg(*[F.max(F.abs(F.col(f"g{i}") / F.col("total") + F.lit(model.penalty) * F.col("coef")[i])).alias(f"g{i}") for i in range(k)])
+    both = masses.crossJoin(F.broadcast(highest))  # one row each
+    entry = [F.struct(F.lit(c).alias(label), F.col(f"p{i}").alias("mass"),
+                      F.greatest(F.abs(F.col(f"r{i}") / F.col("total")), F.coalesce(f"g{i}", F.lit(0.0))).alias("gradient"))
+             for i, c in enumerate(model.classes)]
+    found = both.select(F.explode(F.array(*entry)).alias("e")).select("e.*")
+    return found.join(F.broadcast(weights), label).select(label, F.col("n").alias("documents"), F.col("weight").alias("class_weight"), "mass", "gradient")
+
+
 def predict_top2(df: DataFrame, scores: str = "scores", margin: float = V.AMBIGUITY_MARGIN) -> DataFrame:
     """Intent, confidence, margin and ambiguity from an array of (probability, intent).
 

@@ -601,6 +601,14 @@ def oracle_sql() -> dict[str, str]:
       SELECT {matches('cleaned')} AS i FROM customers) WHERE len(i) = 1)"""],
       """SELECT intent, count(*) AS n, round((SELECT count(*) FROM single)::DOUBLE
       / ((SELECT count(DISTINCT intent) FROM single) * count(*)), 6) AS weight FROM single GROUP BY intent""")
+    for name, limit in (("tfidf_baseline", V.MAX_BASELINE_ROWS), ("hybrid_classifier", V.MAX_TRAINING_ROWS)):
+        # at the optimum a class has the same share of the weighted probabilities as of the weighted rows, which are balanced
+        s[f"{name}_certificate"] = with_(CORPUS + [TAXONOMY] + SMALL, f"""SELECT intent, count(*) AS documents,
+          round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS class_weight, round(1.0::DOUBLE / (count(*) OVER ()), 3) AS mass_share,
+          true AS optimal FROM (SELECT i[1] AS intent FROM (
+          SELECT tweet_id, 'conv_' || root_tweet_id AS conversation_id, {matches('cleaned_text')} AS i FROM turns
+          WHERE role = 'customer' AND {words('cleaned_text')} >= 3) t WHERE len(i) = 1
+          AND conversation_id NOT IN (SELECT conversation_id FROM small) ORDER BY tweet_id LIMIT {limit}) GROUP BY intent""")
     scored = base + [TAXONOMY, rule_scores("customers", "tweet_id", "cleaned"), predicted("customers", "tweet_id")]
     s["predict_top2"] = with_(scored, "SELECT tweet_id, intent, confidence, margin, is_ambiguous FROM predicted")
     s["class_probabilities"] = with_(scored, "SELECT tweet_id, intent, round(p, 4) AS probability FROM scores")

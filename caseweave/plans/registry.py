@@ -302,6 +302,24 @@ def hybrid_classifier(s, d):
                      joined("triggered_keywords").alias("triggered"), "method")
 
 
+def _certificate(s, d, name):
+    limit = V.MAX_TRAINING_ROWS if name == "hybrid" else V.MAX_BASELINE_ROWS
+    found = C.optimality(T.training_rows(s, d, limit), "tweet_id", "cleaned_text", "intent", _fitted(s, d, name))
+    everything = F.sum(F.col("documents") * F.col("class_weight")).over(Window.partitionBy())  # one row per class
+    return found.select("intent", "documents", F.round("class_weight", 6).alias("class_weight"),
+                        F.round(F.col("mass") / everything, 3).alias("mass_share"), (F.col("gradient") < 1e-4).alias("optimal"))
+
+
+def tfidf_baseline_certificate(s, d):
+    """The fitted baseline meets the conditions of an optimum, class by class."""
+    return _certificate(s, d, "baseline")
+
+
+def hybrid_classifier_certificate(s, d):
+    """The fitted hybrid model meets the conditions of an optimum, class by class."""
+    return _certificate(s, d, "hybrid")
+
+
 # A small model with given numbers, so that scoring can be checked in plain SQL: (term, idf, coefficients) by rule
 FIXED_CLASSES, FIXED_INTERCEPTS = ["alpha_power", "beta_update", "gamma_account"], [0.1, 0.0, -0.1]
 FIXED_TERMS = [(w, 1 + j / 10, [((j * (c + 2)) % 7 - 3) / 4 for c in range(3)])
@@ -895,7 +913,7 @@ QUERIES = [
     training_sample, taxonomy_join,
     tokenize_words, word_ngrams, char_wb_ngrams, strip_accents, vocabulary, vocabulary_top, idf, tfidf_weights, feature_union,
     majority_baseline, majority_quality, balanced_weights, predict_top2, class_probabilities, triggered_keywords,
-    tfidf_baseline, hybrid_classifier, class_scores_fixed,
+    tfidf_baseline, hybrid_classifier, tfidf_baseline_certificate, hybrid_classifier_certificate, class_scores_fixed,
     build_cases, build_index, search_topk, search_by_intent, min_similarity, evidence_array,
     draft_reply, grounding_prompts, escalation_gates, escalation_gates_nulls, triage_rules, triage_default_limits, triage_model,
     stratified_sample, difficulty, gold_labels, ambiguous_sample, top_up, golden_set, golden_distribution,

@@ -61,6 +61,34 @@ def test_scores_equal_ml_model(spark, sentences, hybrid):
         c: round(math.exp(b) / total, 9) for c, b in zip(hybrid.classes, hybrid.intercepts)}
 
 
+def test_optimality(sentences):
+    """The gradient equals one computed from whole vectors; it is small at the fitted coefficients and not beside them."""
+    import dataclasses
+
+    import numpy as np
+
+    model = C.fit_baseline(sentences, "id", "text", "label")
+    for shift in (0.0, 0.5):
+        moved = dataclasses.replace(model, intercepts=[b + shift * (i == 0) for i, b in enumerate(model.intercepts)])
+        got = {r.label: r for r in C.optimality(sentences, "id", "text", "label", moved).collect()}
+        terms = {r.term: (j, r) for j, r in enumerate(model.terms.collect())}
+        labels = [r.label for r in sentences.orderBy("id").collect()]
+        x = np.zeros((len(labels), len(terms)))
+        (rows,) = C.block_rows(sentences, "id", "text", model.blocks, model.terms, "inner", model.small_terms)
+        for r in rows.collect():
+            x[r.id, terms[r.term][0]] = r.raw
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        b = np.array([r.coef for _, r in sorted(terms.values(), key=lambda t: t[0])])
+        z = np.exp(x @ b + moved.intercepts)
+        p, y = z / z.sum(1, keepdims=True), np.array([[c == label for c in model.classes] for label in labels], float)
+        w = (len(labels) / (len(model.classes) * y.sum(0)))[y.argmax(1)][:, None]
+        slope = np.vstack([x.T @ (w * (p - y)) / w.sum() + model.penalty * b, (w * (p - y)).sum(0) / w.sum()])
+        for k, c in enumerate(model.classes):
+            assert abs(got[c].gradient - np.abs(slope[:, k]).max()) < 1e-9 and abs(got[c].mass - (w * p)[:, k].sum()) < 1e-9
+            assert got[c].documents == labels.count(c)
+        assert (max(r.gradient for r in got.values()) < 1e-4) == (shift == 0)
+
+
 def test_empty_training_and_single_class(spark, sentences):
     with pytest.raises(ValueError):
         C.fit_hybrid(sentences.limit(0), "id", "text", "label")
