@@ -179,3 +179,33 @@ def test_calibration_uses_every_total(spark):
     p = 1 / (1 + np.exp(-np.clip(x @ np.array(got), -30, 30)))
     assert np.abs(x.T @ (y - p) - (np.array(got) - np.array(T.Calibration()))).max() < 1e-6
     assert T.calibrate(spark.createDataFrame([(1.0, 1)], "total double, y int")) == T.Calibration()
+
+
+def test_ridge_and_calibration_against_plain_numpy(spark):
+    """The summed normal equations give the ridge solution of all training rows at once, the calibration is the min-max form of
+    isotonic regression; ties and repeated rows included."""
+    rng, dims, ridge, seed = np.random.default_rng(1), 16, 1e-2, 11
+    x = rng.normal(0, 2, (400, rff.FEATURES)).round(1)
+    y = (x[:, 0] + rng.normal(0, 1, 400) > 0).astype(int)
+    x[50:60], y[50:60] = x[40:50], y[40:50]
+    rows = spark.createDataFrame([(i, [float(v) for v in x[i]], int(y[i])) for i in range(400)], "doc_id long, x array<double>, y int")
+    model = rff.fit(rows, dims=dims, ridge=ridge, seed=seed)
+    part = F.pmod(F.shiftright(F.xxhash64("doc_id", F.lit(seed)), 8), F.lit(5))
+    part = np.array([r[0] for r in rows.orderBy("doc_id").select(part).collect()])
+    z = rff.lift((x - x.mean(0)) / x.std(0), model.directions, model.phases)
+    fitted = part < 4
+    pull = np.sqrt(ridge * fitted.sum() / dims) * np.eye(dims + 1)[:dims]  # the constant carries none
+    plain = np.linalg.lstsq(np.vstack([z[fitted], pull]), np.append(y[fitted], np.zeros(dims)), rcond=None)[0]
+    assert np.abs(z @ plain - model.ridge(x)).max() < 1e-6
+
+    scores = np.round(model.ridge(x[part == 4]), 3)
+    values = [(s, float((scores == s).sum()), float(y[part == 4][scores == s].sum())) for s in np.unique(scores)]
+    w, p = np.array([v[1] for v in values]), np.array([v[2] for v in values])
+    n = len(values)
+    rate = [max(min(p[a:b + 1].sum() / w[a:b + 1].sum() for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+    block = np.concatenate(([0], np.cumsum(np.diff(rate) > 1e-12)))
+    pulled = [(p[block == k].sum() + p.sum() / w.sum()) / (w[block == k].sum() + 1) for k in range(block[-1] + 1)]
+    want = np.clip(np.maximum.accumulate(pulled)[block], 0, 1)
+    steps, levels = rff.isotonic(values)
+    assert np.abs(np.interp(np.unique(scores), steps, levels) - want).max() < 1e-12
+    assert (model.steps == steps).all() and (model.levels == levels).all()
