@@ -16,5 +16,5 @@ def test_twin(spark, name):
 
 
 def test_all_registered():
-    assert [n.split("_")[0] for n in Q.queries()] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in Q.queries()] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
     assert set(Q.queries()) <= set(entry.queries())
