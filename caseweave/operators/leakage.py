@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as X
-from ..session import lookup_join, materialize
+from ..session import is_small, lookup_join, materialize, measured, size_measures
 
 
 def duplicate_ids(golden: DataFrame) -> DataFrame:
@@ -60,29 +60,30 @@ def near_duplicates(pool: DataFrame, pool_id: str, pool_text: str, held: DataFra
         return materialize(cut.withColumn("same", F.sha2(F.array_join(F.transform("set", lambda x: x.cast("string")), ","), 256)), "sets")
 
     mine, theirs = sets(pool, pool_id, pool_text), sets(held, held_id, held_text)
-    one = lambda df: df.groupBy("same").agg(F.min_by("set", "id").alias("set"), F.min("id").alias("id"))
+    # one row for each set, with a number, which is shorter than the digest in all that follows
+    one = lambda df: df.groupBy("same").agg(F.min_by("set", "id").alias("set"), F.min("id").alias("id")).withColumn("number", F.monotonically_increasing_id())
     left, right = materialize(one(mine), "poolsets"), materialize(one(theirs), "heldsets")
-    flat = lambda df: df.select("same", F.size("set").alias("n"), F.explode("set").alias("shingle"))
-    often = flat(left).unionByName(flat(right)).groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    order = Window.partitionBy("same").orderBy("df", "shingle")
+    flat = lambda df: df.select("number", F.size("set").alias("n"), F.explode("set").alias("shingle"))
+    # a shingle of one side only is in no pair: it comes first in every row's order, and is left out at once
+    held_often, sizes = measured(flat(right).groupBy("shingle").agg(F.count(F.lit(1)).alias("held")), "heldshingles", rows=F.count(F.lit(1)), bytes=F.count(F.lit(1)) * 32)
+    met = materialize(lookup_join(flat(left), held_often, "shingle", salts=1, small=is_small(sizes)), "met")
+    often = materialize(met.groupBy("shingle").agg((F.count(F.lit(1)) + F.first("held")).alias("df")), "often")
+    order = Window.partitionBy("number").orderBy("df", "shingle")
     limit = F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-9))
 
-    def prefix(df: DataFrame, whole: bool) -> DataFrame:
-        shared = flat(df).join(often, "shingle")
-        if whole:
-            return shared.select("shingle", "same", "n")
-        many = F.count(F.lit(1)).over(Window.partitionBy("same"))
+    def prefix(shared: DataFrame) -> DataFrame:
+        many = F.count(F.lit(1)).over(Window.partitionBy("number"))
         placed = shared.withColumn("place", F.col("n") - many + F.row_number().over(order))  # those of one row come first
-        return placed.filter(F.col("place") <= F.col("n") - limit + 1).select("shingle", "same", "n")
+        return placed.filter(F.col("place") <= F.col("n") - limit + 1).select("shingle", "number", "n")
 
-    a = prefix(left, contained).withColumnRenamed("same", "pool_same")
-    b = prefix(right, False).select("shingle", F.col("same").alias("held_same"), F.col("n").alias("m"))
+    a = (met if contained else prefix(met.join(often, "shingle"))).select("shingle", F.col("number").alias("pool_number"), "n")
+    b = prefix(flat(right).join(often, "shingle")).select("shingle", F.col("number").alias("held_number"), F.col("n").alias("m"))
     pairs = a.join(b, "shingle")
     if not contained:
         pairs = pairs.filter(F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m"))
-    pairs = pairs.select("pool_same", "held_same").distinct()
-    full = (pairs.join(left.select(F.col("same").alias("pool_same"), F.col("set").alias("x")), "pool_same")
-            .join(right.select(F.col("same").alias("held_same"), F.col("set").alias("y"), F.col("id").alias("held_id")), "held_same"))
+    pairs = pairs.select("pool_number", "held_number").distinct()
+    full = (pairs.join(left.select(F.col("number").alias("pool_number"), F.col("same").alias("pool_same"), F.col("set").alias("x")), "pool_number")
+            .join(right.select(F.col("number").alias("held_number"), F.col("set").alias("y"), F.col("id").alias("held_id")), "held_number"))
     both = F.size(F.array_intersect("x", "y"))
     value = both / (F.size("y") if contained else F.size("x") + F.size("y") - both)
     best = (full.select("pool_same", "held_id", value.alias("similarity")).filter(F.col("similarity") >= similarity)
