@@ -39,9 +39,12 @@ def text_overlap(reference: DataFrame, reference_id: str, reference_text: str, g
     return lookup_join(pool, texts, "_digest").select(reference_id, "normalized")
 
 
-def shingles(text: str, k: int) -> Column:
-    """The different runs of k words of a text, in lower case; a shorter text is one run."""
-    words = F.filter(F.split(F.lower(F.col(text)), rf"[{X.SPACE}]+"), lambda w: w != "")
+def words_of(text: str) -> Column:
+    return F.filter(F.split(F.lower(F.col(text)), rf"[{X.SPACE}]+"), lambda w: w != "")
+
+
+def shingles(words: Column, k: int) -> Column:
+    """The different runs of k words of a text; a shorter text is one run. Pass the words as a column of their own, so that they are cut once."""
     short = F.when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
     return F.when(F.size(words) >= k, F.array_distinct(X.word_ngrams(words, k, k))).otherwise(short)
 
@@ -56,7 +59,8 @@ def near_duplicates(pool: DataFrame, pool_id: str, pool_text: str, held: DataFra
     only rows that meet there are compared, and what many rows share pairs nobody. Rows with equal shingles are compared once.
     """
     def sets(df: DataFrame, key: str, text: str) -> DataFrame:
-        cut = df.select(F.col(key).alias("id"), F.array_sort(F.transform(shingles(text, k), lambda w: F.xxhash64(w))).alias("set")).filter(F.size("set") > 0)
+        cut = df.select(F.col(key).alias("id"), words_of(text).alias("words")).filter(F.size("words") > 0)
+        cut = cut.select("id", F.array_sort(F.transform(shingles(F.col("words"), k), lambda w: F.xxhash64(w))).alias("set"))
         return materialize(cut.withColumn("same", F.sha2(F.array_join(F.transform("set", lambda x: x.cast("string")), ","), 256)), "sets")
 
     mine, theirs = sets(pool, pool_id, pool_text), sets(held, held_id, held_text)
