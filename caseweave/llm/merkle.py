@@ -6,18 +6,13 @@ on its way to an ancestor, and self-joins with these ancestors double that way e
 
 from __future__ import annotations
 
-import hashlib
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import small_side
-from .common import fold_of, join_lookup, materialize, measured, send_code
+from .common import fold_of, join_lookup, materialize, measured
 
 BLOCK = 12  # levels that one task builds at a time: 4,096 nodes
 PART = (1 << 33) - 1  # monotonically_increasing_id: the row's number in its part stands in the low 33 bits
-NODE = "tree long, level int, idx long, n long, digest string, seg array<string>"
 
 
 def encoded(value: Column) -> Column:
@@ -50,26 +45,39 @@ def numbered(rows: DataFrame, group: str, order: list[str], name: str) -> DataFr
         "_key", "_from", "_ahead", "_at")
 
 
-def levels(nodes: pd.DataFrame, block: int) -> pd.DataFrame:
-    """The nodes of one block, level by level up to `block` levels or the root; the last level is without siblings."""
-    nodes = nodes.sort_values("idx")
-    tree, level, n, first = (int(nodes[c].iloc[0]) for c in ("tree", "level", "n", "idx"))
-    digests, out = list(nodes["digest"]), []
-    top = min(level + block, (n - 1).bit_length())
-    while True:
-        pairs = [digests[i:i + 2] for i in range(0, len(digests), 2)]
-        beside = [s for p in pairs for s in ((["R" + p[1]], ["L" + p[0]]) if len(p) == 2 else ([""],))]
-        out.append(pd.DataFrame({"tree": tree, "level": level, "idx": np.arange(first, first + len(digests)), "n": n, "digest": digests,
-                                 "seg": beside if level < top else [None] * len(digests)}))
-        if level == top:
-            return pd.concat(out)
-        digests, first, level = [hashlib.sha256("".join(p).encode()).hexdigest() for p in pairs], first >> 1, level + 1
-
-
 def height() -> Column:
     return F.when(F.col("n") > 1, F.length(F.bin(F.col("n") - 1))).otherwise(0)
 
 
+def grown(base: DataFrame, block: int) -> DataFrame:
+    """Base nodes (tree, level, idx, n, digest) with the levels above them, up to `block` or the root; the last one is without siblings.
+
+    Each 2^block consecutive nodes are one array, from which the next level's is made, and so on.
+    """
+    pieces = base.groupBy("tree", "level", "n", F.shiftright("idx", block).alias("block")).agg(
+        F.min("idx").alias("first"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "digest"))), lambda x: x["digest"]).alias("digests"))
+    pieces = pieces.withColumn("steps", F.least(F.lit(block), height() - F.col("level")))
+    at = lambda nodes, i: F.coalesce(F.get(nodes, i), F.lit(""))
+
+    def listed(nodes: Column, step: Column, siblings: bool) -> Column:
+        beside = lambda i: F.when(i % 2 == 1, F.concat(F.lit("L"), at(nodes, i - 1))).when(
+            i + 1 < F.size(nodes), F.concat(F.lit("R"), at(nodes, i + 1))).otherwise("")
+        return F.transform(nodes, lambda x, i: F.struct(
+            (F.col("level") + step).cast("int").alias("level"), (F.call_function("shiftright", F.col("first"), step) + i).alias("idx"), x.alias("digest"),
+            (F.array(beside(i)) if siblings else F.lit(None).cast("array<string>")).alias("seg")))
+
+    def up(done: Column, step: Column) -> Column:
+        last = done["last"]
+        above = F.transform(F.sequence(F.lit(0), F.shiftright(F.size(last) - 1, 1)), lambda i: F.sha2(F.concat(at(last, 2 * i), at(last, 2 * i + 1)), 256))
+        return F.struct(F.concat(done["nodes"], listed(last, step, True)).alias("nodes"), above.alias("last"))
+
+    start = F.struct(F.array().cast("array<struct<level:int,idx:bigint,digest:string,seg:array<string>>>").alias("nodes"), F.col("digests").alias("last"))
+    steps = F.when(F.col("steps") > 0, F.sequence(F.lit(0), F.col("steps") - 1)).otherwise(F.array().cast("array<int>"))
+    built = pieces.select("tree", "n", "level", "first", "steps", F.aggregate(steps, start, up).alias("built"))
+    return built.select("tree", "n", F.explode(F.concat("built.nodes", listed(F.col("built.last"), F.col("steps"), False))).alias("e")).select(
+        "tree", "e.level", "e.idx", "n", "e.digest", "e.seg")
+
+
 def forest(leaves: DataFrame, block: int = BLOCK) -> DataFrame:
     """Nodes (tree, level, idx, n, digest, seg) of the trees over leaves (tree, idx, n, digest).
 
@@ -78,13 +86,12 @@ def forest(leaves: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     base, done = leaves.select("tree", F.lit(0).alias("level"), "idx", "n", "digest"), None
     while True:
-        grown = base.groupBy("tree", F.shiftright("idx", block).alias("block")).applyInPandas(lambda nodes: levels(nodes, block), NODE)
-        grown, seen = measured(grown, "nodes", open=F.count_if(F.col("seg").isNull() & (F.col("level") < height())))
-        closed = grown.filter(F.col("seg").isNotNull() | (F.col("level") == height()))
+        nodes, seen = measured(grown(base, block), "nodes", open=F.count_if(F.col("seg").isNull() & (F.col("level") < height())))
+        closed = nodes.filter(F.col("seg").isNotNull() | (F.col("level") == height()))
         done = closed if done is None else done.unionByName(closed)
         if not seen["open"]:
             return done
-        base = grown.filter(F.col("seg").isNull() & (F.col("level") < height())).drop("seg")
+        base = nodes.filter(F.col("seg").isNull() & (F.col("level") < height())).drop("seg")
 
 
 def ways(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -135,7 +142,6 @@ def manifest(rows: DataFrame, columns: list[str], key: str = "doc_id", group: st
     of one row has its leaf as subroot, and a single group's subroot is the root. Texts are hashed whole. Columns that are
     not named take no part, whatever they are called. Empty table: no rows.
     """
-    send_code(rows.sparkSession)
     given = leaf_digest([(altered or {}).get(c, F.col(c)) for c in columns])
     leaves = rows.select(F.col(key).alias("key"), F.col(group).cast("string").alias("of"), leaf_digest([F.col(c) for c in columns]).alias("digest"),
                          given.alias("given")).withColumn("given", F.nullif("given", "digest"))

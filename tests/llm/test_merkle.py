@@ -76,3 +76,12 @@ def test_empty(spark):
 def test_only_altered_rows_fail(spark, given):
     found = {r["doc_id"]: r["verified"] for r in merkle.audit(given("documents")).collect()}
     assert {i for i, ok in found.items() if not ok} == {i for i in found if zlib.crc32(str(i).encode()) % 7 == 0}
+
+
+def test_trees_are_built_without_python_workers(spark):
+    leaves = spark.createDataFrame([(0, 0, 3, "a"), (0, 1, 3, "b"), (0, 2, 3, "c")], "tree long, idx long, n long, digest string")
+    nodes = merkle.grown(leaves.withColumn("level", merkle.F.lit(0)), 12)
+    assert "Python" not in (plan := nodes._jdf.queryExecution().executedPlan().toString()) and "Pandas" not in plan
+    ab, cc = digest("a", "b"), digest("c")
+    assert sorted((r["level"], r["idx"], r["digest"], r["seg"]) for r in nodes.collect()) == [
+        (0, 0, "a", ["Rb"]), (0, 1, "b", ["La"]), (0, 2, "c", [""]), (1, 0, ab, ["R" + cc]), (1, 1, cc, ["L" + ab]), (2, 0, digest(ab, cc), None)]
