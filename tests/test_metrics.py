@@ -121,3 +121,25 @@ def test_profile(spark):
     assert (b.brand, b.total_messages, b.resolution_rich_replies, b.estimated_conversations) == ("One", 3, 1, 1)
     assert (b.customer_vocabulary_diversity, b.sample_customer_issues) == (2, ["@One Hello hello World @x abc"])
     assert b.suitability_score == round(3 / 60000 * 30 + 1 / 25000 * 30 + 2 / 4000 * 20 + 1 / 15000 * 20, 2)
+
+
+def test_ratings_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def rated(i):
+        read.add(1)
+        return float(i), "PASS", i / 2, "FAIL"
+
+    schema = "human_score double, human_verdict string, overall_score double, verdict string"
+    (a,) = J.rater_agreement(spark.createDataFrame(spark.sparkContext.parallelize(range(20), 2).map(rated), schema)).collect()
+    assert a.sample_size == 20 and a.spearman_correlation_rho == 1.0 and read.value == 20
+
+
+def test_document_ratings_move_no_text(spark, tmp_path):
+    from caseweave.plans import registry
+
+    spark.createDataFrame([(1, "two words", 9), (1, None, 9), (2, "x", 1)], "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (1, 0), (3, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    rated = registry.document_ratings(spark, str(tmp_path))
+    assert sorted((r["human_score"], r["human_verdict"]) for r in rated.collect()) == [(0.0, "FAIL"), (0.0, "PASS"), (2.0, "FAIL"), (2.0, "PASS")]
+    assert "text#" not in rated._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
