@@ -44,13 +44,14 @@ def prepared(keywords: DataFrame) -> DataFrame:
                       F.when(F.col("last") < F.size(runs) - 1, F.element_at(runs, -1)).alias("after")).distinct()
 
 
-def sequences(runs: Column, words: int) -> Column:
+def sequences(runs: Column, words: int, sides: bool = True) -> Column:
     """Every sequence of so many words of a text: (core, left, leftmost, right, rightmost), with the runs beside it and whether the
-    text begins or ends with them."""
+    text begins or ends with them; without `sides` only (core)."""
     n, span = F.size(runs), 2 * words - 2
     first = F.when(runs[0].rlike(IS_WORD), 0).otherwise(1)  # from there on every second run is a word
-    one = lambda i: F.struct(core_of(runs, i, i + span).alias("core"), F.when(i > 0, F.get(runs, i - 1)).alias("left"), (i == 1).alias("leftmost"),
-                             F.get(runs, i + span + 1).alias("right"), (i + span + 2 == n).alias("rightmost"))
+    core = lambda i: (F.concat(*[F.get(runs, i + j) for j in range(span + 1)]) if words <= 4 else core_of(runs, i, i + span)).alias("core")
+    one = lambda i: F.struct(core(i), F.when(i > 0, F.get(runs, i - 1)).alias("left"), (i == 1).alias("leftmost"),
+                             F.get(runs, i + span + 1).alias("right"), (i + span + 2 == n).alias("rightmost")) if sides else F.struct(core(i))
     return F.when(n - span > first, F.transform(F.sequence(first, n - 1 - span, F.lit(2)), one))
 
 
@@ -70,16 +71,17 @@ def keyword_hits(df: DataFrame, key: str, text: str, keywords: DataFrame) -> Dat
     The table of keywords is broadcast if it is small, else spread over salts.
     """
     side = prepared(keywords)
-    side, sizes = measured(side, "keywords", **size_measures(side))
+    signed = F.max(F.col("before").isNotNull() | F.col("after").isNotNull())
+    side, sizes = measured(side, "keywords", signed=signed, **size_measures(side))
     lengths = sorted(r["words"] for r in side.select("words").distinct().collect())  # one for each number of words
     grouped = side.groupBy("core").agg(F.collect_list(F.struct("priority", "intent", "before", "after")).alias("listed"))
     runs = df.select(key, runs_of(F.col(text)).alias("runs")).filter(F.size("runs") > 0)
-    parts = [F.coalesce(sequences(F.col("runs"), n), F.array()) for n in lengths]
+    parts = [F.coalesce(sequences(F.col("runs"), n, sizes["signed"]), F.array()) for n in lengths]
     hits = df.select(key, F.lit(0).alias("priority"), F.lit("").alias("intent")).limit(0)
     if parts:
         said = runs.select(key, F.explode(F.concat(*parts)).alias("s")).select(key, "s.*")
         met = lookup_join(said, grouped, "core", small=is_small(sizes)).withColumn("k", F.explode("listed"))
-        hits = met.filter(beside()).select(key, "k.priority", "k.intent")
+        hits = (met.filter(beside()) if sizes["signed"] else met).select(key, "k.priority", "k.intent")
     lowered = F.lower("keyword")
     signs = keywords.filter(~lowered.rlike(rf"[{WORD}]") & (lowered != "")).select("priority", "intent", lowered.alias("keyword")).distinct()
     for sign in signs.toLocalIterator():

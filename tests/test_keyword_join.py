@@ -51,3 +51,13 @@ def test_ten_thousand_keywords(spark):
     counts = {r["intent"]: r["n"] for r in J.frequency(df, "id", "t", keywords, "none").collect()}
     assert sum(counts.values()) == 300
     assert J.all_matches(df.limit(0), "id", "t", keywords).count() == 0 and J.all_matches(df, "id", "t", keywords.limit(0)).filter("size(intents) > 0").count() == 0
+
+
+def test_keywords_without_signs_carry_no_neighbours(spark):
+    texts = ["One two, three four five six", "one two three four five", "two", "xtwo", None, "", ", ONE TWO"]
+    plain = [("a", ["one two", "two"]), ("b", ["two three four five six", "one two three four five"]), ("c", ["three four five"])]
+    got, want = both(spark, texts, plain)
+    assert got == want and sorted(want[1]) == ["a", "b", "c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    plan = lambda dictionary: J.keyword_hits(df, "id", "t", J.keyword_table(spark, dictionary))._jdf.queryExecution().optimizedPlan().toString()
+    assert "leftmost" not in plan(plain) and "leftmost" in plan([*plain, ("d", ["#two"])])
