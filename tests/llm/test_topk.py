@@ -47,3 +47,21 @@ def test_reading_stops_early():
     lists = topk.SortedLists(np.arange(4000), v)
     ids, scores = lists.top(np.full(8, 5), 1, -1)
     assert ids.tolist() == [17] and scores.tolist() == [40000]
+
+
+@pytest.mark.parametrize("scale", [20, 2_000_000])
+def test_queries_are_answered_together(scale):
+    """Many queries in one call, equal vectors, repeated ids and whole numbers beyond 2^24: as plain sorting gives them."""
+    rng = np.random.default_rng(3)
+    v = np.floor(rng.normal(0, scale, (1500, 6))).astype(np.int64)
+    v[1200:] = v[900:1200]
+    ids, rows = np.concatenate([np.arange(1400), np.arange(100)]), np.arange(1500)
+    q = np.concatenate([np.arange(0, 1500, 10), [0]])
+    queries = v[q]
+    queries[-1] = 0  # no list is read for it
+    found = topk.SortedLists(ids, v, rows).tops(queries, 5, rows[q])
+    assert len(found) == len(q) > topk.TOGETHER
+    for own, query, (got, scores) in zip(q, queries, found):
+        products = v @ query
+        best = [i for i in np.lexsort((ids, -products)) if i != own][:5]
+        assert got.tolist() == ids[best].tolist() and scores.tolist() == products[best].tolist()
