@@ -49,3 +49,25 @@ def test_large_idf_table_is_not_repeated(spark):
     idf = spark.createDataFrame([("a", 1.0), ("c", 2.0)], "term string, idf double")
     got = raw_weights(counts, idf, "left", small=False)
     assert "Generate" not in got._jdf.queryExecution().toString() and got.count() == 4 and got.filter("raw is not null").count() == 2
+
+
+def test_products_need_no_postings(spark, monkeypatch):
+    """An index in use for products alone never has its postings made; a search by joins makes them once."""
+    issues, queries = texts()
+    index = build(spark, issues[:60])
+    monkeypatch.setattr(R, "JOIN_ENTRIES", -1)
+    want = ask(spark, queries[:10], index, k=2)
+    assert index.blocks is None
+    monkeypatch.setattr(R, "JOIN_ENTRIES", 10 ** 9)
+    assert ask(spark, queries[:10], index, k=2) == want
+    assert index.blocks is not None and index.postings is index.postings
+
+
+def test_query_vectors_count_the_entries_they_meet(spark):
+    """One row a query, without texts of terms; `met` is the sum of the frequencies of its terms in the cases."""
+    index = build(spark, ["red car", "red bus", "blue bus stop"])
+    df = spark.createDataFrame([(1, "red bus"), (2, "unseen"), (3, "blue blue")], "q long, text string")
+    asked = R.wanted_intents(df, index, "q", None)
+    rows = {r.q: r for r in R.query_vectors(df, index, "q", "text", asked).collect()}
+    assert {q: r.met for q, r in rows.items()} == {1: 5, 3: 1}  # red 2, bus 2, red bus 1; blue 1
+    assert all(abs(sum(w * w for w in r.weights) - 1) < 1e-12 and len(r.numbers) == len(r.weights) for r in rows.values())
