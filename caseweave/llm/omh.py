@@ -250,7 +250,19 @@ def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def classes_of(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """doc_id, class_id, class_size for every document, where a doc_id has one text.
+    """doc_id, class_id, class_size for every document, where a doc_id has one text: the classes of `members_of`.
+
+    Sizes are looked up only for classes of several documents, so the lookup does not grow with the documents that have no copy.
+    """
+    members = members_of(docs, s)
+    sizes = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")).filter("class_size > 1")
+    named = join_lookup(members, sizes, "class_id").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    missing = docs.filter("doc_id is null").select(*[F.lit(None).cast("long").alias(c) for c in named.columns])
+    return named.unionByName(missing)
+
+
+def members_of(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """doc_id, class_id for every doc_id but null, where a doc_id has one text.
 
     Two texts are linked when their words agree, or when the share of their five-word shingles (counted with
     repetition) that a common order can align is at least `similarity`; classes are the connected groups. Exact
@@ -285,12 +297,8 @@ def classes_of(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     open_ = materialize(known.join(several, "key", "left_semi").select("node", "comp", "n").distinct(), "open")
     pairs = rare_pairs(open_, shingles, s).join(stars, ["a", "b"], "left_anti")
     links = links.union(verified(pairs, shingles, s))
-    found = components(nodes, links, "classes").withColumnRenamed("comp", "class")
-    lowest = copies.join(reps.select("node", "digest"), "digest").join(found, "node")
-    sizes = lowest.groupBy("class").agg(F.count(F.lit(1)).alias("class_size"))
-    named = join_lookup(lowest, sizes, "class", "inner").select("doc_id", F.col("class").alias("class_id"), "class_size")
-    missing = docs.filter("doc_id is null").select(*[F.lit(None).cast("long").alias(c) for c in named.columns])
-    return named.unionByName(missing)
+    found = components(nodes, links, "classes").withColumnRenamed("comp", "class_id")
+    return copies.join(reps.select("node", "digest"), "digest").join(found, "node").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -304,9 +312,9 @@ def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     if several:
         docs = materialize(docs, "separated")
         ids = docs.select("_own", F.col("doc_id").cast("long").alias("_id")).filter("_own is not null").distinct()
-        found = classes_of(docs.select(F.col("_own").alias("doc_id"), "text"), s).join(ids, F.col("doc_id") == F.col("_own"))
+        found = members_of(docs.select(F.col("_own").alias("doc_id"), "text"), s).join(ids, F.col("doc_id") == F.col("_own"))
         stay = found.groupBy("class_id").agg(F.min_by("_own", F.struct("_id", "_own")).alias("_keep")).select("_keep")
     else:
-        stay = classes_of(docs, s).filter("doc_id = class_id").select(F.col("doc_id").alias("_keep"))
+        stay = members_of(docs, s).filter("doc_id = class_id").select(F.col("doc_id").alias("_keep"))
     one = docs.join(stay, F.col("_own") == F.col("_keep"), "left_semi").dropDuplicates(["_own"])
     return one.select(*columns).unionByName(docs.filter("doc_id is null").select(*columns))
